@@ -83,7 +83,7 @@ def publish(df: DataFrame, roots: list[str], partition_by: list[str], extent: st
     if expected is not None and before != expected:
         raise GuardError("the primary has moved on")
     snapshots = {root: stage(df, root, partition_by) for root in roots}
-    new = spark.read.parquet(f"{primary}/data/{snapshots[primary]}")
+    new = spark.read.schema(df.schema).parquet(f"{primary}/data/{snapshots[primary]}")
     reach = new.agg(F.max(extent)).first()[0]
     if reach is None:
         raise GuardError("an empty table is not published")
