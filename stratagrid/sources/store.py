@@ -1,6 +1,7 @@
 """Published tables: staged Parquet snapshots under a folder, switched by a pointer file.
 
     root/data/<snapshot>/...   immutable Parquet, partitioned by region
+    root/data/<snapshot>.schema
     root/current               the name of the snapshot that readers see
 
 A writer stages a snapshot, checks the guards and replaces the pointer by a rename;
@@ -11,10 +12,12 @@ leaves an unreferenced snapshot and the old pointer.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class GuardError(ValueError):
@@ -40,10 +43,11 @@ def _put_text(spark: SparkSession, path: str, text: str) -> None:
     stream = fs.create(temporary, True)
     stream.write(bytearray(text.encode()))
     stream.close()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs.delete(target, False)
-    if not fs.rename(temporary, target):
-        raise GuardError(f"{path} could not be replaced")
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(temporary, jvm.org.apache.hadoop.fs.Path(path), options)
 
 
 def current(spark: SparkSession, root: str) -> str | None:
@@ -54,7 +58,13 @@ def current(spark: SparkSession, root: str) -> str | None:
 def read(spark: SparkSession, root: str) -> DataFrame | None:
     """The published rows; None before the first publication."""
     snapshot = current(spark, root)
-    return None if snapshot is None else spark.read.parquet(f"{root}/data/{snapshot}")
+    return None if snapshot is None else _snapshot(spark, root, snapshot)
+
+
+def _snapshot(spark: SparkSession, root: str, snapshot: str) -> DataFrame:
+    """A snapshot with the types it was written with; partition columns would be inferred anew otherwise."""
+    schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{root}/data/{snapshot}.schema")))
+    return spark.read.schema(schema).parquet(f"{root}/data/{snapshot}").select(*schema.fieldNames())
 
 
 def drift(published: DataFrame, new: DataFrame) -> list[str]:
@@ -66,7 +76,9 @@ def drift(published: DataFrame, new: DataFrame) -> list[str]:
 def stage(df: DataFrame, root: str, partition_by: list[str]) -> str:
     """Write a snapshot, clustered by partition, that nobody sees yet; its name."""
     snapshot = uuid.uuid4().hex
-    df.repartition(*partition_by).write.partitionBy(*partition_by).parquet(f"{root}/data/{snapshot}") if partition_by else df.write.parquet(f"{root}/data/{snapshot}")
+    writer = df.repartition(*partition_by).write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(f"{root}/data/{snapshot}")
+    _put_text(df.sparkSession, f"{root}/data/{snapshot}.schema", df.schema.json())
     return snapshot
 
 
@@ -83,7 +95,7 @@ def publish(df: DataFrame, roots: list[str], partition_by: list[str], extent: st
     if expected is not None and before != expected:
         raise GuardError("the primary has moved on")
     snapshots = {root: stage(df, root, partition_by) for root in roots}
-    new = spark.read.schema(df.schema).parquet(f"{primary}/data/{snapshots[primary]}")
+    new = _snapshot(spark, primary, snapshots[primary])
     reach = new.agg(F.max(extent)).first()[0]
     if reach is None:
         raise GuardError("an empty table is not published")
@@ -104,7 +116,7 @@ def expire(spark: SparkSession, root: str) -> int:
     """Delete snapshots that aren't published; how many there were."""
     jvm, fs, p = _fs(spark, f"{root}/data")
     keep = current(spark, root)
-    gone = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName() != keep] if fs.exists(p) else []
+    gone = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName() not in (keep, f"{keep}.schema")] if fs.exists(p) else []
     for path in gone:
         fs.delete(path, True)
     return len(gone)
