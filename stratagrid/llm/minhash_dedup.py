@@ -152,12 +152,15 @@ def _across(least: int, below: int):
         key = pdf[["band", "lo", "hi"]].to_numpy()
         edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
         low = np.frombuffer(b"".join(pdf.low), dtype=np.uint8).reshape(len(pdf), -1)
-        rep, comp, block = (pdf[c].to_numpy() for c in ("rep", "component", "block"))
+        keys = np.array(pdf.bands.tolist(), dtype=np.int64)
+        rep, comp, block, band = (pdf[c].to_numpy() for c in ("rep", "component", "block", "band"))
         for s, e in zip(edges[:-1], edges[1:]):
             one_block = key[s, 1] == key[s, 2]
             for i in range(s, e):
                 other = np.arange(i + 1, e)
                 other = other[(comp[other] != comp[i]) & (one_block | (block[other] != block[i]))]
+                shared = keys[other] == keys[i]  # a pair belongs to the first of the bands that it shares
+                other = other[keys[i][shared.argmax(axis=1)] == band[i]]
                 equal = (low[other] == low[i]).sum(axis=1)
                 fit = (equal >= least) & (equal < below)
                 other, equal = other[fit], equal[fit]
@@ -176,9 +179,9 @@ def across_components(placed: DataFrame, groups: DataFrame, ws: Workspace, least
     mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select("band", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
     mixed = ws.cut(mixed)
     rows = placed.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
-    rows = rows.join(groups.select("rep", "low"), "rep")
+    rows = rows.join(groups.select("rep", "low", "bands"), "rep")
     rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = ws.cut(rows.select("band", "rep", "component", "low", "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))
+    rows = ws.cut(rows.select("band", "rep", "component", "low", "bands", "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))
     tasks = max(1, rows.count() // 4000)
     pairs = rows.groupBy(F.pmod(F.xxhash64("band", "lo", "hi"), F.lit(tasks)).alias("task")).applyInPandas(_across(least, below), "a long, b long")
     return pairs.distinct()
