@@ -36,18 +36,23 @@ DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search fo
 DROPPED_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising adbox adslot sponsor sponsored promo promotion promotions banner sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead topbar "
     "cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond discussion "
-    "share sharing social related recommended recommendations widget widgets pager pagination toolbar tagcloud skip copyright hidden".split()
+    "aside sidenav subnav topnav leftnav rightnav megamenu dropdown offcanvas lightbox foot announcement announcements disclaimer paywall teaser teasers share sharing social related recommended recommendations widget widgets pager pagination toolbar tagcloud skip copyright hidden".split()
 )
+#: A header by name is the page's, unless it is named after the article too.
+ARTICLE_WORDS = frozenset("article entry post content story main".split())
 #: Elements that give the article away.
 ROOTS = ("article", "main")
 SMOOTHING = (0.25, 0.5, 0.25)
+#: Elements below this depth count to the path above them; their text is kept like any other.
+DEEPEST = 200
 
 
 class _Node:
-    __slots__ = ("tag", "path", "dropped", "link", "semantic")
+    __slots__ = ("tag", "path", "dropped", "link", "semantic", "block")
 
-    def __init__(self, tag: str, path: tuple, dropped: bool, link: bool, semantic: bool):
+    def __init__(self, tag: str, path: tuple, dropped: bool, link: bool, semantic: bool, block: _Node | None = None):
         self.tag, self.path, self.dropped, self.link, self.semantic = tag, path, dropped, link, semantic
+        self.block = block or self
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -64,7 +69,8 @@ def _is_dropped(tag: str, attributes: dict[str, str], semantic: bool) -> bool:
     if tag in ("html", "body", *ROOTS) and not (tag == "article" and "comment" in attributes.get("class", "").lower()):
         return False
     names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return not DROPPED_WORDS.isdisjoint(_WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()))
+    names = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower())
+    return not DROPPED_WORDS.isdisjoint(names) or "header" in names and not semantic and ARTICLE_WORDS.isdisjoint(names)
 
 
 def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
@@ -74,6 +80,12 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
     pieces: list[str] = []
     linked = 0
     owner = stack[0]
+    depth: dict[str, int] = {}
+
+    def cut(i: int):
+        for x in stack[i:]:
+            depth[x.tag] -= 1
+        del stack[i:]
 
     def flush():
         nonlocal linked
@@ -89,7 +101,7 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
         top = stack[-1]
         if not raw or top.dropped and not pieces and not raw.strip():
             return
-        block = next(x for x in reversed(stack) if x.tag in BLOCKS or not x.tag)
+        block = top.block
         if top.dropped and not block.dropped:  # an inline element that is boilerplate
             return
         if not pieces:
@@ -100,10 +112,12 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
             linked += len(text.strip())
 
     def close(tags: set, fence: set):
+        if not any(map(depth.get, tags)):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in tags:
                 flush()
-                del stack[i:]
+                cut(i)
                 return
             if stack[i].tag in fence:
                 return
@@ -122,10 +136,11 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
         if m[1]:
             if tag in BLOCKS or tag == "p":
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            i = len(stack) - 1
+            while depth.get(tag) and stack[i].tag != tag:
+                i -= 1
+            if depth.get(tag):
+                cut(i)
             continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
@@ -147,9 +162,8 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
         attributes = _attributes(m[3]) if m[3].strip() else {}
         semantic = top.semantic or tag in ROOTS
         name = f"{tag}.{attributes.get('class', '')}" if attributes.get("class") else tag
-        stack.append(_Node(tag, (*top.path, name) if tag in BLOCKS else top.path, top.dropped or _is_dropped(tag, attributes, top.semantic), top.link or tag == "a", semantic))
-        if len(stack) > 2000:
-            del stack[1:1001]
+        depth[tag] = depth.get(tag, 0) + 1
+        stack.append(_Node(tag, (*top.path, name) if tag in BLOCKS and len(top.path) < DEEPEST else top.path, top.dropped or _is_dropped(tag, attributes, top.semantic), top.link or tag == "a", semantic, None if tag in BLOCKS else top.block))
     flush()
     return found
 

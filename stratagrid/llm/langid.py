@@ -60,9 +60,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pieces: Counter = Counter()
             for word, n in words.items():
                 for size in range(1, LONGEST + 1):
-                    for g in grams(word[:200], size):
+                    for g in grams(word, size):
                         pieces[g] += n
-            rows += [(lang, "w", w, n) for w, n in words.items() if len(w) <= 200] + [(lang, str(len(g)), g, n) for g, n in pieces.items()]
+            rows += [(lang, "w", w, n) for w, n in words.items()] + [(lang, str(len(g)), g, n) for g, n in pieces.items()]
         cols = list(zip(*rows)) or [(), (), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64()))], ["lang", "kind", "token", "n"])
 
@@ -116,7 +116,7 @@ class Memo(dict):
 
     def backoff(self, word: str) -> np.ndarray:
         for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            pieces = grams(word[:2000], n)
+            pieces = grams(word, n)
             known = [self.model.grams[g] for g in pieces if g in self.model.grams]
             if known and 2 * len(known) >= len(pieces):
                 return self.model.gram_scores[known].mean(axis=0)
