@@ -145,3 +145,34 @@ def planar_distance(lat: Column, lon: Column, to_lat: Column, to_lon: Column) ->
 
 def digest8(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat(*parts), 256), 1, 8)
+
+
+def rename(value: Column | str, names: dict[str, str]) -> Column:
+    """The mapped name; a value without one stays."""
+    pairs = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))
+    return F.coalesce(pairs[_c(value)], _c(value))
+
+
+def join_var_path(group: Column | str, name: Column | str) -> Column:
+    """group/name; a variable of no group is its bare name."""
+    return F.when(F.coalesce(_c(group), F.lit("")) == "", _c(name)).otherwise(F.concat_ws("/", _c(group), _c(name)))
+
+
+def pascal_case(name: Column | str) -> Column:
+    return F.regexp_replace(F.initcap(F.regexp_replace(F.lower(_c(name)), "[^a-z0-9]+", " ")), " ", "")
+
+
+def shortened(items: Column | str, ends: int = 3) -> Column:
+    """A list for messages: all of it, or the first and last few around an ellipsis."""
+    a = _c(items)
+    short = F.concat(F.slice(a, 1, ends), F.array(F.lit("...")), F.slice(a, -ends, ends))
+    return F.array_join(F.when(F.size(a) > 2 * ends, short).otherwise(a), ", ")
+
+
+def tagged(kind: str, value: Column) -> Column:
+    """JSON that says what a value was: {"kind": value}."""
+    return F.to_json(F.struct(value.alias(kind)))
+
+
+def coordinate_text(value: Column | str, places: int = 4) -> Column:
+    return F.format_string(f"%.{places}f", _c(value).cast("double"))

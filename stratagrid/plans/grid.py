@@ -110,3 +110,46 @@ def batches(df: DataFrame, group: list[str], order: str, most: int) -> DataFrame
 def request_cost(df: DataFrame, fields: str, leads: str, members: str, message_bytes: int = 55_691) -> DataFrame:
     n = F.col(fields) * F.col(leads) * F.col(members)
     return df.withColumns({"n_messages": n, "bytes": n * message_bytes})
+
+
+def reindex(df: DataFrame, axis: DataFrame, label: str, keys: DataFrame | None = None) -> DataFrame:
+    """The rows of a new axis (for each of `keys`), NULL where the old one has none; other labels go."""
+    frame = axis.select(label) if keys is None else product(keys, axis.select(label))
+    return frame.join(df, frame.columns, "left")
+
+
+def every_kth(df: DataFrame, index: str, k: int) -> DataFrame:
+    return df.where(F.col(index) % k == 0)
+
+
+def central_points(df: DataFrame, position: str, n: int, seed: int, draw: int = 1) -> DataFrame:
+    """`draw` positions of each half of the central half of an axis of `n`, chosen by a hash of seed and position."""
+    lo, mid, hi = n // 4, n // 2, n - n // 4
+    inner = df.where((F.col(position) >= lo) & (F.col(position) < hi)).withColumn("half", (F.col(position) >= mid).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("half").orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(position))), position))
+    return inner.withColumn("__r", rank).where(F.col("__r") <= draw).drop("__r")
+
+
+def quadrant(df: DataFrame, y: str, x: str, height: int, width: int, which: int) -> DataFrame:
+    """One quarter of a grid: 0 to 3, by rows."""
+    low, left = which // 2, which % 2
+    return df.where(((F.col(y) >= height // 2).cast("int") == low) & ((F.col(x) >= width // 2).cast("int") == left))
+
+
+def publication_state(counts: DataFrame, init: str, found: str) -> DataFrame:
+    """Per init over its selections: published if all are found, absent if none is, else partial, which is a failure."""
+    g = counts.groupBy(init).agg(F.count("*").alias("n"), F.count_if(F.col(found) > 0).alias("n_found"))
+    return g.withColumn("state", F.when(F.col("n_found") == F.col("n"), "published").when(F.col("n_found") == 0, "absent").otherwise("partial"))
+
+
+def archive_kind(level_type: Column, member: Column, split: int = 25) -> Column:
+    """The file a message is archived in: by level type and member 0, up to `split`, or above."""
+    part = F.when(member == 0, "control").when(member <= split, "low").otherwise("high")
+    return F.concat_ws("-", level_type, part)
+
+
+def box(df: DataFrame, reference: DataFrame, lat: str, lon: str) -> DataFrame:
+    """Rows within the latitudes and longitudes that `reference` spans."""
+    span = reference.agg(F.min(lat).alias("__a"), F.max(lat).alias("__b"), F.min(lon).alias("__c"), F.max(lon).alias("__d"))
+    j = df.join(F.broadcast(span))  # one row
+    return j.where(F.col(lat).between(F.col("__a"), F.col("__b")) & F.col(lon).between(F.col("__c"), F.col("__d"))).drop("__a", "__b", "__c", "__d")

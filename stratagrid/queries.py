@@ -528,3 +528,126 @@ def ingest_pipeline(spark: SparkSession, d: str) -> DataFrame:
     cells = hourly(spark, d).withColumn("value", F.when(F.col("acc") % 100 == 99, float("nan")).otherwise(F.col("acc").cast("double")))
     v = spec.Variable("precipitation", rate="accumulated", reset=86400, factor_after=3600.0, keep_bits=9)
     return spec.transform(cells, v, ["user_id"], "sec").select("user_id", "sec", F.col("value").cast("double").alias("value"))
+
+
+@query("""with a as (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderkey) - 1 as i, o_totalprice as v from orders)
+select c.c_custkey, k.i, a.v from (select c_custkey from customer) c cross join (select unnest(range(0, 6)) as i) k left join a on a.o_custkey = c.c_custkey and a.i = k.i""")
+def reindex_axis(spark: SparkSession, d: str) -> DataFrame:
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    a = read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), (F.row_number().over(w) - 1).cast("long").alias("i"), F.col("o_totalprice").alias("v"))
+    return grid.reindex(a, spark.range(6).select(F.col("id").alias("i")), "i", read(spark, d, "customer").select("c_custkey"))
+
+
+@query("""select o_orderkey, case when o_orderdate < timestamp '1997-07-01' then 'archive' else 'open' end as source,
+o_orderpriority || '-' || case when o_orderkey % 51 = 0 then 'control' when o_orderkey % 51 <= 25 then 'low' else 'high' end as kind,
+case when o_orderkey % 61 between 0 and 6 then 'tp_short' when o_orderkey % 61 between 4 and 30 then 'tp_mid' else 'tp' end as param from orders""")
+def multi_source(spark: SparkSession, d: str) -> DataFrame:
+    o = read(spark, d, "orders")
+    source = scalar.era(F.col("o_orderdate").cast("date"), "1997-07-01", F.lit("archive"), F.lit("open"))
+    param = index_files.param_by_lead(F.col("o_orderkey") % 61, [(0, 6, "tp_short"), (4, 30, "tp_mid")], F.lit("tp"))
+    return o.select("o_orderkey", source.alias("source"), grid.archive_kind(F.col("o_orderpriority"), F.col("o_orderkey") % 51).alias("kind"), param.alias("param"))
+
+
+@query("""with s as (select user_id, event_type, count(*) filter (value > 95) as found from events group by 1, 2), g as (select user_id, count(*) n, count(*) filter (found > 0) n_found from s group by 1)
+select user_id, n, n_found, case when n_found = n then 'published' when n_found = 0 then 'absent' else 'partial' end as state from g""")
+def publication_gate(spark: SparkSession, d: str) -> DataFrame:
+    s = read(spark, d, "events").groupBy("user_id", "event_type").agg(F.count_if(F.col("value") > 95).alias("found"))
+    return grid.publication_state(s, "user_id", "found")
+
+
+@query("""with s as (select c_nationkey, c_mktsegment, count(*)::double / 100 as fraction, max(case when c_acctbal < -990 then c_name end) as error from customer group by 1, 2)
+select c_mktsegment, min(fraction) least_fraction, min(error) first_error from s group by 1""")
+def worst_sample(spark: SparkSession, d: str) -> DataFrame:
+    s = read(spark, d, "customer").groupBy("c_nationkey", "c_mktsegment").agg((F.count("*") / 100).alias("fraction"), F.max(F.when(F.col("c_acctbal") < -990, F.col("c_name"))).alias("error"))
+    return stats.worst(s, ["c_mktsegment"], "fraction", "error")
+
+
+@query("""select p_name, min(p_size) low, max(p_size) high from part group by 1 having min(p_size) <> max(p_size)""")
+def group_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    return align.conflicts(read(spark, d, "part"), ["p_name"], "p_size")
+
+
+@query("""select o_custkey, min(n) least, max(n) most from (select o_custkey, o_orderstatus, count(*) n from orders group by 1, 2) group by 1 having min(n) <> max(n)""")
+def structure_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return stats.distinct_sizes(read(spark, d, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n")), ["o_custkey"], "n")
+
+
+@query("""with x as (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderkey desc) r from orders) select o_custkey, o_orderkey from x where r > 1""")
+def drop_last_step(spark: SparkSession, d: str) -> DataFrame:
+    return series.drop_last_step(read(spark, d, "orders").select("o_custkey", "o_orderkey"), ["o_custkey"], "o_orderkey")
+
+
+@query("""select p_partkey, round_even(p_size / 4.0::double, 1) as half_even, case when p_size <> 13 then p_size * 0.5::double + 1 end as unpacked, case p_type when 'ECONOMY' then 'eco' when 'PROMO' then 'pro' else p_type end as renamed,
+case when p_partkey % 3 = 0 then p_type else p_brand || '/' || p_type end as path, printf('%.4f', p_size / 8.0::double) as text from part""")
+def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
+    group = F.when(F.col("p_partkey") % 3 != 0, F.col("p_brand"))
+    return read(spark, d, "part").select(
+        "p_partkey",
+        scalar.round_half_even(F.col("p_size") / 4, 1).alias("half_even"),
+        scalar.unpack("p_size", 0.5, 1.0, 13).alias("unpacked"),
+        scalar.rename("p_type", {"ECONOMY": "eco", "PROMO": "pro"}).alias("renamed"),
+        scalar.join_var_path(group, "p_type").alias("path"),
+        scalar.coordinate_text(F.col("p_size") / 8).alias("text"),
+    )
+
+
+@query("""select o_custkey, case when len(l) > 6 then array_to_string(l[1:3] || ['...'] || l[len(l) - 2:], ', ') else array_to_string(l, ', ') end as keys, '{"n":' || len(l) || '}' as tagged
+from (select o_custkey, list(o_orderkey::varchar order by o_orderkey) l from orders group by 1)""")
+def shortened_lists(spark: SparkSession, d: str) -> DataFrame:
+    g = read(spark, d, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("l"))
+    g = g.select("o_custkey", F.transform("l", lambda x: x.cast("string")).alias("l"))
+    return g.select("o_custkey", scalar.shortened("l").alias("keys"), scalar.tagged("n", F.size("l")).alias("tagged"))
+
+
+@query("""select c_custkey from (select c_custkey, row_number() over (partition by (c_custkey >= n // 2) order by md5('5:' || c_custkey::varchar), c_custkey) r from customer, (select count(*) n from customer) where c_custkey >= n // 4 and c_custkey < n - n // 4) where r <= 3""")
+def central_points(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "customer").select("c_custkey")
+    return grid.central_points(c, "c_custkey", c.count(), seed=5, draw=3).select("c_custkey")
+
+
+@query("""select c_custkey from customer where c_custkey // 40 >= 15 and c_custkey % 40 < 20 and c_custkey % 3 = 0""")
+def sampled_quadrant(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "customer").select("c_custkey", F.floor(F.col("c_custkey") / 40).alias("y"), (F.col("c_custkey") % 40).alias("x"))
+    return grid.every_kth(grid.quadrant(c, "y", "x", 30, 40, 2), "c_custkey", 3).select("c_custkey")
+
+
+@query("""select c_custkey from customer, (select min(s_acctbal) a, max(s_acctbal) b, min(s_nationkey) c, max(s_nationkey) d from supplier where s_nationkey between 4 and 9) where c_acctbal between a and b and c_nationkey between c and d""")
+def bounding_box(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "customer").select("c_custkey", F.col("c_acctbal").alias("lat"), F.col("c_nationkey").alias("lon"))
+    s = read(spark, d, "supplier").where("s_nationkey between 4 and 9").select(F.col("s_acctbal").alias("lat"), F.col("s_nationkey").alias("lon"))
+    return grid.box(c, s, "lat", "lon").select("c_custkey")
+
+
+@query("""with n as (select sin(radians(38.5)) n), f as (select n, cos(radians(38.5)) * pow(tan(pi() / 4 + radians(38.5) / 2), n) / n f from n),
+r as (select *, 6371229.0 * f / pow(tan(pi() / 4 + radians(38.5) / 2), n) rho0 from f),
+p as (select c_custkey, (c_custkey % 50 - 25) * 30000.0 + 15000 x, (c_custkey // 50 - 15) * 30000.0 + 15000 y from customer)
+select c_custkey, round(degrees(2 * atan(pow(6371229.0 * f / sqrt(x * x + pow(rho0 - y, 2)), 1 / n))) - 90, 6) as lat, round(degrees(atan2(x, rho0 - y) / n) - 97.5, 6) as lon from p, r""")
+def projection_inverse(spark: SparkSession, d: str) -> DataFrame:
+    x = scalar.scale(F.col("c_custkey") % 50 - 25, 30000.0, 15000)
+    y = scalar.scale(F.floor(F.col("c_custkey") / 50) - 15, 30000.0, 15000)
+    lat, lon = raster.lambert_inverse(x, y, 38.5, -97.5, 38.5, 38.5)
+    return read(spark, d, "customer").select("c_custkey", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"))
+
+
+@query("""select t.t * 1 as t, y.y, x.x from (select unnest(range(0, 4)) t) t, (select unnest(range(0, 3)) y) y, (select unnest(range(0, 5)) x) x""")
+def shard_product(spark: SparkSession, d: str) -> DataFrame:
+    return grid.shards_of_shape(spark, {"t": 100, "y": 75, "x": 125}, {"t": 30, "y": 25, "x": 25})
+
+
+@query("""select p_type, count(distinct p_size) * count(distinct p_brand) * count(*) as n_messages, count(distinct p_size) * count(distinct p_brand) * count(*) * 55691 as bytes from part group by 1""")
+def request_cost(spark: SparkSession, d: str) -> DataFrame:
+    g = read(spark, d, "part").groupBy("p_type").agg(F.countDistinct("p_size").alias("f"), F.countDistinct("p_brand").alias("l"), F.count("*").alias("m"))
+    return grid.request_cost(g, "f", "l", "m").select("p_type", "n_messages", "bytes")
+
+
+@query("""with x as (select user_id, floor(epoch(ts))::bigint // 21600 * 21600 as sec from events group by 1, 2), p as (select user_id, sec, sec - lag(sec) over (partition by user_id order by sec) gap from x) select user_id, count(*) filter (gap > 21600) as n_gaps, max(gap) as longest from p group by 1""")
+def series_gaps(spark: SparkSession, d: str) -> DataFrame:
+    x = read(spark, d, "events").select("user_id", scalar.floor_to(seconds("ts"), 21600).alias("sec")).distinct()
+    gap = F.col("sec") - F.lag("sec").over(Window.partitionBy("user_id").orderBy("sec"))
+    return x.withColumn("gap", gap).groupBy("user_id").agg(F.count_if(F.col("gap") > 21600).alias("n_gaps"), F.max("gap").alias("longest"))
+
+
+@query("""select 'null_fraction' as "check", count(*) filter (f > 0.35) = 0 as passed, count(*) filter (f > 0.35) || ' faults' as message, 0::bigint as checked from (select user_id, avg(case when event_type = 'error' then 1 else 0 end) f from events group by 1)""")
+def fault_check(spark: SparkSession, d: str) -> DataFrame:
+    e = read(spark, d, "events").withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
+    return checks.no_rows(stats.null_fraction(e, ["user_id"], "v").where("fraction > 0.35"), "null_fraction")
