@@ -98,3 +98,18 @@ def sibling_mean(df: DataFrame, group: list[str], member: str, value: str) -> Da
     w = Window.partitionBy(*group)
     rest: Column = F.try_divide(F.sum(value).over(w) - F.coalesce(F.col(value), F.lit(0)), F.count(value).over(w) - F.when(F.col(value).isNull(), 0).otherwise(1))
     return df.select(*group, member, rest.alias("siblings"))
+
+
+def comparison(a: DataFrame, b: DataFrame, on: list[str], keys: list[str], value: str) -> DataFrame:
+    """Per key over cells of both: how many there are, both means, the bias and the largest difference."""
+    j = a.select(*on, *(k for k in keys if k not in on), F.col(value).alias("__a")).join(b.select(*on, F.col(value).alias("__b")), on)
+    d = F.col("__a") - F.col("__b")
+    return j.groupBy(*keys).agg(F.count(d).alias("n"), F.avg("__a").alias("mean"), F.avg("__b").alias("reference_mean"), F.avg(d).alias("bias"), F.max(F.abs(d)).alias("largest"))
+
+
+def probe(expected: DataFrame, present: DataFrame, position: list[str], file: str) -> DataFrame:
+    """Per position: files present, and the names of those missing."""
+    have = present.select(*position, file).distinct().withColumn("__have", F.lit(1))
+    j = expected.join(have, [*position, file], "left")
+    names = F.array_sort(F.collect_list(F.when(F.col("__have").isNull(), F.col(file))))
+    return j.groupBy(*position).agg(F.count("__have").alias("n_present"), names.alias("missing"))

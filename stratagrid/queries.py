@@ -651,3 +651,44 @@ def series_gaps(spark: SparkSession, d: str) -> DataFrame:
 def fault_check(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
     return checks.no_rows(stats.null_fraction(e, ["user_id"], "v").where("fraction > 0.35"), "null_fraction")
+
+
+@query("""with b as (select o_orderkey, o_totalprice + (o_orderkey % 5) - 2 as v from orders where o_orderkey % 13 <> 3)
+select o_orderpriority, count(*) n, round(avg(o_totalprice), 4) mean, round(avg(v), 4) reference_mean, round(avg(o_totalprice - v), 4) bias, round(max(abs(o_totalprice - v)), 4) largest from orders join b using (o_orderkey) group by 1""")
+def reference_comparison(spark: SparkSession, d: str) -> DataFrame:
+    a = read(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.col("o_totalprice").alias("v"))
+    b = a.where("o_orderkey % 13 <> 3").withColumn("v", F.col("v") + F.col("o_orderkey") % 5 - 2)
+    c = stats.comparison(a, b, ["o_orderkey"], ["o_orderpriority"], "v")
+    return c.select("o_orderpriority", "n", *(F.round(x, 4).alias(x) for x in ("mean", "reference_mean", "bias", "largest")))
+
+
+@query("""with e as (select u.u, d.day from (select distinct user_id u from events) u cross join (select distinct floor(epoch(ts))::bigint // 86400 as day from events) d),
+p as (select distinct user_id u, floor(epoch(ts))::bigint // 86400 as day from events where event_type <> 'error')
+select e.day, count(p.u) as n_present, coalesce(string_agg(e.u::varchar, ',' order by e.u) filter (p.u is null), '') as missing from e left join p on p.u = e.u and p.day = e.day group by 1""")
+def probe_position(spark: SparkSession, d: str) -> DataFrame:
+    e = read(spark, d, "events").select(F.col("user_id").alias("u"), F.floor(seconds("ts") / 86400).alias("day"), "event_type")
+    expected = grid.product(e.select("u").distinct(), e.select("day").distinct())
+    found = stats.probe(expected, e.where("event_type <> 'error'"), ["day"], "u")
+    return found.select("day", "n_present", F.array_join(F.transform("missing", lambda x: x.cast("string")), ",").alias("missing"))
+
+
+@query("""with x as (select event_type, floor(epoch(ts))::bigint // 86400 as day, avg(value) mean, stddev_pop(value) std from events group by 1, 2)
+select event_type, round(avg(mean), 6) mean, round(min(mean), 6) least, round(max(mean), 6) most, round(avg(std), 6) std from x group by 1""")
+def value_series(spark: SparkSession, d: str) -> DataFrame:
+    e = read(spark, d, "events").withColumn("day", F.floor(seconds("ts") / 86400))
+    by = stats.mean_std(e, ["event_type", "day"], "value")
+    return by.groupBy("event_type").agg(F.round(F.avg("mean"), 6).alias("mean"), F.round(F.min("mean"), 6).alias("least"), F.round(F.max("mean"), 6).alias("most"), F.round(F.avg("std"), 6).alias("std"))
+
+
+@query("""select 'decoded' as "check", count(*) filter (event_type = 'error') = 0 and count(value) > 0 as passed, count(*) filter (event_type = 'error') || ' errors' as message, count(*) as checked from events where event_id % 37 = 5""")
+def decode_health(spark: SparkSession, d: str) -> DataFrame:
+    sample = read(spark, d, "events").where("event_id % 37 = 5").withColumn("error", F.when(F.col("event_type") == "error", "bad message"))
+    return checks.decoded(sample, "value", "error")
+
+
+@query("""with c as (select epoch(o_orderdate)::bigint // 86400 // 90 as quarter, count(*) filter (o_orderstatus <> 'P')::double / count(*) ratio from orders group by 1),
+t as (select *, row_number() over (order by quarter desc) r from c) select 'complete' as "check", count(*) filter (ratio < case r when 1 then 0.0 when 2 then 0.5 else 1.0 end) = 0 as passed,
+count(*) filter (ratio < case r when 1 then 0.0 when 2 then 0.5 else 1.0 end) || ' incomplete positions' as message, count(*) as checked from t""")
+def completeness_check(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "orders").groupBy(F.floor(seconds("o_orderdate") / 86400 / 90).alias("quarter")).agg((F.count_if(F.col("o_orderstatus") != "P") / F.count("*")).alias("ratio"))
+    return checks.complete(c, "quarter", [0.0, 0.5, 1.0])
