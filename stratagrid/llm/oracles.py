@@ -30,3 +30,31 @@ select d.doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coale
   coalesce(n_hit, 0) > 0 and 20 * n_hit >= len(w) contaminated
 from d left join hit using (doc_id) left join its using (doc_id)""",
 }
+
+
+def _secrets() -> str:
+    from . import secret_scan as s
+
+    kinds = [(s.ASSIGN, s.ASSIGN_LENGTH, 2), (s.ACCESS, s.ACCESS_LENGTH, 0), (s.HEX, s.HEX_LENGTH, 0), (s.NAME, 0, 0), (s.TOKEN, 0, 0), (s.ENDPOINT, 0, 0)]
+    parts = []
+    for k, (pattern, least, group) in enumerate(kinds):
+        p = pattern.replace("'", "''")
+        parts.append(
+            f"select doc_id, {k} k, start, stop from (select doc_id, g, sum(length(gap) + length(m)) over (partition by doc_id order by i) as stop, stop - length(m) as start from"
+            f" (select doc_id, unnest(regexp_extract_all(t, '{p}')) m, unnest(regexp_split_to_array(t, '{p}')[:len(regexp_extract_all(t, '{p}'))]) gap,"
+            f" unnest(regexp_extract_all(t, '{p}', {group})) g, generate_subscripts(regexp_extract_all(t, '{p}'), 1) i from d)) where length(g) >= {least}"
+        )
+    names = "['" + "', '".join(s.KINDS) + "']"
+    listed = lambda cond: f"string_agg({names}[k + 1] || ':' || start::bigint || ':' || stop::bigint, ',' order by start, k, stop) filter ({cond})"
+    return (
+        "with d as materialized (select doc_id, coalesce(text, '') t from documents),\nx as materialized (" + "\nunion all ".join(parts) + "),\n"
+        "w as (select distinct w.* from x w join x o on w.doc_id = o.doc_id and w.k >= 3 and case when w.k = 4 then o.k in (1, 3, 5) else o.k in (0, 2, 4) end"
+        f" and (o.stop <= w.start or w.stop <= o.start) and o.start - w.stop <= {s.SCOPE} and w.start - o.stop <= {s.SCOPE}),\n"
+        "l as (select * from w where not exists (select 1 from x o where o.doc_id = w.doc_id and o.k < 3 and o.start < w.stop and w.start < o.stop)),\n"
+        "a as (select * from x where k < 3 union all select * from l),\n"
+        f"g as (select doc_id, count(*) filter (k = 0) n0, count(*) filter (k = 1) n1, count(*) filter (k = 2) n2, count(*) filter (k >= 3) n3, {listed('k < 3')} base, {listed('true')} every from a group by 1)\n"
+        "select d.doc_id, coalesce(n0, 0)::bigint n_assign, coalesce(n1, 0)::bigint n_access, coalesce(n2, 0)::bigint n_hex, coalesce(n3, 0)::bigint n_linked, sha256(coalesce(base, '')) base_sha256, coalesce(every, '') spans from d left join g using (doc_id)"
+    )
+
+
+SQL["op10_secret_scan"] = _secrets()
