@@ -15,14 +15,18 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_a
 
     Ties go to the later one; of equal positions the smallest `take` values. Without a
     candidate, or one within `tolerance`, they are NULL. Both sides are sorted together,
-    so each left row sees just the last row before it and the first after it.
+    so each left row sees just the last row before it and the first after it. With a
+    tolerance, keys are also cut into stretches of 64 tolerances, right rows near an edge
+    going to both sides, so that a key with very many rows spreads over tasks.
     """
+    stretch = 64 * max(1, tolerance) if tolerance is not None else None
+    part = lambda c: F.floor(c / stretch) if stretch else F.lit(0).cast("long")
     payload = F.struct(F.col(right_at).alias("p"), *(F.col(c) for c in take))
-    l = left.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(at).alias("__at"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).alias("__pick"))
+    l = left.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(at).alias("__at"), part(F.col(at)).alias("__part"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).alias("__pick"))
     r = right.groupBy(*keys, right_at).agg(F.min(payload).alias("__pick"))
-    r = r.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(right_at).alias("__at"), F.lit(0).alias("__side"), F.lit(None).alias("__row"), "__pick")
+    r = r.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(right_at).alias("__at"), F.explode(F.sequence(part(F.col(right_at) - (tolerance or 0)), part(F.col(right_at) + (tolerance or 0)))).alias("__part"), F.lit(0).alias("__side"), F.lit(None).alias("__row"), "__pick")
     both = l.unionByName(r)
-    series = Window.partitionBy(*(f"__k{i}" for i in range(len(keys)))).orderBy("__at", "__side")
+    series = Window.partitionBy(*(f"__k{i}" for i in range(len(keys))), "__part").orderBy("__at", "__side")
     both = both.withColumn("__before", F.last("__pick", ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     both = both.withColumn("__after", F.first("__pick", ignorenulls=True).over(series.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("__side = 1")
     to = lambda c: F.abs(F.col(f"{c}.p") - F.col("__at"))

@@ -92,3 +92,11 @@ def test_overwrite_guard():
 def test_constant_fill_is_missing(spark):
     df = spark.createDataFrame([(float("nan"),), (-9999.0,), (2.0,)], "v double")
     assert [r[0] for r in df.select(series.nulls(scalar.mask_sentinel("v", -9999.0))).collect()] == [None, None, 2.0]
+
+
+def test_nearest_with_tolerance_equals_without(spark):
+    rng = np.random.default_rng(7)
+    l = spark.createDataFrame([(i, "k", int(t)) for i, t in enumerate(rng.integers(-500, 3000, 300))], "id long, k string, t long")
+    r = spark.createDataFrame([("k", int(t), int(t)) for t in rng.integers(-500, 3000, 200)], "k string, rt long, found long")
+    whole = {x.id: x.found if x.found is not None and abs(x.found - x.t) <= 3 else None for x in align.nearest(l, r, ["k"], "t", "rt", ["found"]).collect()}
+    assert {x.id: x.found for x in align.nearest(l, r, ["k"], "t", "rt", ["found"], tolerance=3).collect()} == whole
