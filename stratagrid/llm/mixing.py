@@ -4,7 +4,7 @@ The token mass of every cell (source, language, topic) is raked until its sums o
 sources, languages and topics agree with target shares. A document is then kept with
 the probability that its cell's raked share calls for, by a hash of its doc_id.
 
-Only cells, one row each, are iterated: every sweep is written to the shared folder,
+Only cells, one row each, are iterated: every step is written to the shared folder,
 sums are pre-aggregated, and factors are joined back by key.
 """
 
@@ -63,13 +63,11 @@ def rake(cells: DataFrame, ws: Workspace, powers: dict[str, float] = POWERS, swe
     wanted = {k: ws.cut(targets(cells, k, powers[k])) for k in KEYS}
     fitted = ws.cut(cells.select(*KEYS, "mass", F.col("mass").cast("double").alias("share")))
     for _ in range(sweeps):
-        now = fitted
-        for k in KEYS:
-            sums = now.groupBy(k).agg(F.sum("share").alias("__sum")).join(wanted[k], k).select(k, (F.col("target") / F.col("__sum")).alias("__factor"))
-            now = now.join(sums, k).select(*KEYS, "mass", (F.col("share") * F.col("__factor")).alias("share"))
-        now = ws.cut(now)
-        ws.discard(fitted)
-        fitted = now
+        for k in KEYS:  # each step is written, so that plans stay small
+            sums = fitted.groupBy(k).agg(F.sum("share").alias("__sum")).join(wanted[k], k).select(k, (F.col("target") / F.col("__sum")).alias("__factor"))
+            now = ws.cut(fitted.join(sums, k).select(*KEYS, "mass", (F.col("share") * F.col("__factor")).alias("share")))
+            ws.discard(fitted)
+            fitted = now
     return fitted
 
 
