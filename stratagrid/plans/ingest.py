@@ -27,28 +27,36 @@ def backfill(cells: DataFrame, dataset: Dataset, roots: list[str], start: int |
         cells = cells.where(at < end)
     if start is not None:
         cells = cells.where(region_of(dataset, at) >= region_of(dataset, F.lit(start)))
-    return store.publish(transformed(cells, dataset), roots, ["region"], dataset.append)
+    return store.publish(transformed(cells, dataset), roots, "region", dataset.append)
 
 
-def update(cells: DataFrame, dataset: Dataset, roots: list[str], halo: int = 1) -> str:
-    """Publish what is new: from the region of the last published position on.
+def backfill_range(dataset: Dataset, now: int, last: int | None, may_overwrite: bool = False) -> tuple[int, int]:
+    """(start, end) of a backfill: up to now for a new store; of an existing one what it holds, if that may be overwritten."""
+    if last is None:
+        return dataset.first, now // dataset.every * dataset.every
+    if not may_overwrite:
+        raise store.GuardError("the store exists")
+    return dataset.first, last + dataset.every
+
+
+def update(cells: DataFrame, dataset: Dataset, roots: list[str], halo: int = 1, window: int = 0) -> str:
+    """Publish what is new: from the region `window` before the last published position on.
 
-    That region is done again, because late sources may have come; the region's cells
-    are transformed with `halo` positions before it, which are trimmed, so that the
-    result is a backfill's. Regions before it are not read from the source.
+    Those regions are done again, because late sources may have come; the first region's
+    cells are transformed with `halo` positions before it, which are trimmed, so that the
+    result is a backfill's. Regions before it are neither read nor written.
     """
     spark = cells.sparkSession
     primary = roots[0]
     before = store.current(spark, primary)
-    last = store.resume_point(spark, primary, dataset.append, None)
+    last = store.resume_point(spark, primary, None)
     if last is None:
         return backfill(cells, dataset, roots)
-    region = (last - dataset.first) // (dataset.every * dataset.region)
+    region = max(0, last - window - dataset.first) // (dataset.every * dataset.region)
     begin = dataset.first + region * dataset.region * dataset.every
     recent = cells.where(F.col(dataset.append) >= begin - halo * dataset.every)
     fresh = transformed(recent, dataset).where(F.col("region") >= region)
-    merged = store.merge_regions(spark, primary, fresh, "region")
-    return store.publish(merged, roots, ["region"], dataset.append, expected=before)
+    return store.publish(fresh, roots, "region", dataset.append, expected=before, only_regions=True)
 
 
 def pending_files(wanted: DataFrame, dataset: Dataset, root: str, representative: str) -> DataFrame:

@@ -1,17 +1,20 @@
-"""Published tables: staged Parquet snapshots under a folder, switched by a pointer file.
-
-    root/data/<snapshot>/...   immutable Parquet, partitioned by region
-    root/data/<snapshot>.schema
-    root/current               the name of the snapshot that readers see
-
-A writer stages a snapshot, checks the guards and replaces the pointer by a rename;
-replicas are switched before the primary, so that the primary never shows what a
-replica lacks. A lost executor's tasks are rerun by Spark's committer; a lost driver
-leaves an unreferenced snapshot and the old pointer.
+"""Published tables: immutable Parquet partitions under a folder, and a manifest that names them.
+
+    root/data/snapshot=<id>/<region>=<value>/...   written once, never changed
+    root/manifests/<id>.json                       schema, extent and the partitions of a publication
+    root/current                                   the id of the manifest that readers see
+
+A writer stages partitions, checks the guards, writes a manifest and replaces the
+pointer by an atomic rename. An update writes only the regions it changes; the new
+manifest keeps the other partitions where they are. Replicas are switched before the
+primary, so that the primary never shows what a replica lacks. A lost executor's tasks
+are rerun by Spark's committer; a lost driver leaves unreferenced partitions and the
+old pointer.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 import uuid
 
@@ -25,20 +28,18 @@ class GuardError(ValueError):
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
-    _, fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    return spark.read.text(path, wholetext=True).first()[0].strip()
+    fs, p = _fs(spark, path)
+    return spark.read.text(path, wholetext=True).first()[0].strip() if fs.exists(p) else None
 
 
 def _put_text(spark: SparkSession, path: str, text: str) -> None:
-    jvm, fs, _ = _fs(spark, path)
+    fs, target = _fs(spark, path)
+    jvm = spark._jvm
     temporary = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
     stream = fs.create(temporary, True)
     stream.write(bytearray(text.encode()))
@@ -46,91 +47,106 @@ def _put_text(spark: SparkSession, path: str, text: str) -> None:
     rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     options = spark.sparkContext._gateway.new_array(rename, 1)
     options[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(temporary, jvm.org.apache.hadoop.fs.Path(path), options)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(temporary, target, options)
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
 def current(spark: SparkSession, root: str) -> str | None:
-    """The name of the published snapshot."""
+    """The id of the published manifest."""
     return _read_text(spark, f"{root}/current")
 
 
-def read(spark: SparkSession, root: str) -> DataFrame | None:
-    """The published rows; None before the first publication."""
-    snapshot = current(spark, root)
-    return None if snapshot is None else _snapshot(spark, root, snapshot)
+def manifest(spark: SparkSession, root: str) -> dict | None:
+    """schema, region, extent and partitions of what is published; None before the first publication."""
+    name = current(spark, root)
+    return None if name is None else json.loads(_read_text(spark, f"{root}/manifests/{name}.json"))
 
 
-def _snapshot(spark: SparkSession, root: str, snapshot: str) -> DataFrame:
-    """A snapshot with the types it was written with; partition columns would be inferred anew otherwise."""
-    schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{root}/data/{snapshot}.schema")))
-    return spark.read.schema(schema).parquet(f"{root}/data/{snapshot}").select(*schema.fieldNames())
+def _load(spark: SparkSession, root: str, partitions: list[str], schema: T.StructType) -> DataFrame:
+    paths = [f"{root}/data/{p}" for p in partitions]
+    return spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths).select(*schema.fieldNames())
 
 
-def drift(published: DataFrame, new: DataFrame) -> list[str]:
+def read(spark: SparkSession, root: str) -> DataFrame | None:
+    """The published rows; None before the first publication. Filters on the region prune partitions."""
+    m = manifest(spark, root)
+    return None if m is None else _load(spark, root, m["partitions"], T.StructType.fromJson(m["schema"]))
+
+
+def drift(published: T.StructType, new: T.StructType) -> list[str]:
     """Columns that are gone or changed type; new columns are allowed."""
-    have = {f.name: f.dataType.simpleString() for f in new.schema.fields}
-    return [f"{f.name}: {f.dataType.simpleString()} became {have.get(f.name, 'missing')}" for f in published.schema.fields if have.get(f.name) != f.dataType.simpleString()]
+    have = {f.name: f.dataType.simpleString() for f in new.fields}
+    return [f"{f.name}: {f.dataType.simpleString()} became {have.get(f.name, 'missing')}" for f in published.fields if have.get(f.name) != f.dataType.simpleString()]
 
 
-def stage(df: DataFrame, root: str, partition_by: list[str]) -> str:
-    """Write a snapshot, clustered by partition, that nobody sees yet; its name."""
-    snapshot = uuid.uuid4().hex
-    writer = df.repartition(*partition_by).write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(f"{root}/data/{snapshot}")
-    _put_text(df.sparkSession, f"{root}/data/{snapshot}.schema", df.schema.json())
-    return snapshot
+def _plain(value):
+    return value.isoformat() if isinstance(value, (datetime.date, datetime.datetime)) else value
 
 
-def publish(df: DataFrame, roots: list[str], partition_by: list[str], extent: str, expected: str | None = None, may_shrink: bool = False) -> str:
-    """Publish `df` to `roots`, the primary first in the list and last in time.
+def publish(df: DataFrame, roots: list[str], region: str, extent: str, expected: str | None = None, may_shrink: bool = False, only_regions: bool = False) -> str:
+    """Publish `df` to `roots`, the primary first in the list and last in time; the manifest's id.
 
-    Fails, and leaves everything as it was, if a published column is lost or changes
-    type, if the largest `extent` shrinks (unless allowed), if nothing is to be
-    published, or if the primary's snapshot is no longer `expected` (when given).
+    With `only_regions` the regions of `df` replace their like and the others stay as
+    they are; else `df` is all there is. Fails, and leaves everything as it was, if a
+    published column is lost or changes type, if the largest `extent` shrinks (unless
+    allowed), if nothing is to be published, or if the primary's manifest is no longer
+    `expected` (when given) or changes meanwhile.
     """
-    spark = df.sparkSession
-    primary = roots[0]
+    spark, primary, name = df.sparkSession, roots[0], uuid.uuid4().hex
     before = current(spark, primary)
     if expected is not None and before != expected:
         raise GuardError("the primary has moved on")
-    snapshots = {root: stage(df, root, partition_by) for root in roots}
-    new = _snapshot(spark, primary, snapshots[primary])
-    reach = new.agg(F.max(extent)).first()[0]
-    if reach is None:
+    old = {root: manifest(spark, root) for root in roots}
+    if old[primary] and (changed := drift(T.StructType.fromJson(old[primary]["schema"]), df.schema)):
+        raise GuardError("; ".join(changed))
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    df.repartition(region).write.partitionBy(region).parquet(f"{primary}/data/snapshot={name}")
+    fresh = [f"snapshot={name}/{p}" for p in _names(spark, f"{primary}/data/snapshot={name}")]
+    if not fresh:
         raise GuardError("an empty table is not published")
-    if before is not None:
-        old = read(spark, primary)
-        if changed := drift(old, new):
-            raise GuardError("; ".join(changed))
-        if not may_shrink and reach < old.agg(F.max(extent)).first()[0]:
-            raise GuardError("the published extent would shrink")
+    written = _load(spark, primary, fresh, schema)
+    reach = _plain(written.agg(F.max(extent)).first()[0])
+    if old[primary] and only_regions:
+        reach = max(reach, old[primary]["extent"])
+    if old[primary] and not may_shrink and reach < old[primary]["extent"]:
+        raise GuardError("the published extent would shrink")
+    for root in roots[1:]:  # replicas hold copies of what was written, not of a second computation
+        written.repartition(region).write.partitionBy(region).parquet(f"{root}/data/snapshot={name}")
     if current(spark, primary) != before:
         raise GuardError("the primary has moved on")
+    changed_regions = {p.split("/", 1)[1] for p in fresh}
     for root in [*roots[1:], primary]:
-        _put_text(spark, f"{root}/current", snapshots[root])
-    return snapshots[primary]
+        kept = [p for p in old[root]["partitions"] if p.split("/", 1)[1] not in changed_regions] if only_regions and old[root] else []
+        _put_text(spark, f"{root}/manifests/{name}.json", json.dumps({"schema": json.loads(schema.json()), "region": region, "extent": reach, "partitions": kept + fresh}))
+        _put_text(spark, f"{root}/current", name)
+    return name
 
 
 def expire(spark: SparkSession, root: str) -> int:
-    """Delete snapshots that aren't published; how many there were."""
-    jvm, fs, p = _fs(spark, f"{root}/data")
-    keep = current(spark, root)
-    gone = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName() not in (keep, f"{keep}.schema")] if fs.exists(p) else []
-    for path in gone:
-        fs.delete(path, True)
-    return len(gone)
-
-
-def resume_point(spark: SparkSession, root: str, position: str, start):
+    """Delete partitions and manifests that aren't published; how many partitions there were."""
+    m, name, gone = manifest(spark, root), current(spark, root), 0
+    keep = set(m["partitions"]) if m else set()
+    for snapshot in _names(spark, f"{root}/data"):
+        for part in _names(spark, f"{root}/data/{snapshot}"):
+            if f"{snapshot}/{part}" not in keep:
+                fs, p = _fs(spark, f"{root}/data/{snapshot}/{part}")
+                fs.delete(p, True)
+                gone += 1
+        if not _names(spark, f"{root}/data/{snapshot}"):
+            fs, p = _fs(spark, f"{root}/data/{snapshot}")
+            fs.delete(p, True)
+    fs, p = _fs(spark, f"{root}/manifests")
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        if s.getPath().getName() != f"{name}.json":
+            fs.delete(s.getPath(), False)
+    return gone
+
+
+def resume_point(spark: SparkSession, root: str, start):
     """Where an update begins: the largest published position, which it does again; `start` for a new store."""
-    have = read(spark, root)
-    return start if have is None else have.agg(F.max(position)).first()[0]
-
-
-def merge_regions(spark: SparkSession, root: str, fresh: DataFrame, region: str) -> DataFrame:
-    """The published rows with whole regions replaced by `fresh`'s; the rest is read as it is."""
-    have = read(spark, root)
-    if have is None:
-        return fresh
-    return have.join(fresh.select(region).distinct(), region, "left_anti").unionByName(fresh.select(have.columns))
+    m = manifest(spark, root)
+    return start if m is None else m["extent"]

@@ -23,7 +23,9 @@ def test_update_equals_backfill(spark, tmp_path):
     whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
     ingest.backfill(cells(spark, 50), DATASET, [whole])
     ingest.update(cells(spark, 19), DATASET, [parts])
-    ingest.update(cells(spark, 37), DATASET, [parts])
+    late = cells(spark, 37).where("x <> 2 or time < 40000")  # a late source, which the window's next sweep brings
+    ingest.update(late, DATASET, [parts])
+    ingest.update(cells(spark, 37), DATASET, [parts], window=24 * 3600)
     ingest.update(cells(spark, 50), DATASET, [parts])
     assert rows(spark, parts) == rows(spark, whole)
     got = {(x, t, v): y for x, t, v, y in rows(spark, whole)}
@@ -45,3 +47,12 @@ def test_pending(spark, tmp_path):
     ingest.backfill(cells(spark, 8), DATASET, [root])
     left = {r.file for r in ingest.pending_files(wanted, DATASET, root, "first").collect()}
     assert left == {f"f{h * 3600}" for h in (0, 5, 8, 9, 10, 11)}  # hours 0 and 5 hold no value
+
+
+def test_backfill_range():
+    import pytest
+
+    assert ingest.backfill_range(DATASET, 7300, None) == (0, 7200)
+    assert ingest.backfill_range(DATASET, 99999, 7200, may_overwrite=True) == (0, 10800)
+    with pytest.raises(store.GuardError):
+        ingest.backfill_range(DATASET, 99999, 7200)

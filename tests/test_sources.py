@@ -43,22 +43,26 @@ def test_stale_file(spark):
 def test_publish_and_guards(spark, tmp_path):
     primary, replica = str(tmp_path / "p"), str(tmp_path / "r")
     df = spark.range(10).select(F.col("id").alias("time"), (F.col("id") % 2).alias("region"), F.lit(1.0).alias("v"))
-    first = store.publish(df, [primary, replica], ["region"], "time")
+    first = store.publish(df, [primary, replica], "region", "time")
     assert store.read(spark, primary).count() == store.read(spark, replica).count() == 10
+    assert store.read(spark, primary).dtypes == df.dtypes
     with pytest.raises(store.GuardError, match="shrink"):
-        store.publish(df.where("time < 5"), [primary], ["region"], "time")
+        store.publish(df.where("time < 5"), [primary], "region", "time")
     with pytest.raises(store.GuardError, match="missing"):
-        store.publish(df.drop("v"), [primary], ["region"], "time")
+        store.publish(df.drop("v"), [primary], "region", "time")
     with pytest.raises(store.GuardError, match="empty"):
-        store.publish(df.where("false"), [primary], ["region"], "time")
+        store.publish(df.where("false"), [primary], "region", "time")
     with pytest.raises(store.GuardError, match="moved"):
-        store.publish(df, [primary], ["region"], "time", expected="other")
-    assert store.current(spark, primary) == first and store.resume_point(spark, primary, "time", 0) == 9
+        store.publish(df, [primary], "region", "time", expected="other")
+    assert store.current(spark, primary) == first and store.resume_point(spark, primary, 0) == 9
     fresh = spark.range(8, 12).select(F.col("id").alias("time"), F.lit(1).cast("long").alias("region"), F.lit(2.0).alias("v"))
-    merged = store.merge_regions(spark, primary, fresh, "region")
-    store.publish(merged, [primary], ["region"], "time", expected=first)
-    assert store.expire(spark, primary) > 0
-    assert store.read(spark, primary).where("v = 2.0").count() == 4 and store.read(spark, primary).count() == 9
+    store.publish(fresh, [primary, replica], "region", "time", expected=first, only_regions=True)
+    for root in (primary, replica):
+        parts = store.manifest(spark, root)["partitions"]
+        assert [p.split("=", 1)[1].split("/")[0] == first for p in parts] == [True, False]  # region 0 wasn't written again
+        assert store.read(spark, root).where("v = 2.0").count() == 4 and store.read(spark, root).count() == 9
+    assert store.expire(spark, primary) == 3  # region 1 of the first, and what a failed attempt had staged
+    assert store.read(spark, primary).count() == 9 and store.resume_point(spark, primary, 0) == 11
 
 
 def test_stream_is_idempotent(spark, tmp_path):
