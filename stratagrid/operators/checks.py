@@ -67,3 +67,11 @@ def strictly_selected(names: list[str], include: list[str] | None, exclude: list
     if unknown or not chosen:
         raise ValueError(f"unknown variables: {unknown}" if unknown else "no variables are left")
     return chosen
+
+
+def markdown(results: DataFrame) -> DataFrame:
+    """Lines of a table of results, failures first; `order` sorts them."""
+    flag = F.when(F.col("passed"), "passed").otherwise("FAILED")
+    rows = results.select(F.struct(F.lit(1), F.col("passed"), F.col("check")).alias("order"), F.concat(F.lit("| "), F.concat_ws(" | ", "check", flag, F.regexp_replace("message", "\\|", "/"), F.col("checked").cast("string")), F.lit(" |")).alias("line"))
+    head = results.sparkSession.createDataFrame([(0, "| check | result | message | checked |"), (1, "| --- | --- | --- | --- |")], "n int, line string")
+    return head.select(F.struct(F.lit(0), (F.col("n") > 0), F.col("line").alias("check")).alias("order"), "line").union(rows)

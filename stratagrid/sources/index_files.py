@@ -101,3 +101,8 @@ def message_frames(spark: SparkSession, path: str, magic: bytes = b"GRIB", trail
 def refs(ranges: DataFrame, var: str, dims: list[str], location: str) -> DataFrame:
     """(var, dims..., location, offset, length): references to source bytes."""
     return ranges.select(F.col(var).alias("var"), *dims, F.col(location).alias("location"), F.col("start").alias("offset"), (F.col("stop") - F.col("start")).alias("length"))
+
+
+def write_json_index(df: DataFrame, path: str) -> None:
+    """JSON lines with their keys in order; NULL fields are left out."""
+    df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(df.columns)))).alias("value")).write.text(path)

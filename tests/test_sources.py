@@ -93,3 +93,22 @@ def test_raster(spark):
     lat, lon = raster.lambert_inverse(F.lit(0.0), F.lit(0.0), 38.5, -97.5, 38.5, 38.5)
     got = spark.range(1).select(lat, lon).first()
     assert got[0] == pytest.approx(38.5) and got[1] == pytest.approx(-97.5)
+
+
+def test_json_sink_and_gzip(spark, tmp_path):
+    import gzip
+
+    df = spark.createDataFrame([("t", 5, None), ("u", 7, "x")], "var string, offset long, a string")
+    index_files.write_json_index(df.coalesce(1), str(tmp_path / "out"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "out")).collect()) == ['{"a":"x","offset":7,"var":"u"}', '{"offset":5,"var":"t"}']
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "a.idx.gz").write_bytes(gzip.compress(b"1:0:d=2024010100:TMP:surface:anl:\n"))
+    assert index_files.text_index(spark, str(tmp_path / "z")).first().element == "TMP"
+
+
+def test_markdown(spark):
+    from stratagrid.operators import checks
+
+    results = spark.createDataFrame([("b", True, "fine", 3), ("a", False, "x|y", 4)], "check string, passed boolean, message string, checked long")
+    lines = [r.line for r in checks.markdown(results).orderBy("order").collect()]
+    assert lines == ["| check | result | message | checked |", "| --- | --- | --- | --- |", "| a | FAILED | x/y | 4 |", "| b | passed | fine | 3 |"]
