@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratagrid.llm import decontaminate, langid, minhash_dedup, mixing, secret_scan
-from stratagrid.llm.common import Workspace, table
+from stratagrid.llm.common import OPEN, Workspace, table
 
 #: Documents with no letter, or whose best language is less likely than this, are rejected.
 LEAST_LANGUAGE_SCORE = 0.4
@@ -67,5 +67,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
+        before = len(OPEN)
         docs = ws.cut(stage(spark, docs, sf_dir))
+        for used in OPEN[before:]:
+            used.remove()
     return docs

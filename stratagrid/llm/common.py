@@ -27,12 +27,25 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
+#: Workspaces that have not been removed, in the order they were opened.
+OPEN: list = []
+
+
 class Workspace:
-    """Tables written to the shared folder to cut lineage; a lost executor rereads them."""
+    """Tables written to the shared folder to cut lineage; a lost executor rereads them.
+
+    Results read them lazily; `remove` deletes them once a result has been written.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._count = 0
+        OPEN.append(self)
+
+    def remove(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        OPEN.remove(self)
 
     def cut(self, df: DataFrame) -> DataFrame:
         """`df`, written once and read back."""

@@ -67,20 +67,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64()))], ["lang", "kind", "token", "n"])
 
 
-def _scores(rows: list, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
+def _scores(rows: pa.Table, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """Log frequencies by token (rows) and language (columns), each kind of token on its own."""
-    place: dict[str, int] = {}
-    for r in rows:
-        place.setdefault(r.token, len(place))
-    table = np.zeros((len(place), len(languages)))
-    kinds = {}
-    for r in rows:
-        table[place[r.token], languages.index(r.lang)] += r.n
-        kinds.setdefault(r.kind, set()).add(place[r.token])
-    for members in kinds.values():
-        at = np.fromiter(members, np.int64)
-        table[at] = np.log((table[at] + SMOOTH) / (table[at].sum(axis=0) + SMOOTH * (len(at) + 1)))
-    return place, table
+    token, kind, lang = (rows[c].combine_chunks().dictionary_encode() for c in ("token", "kind", "lang"))
+    at, kinds = token.indices.to_numpy(), kind.indices.to_numpy()
+    table = np.zeros((len(token.dictionary), len(languages)))
+    np.add.at(table, (at, np.array([languages.index(x) for x in lang.dictionary.to_pylist()], dtype=np.int64)[lang.indices.to_numpy()]), rows["n"].to_numpy())
+    for k in range(len(kind.dictionary)):
+        members = np.unique(at[kinds == k])
+        table[members] = np.log((table[members] + SMOOTH) / (table[members].sum(axis=0) + SMOOTH * (len(members) + 1)))
+    return {t: i for i, t in enumerate(token.dictionary.to_pylist())}, table
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
@@ -92,7 +88,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))))
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)).select("lang", "text")
     counts = sample.mapInArrow(_count, "lang string, kind string, token string, n long").groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
-    top = lambda cond, most: counts.where(cond).orderBy(F.desc("n"), "token", "lang").limit(most).collect()
+    top = lambda cond, most: counts.where(cond).orderBy(F.desc("n"), "token", "lang").limit(most).toArrow()
     languages = sorted(sizes)
     return Model(languages, *_scores(top("kind = 'w'", MAX_WORDS), languages), *_scores(top("kind <> 'w'", MAX_GRAMS), languages))
 
