@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rates below 0 down to these are noise and become 0; below them they become missing.
+# Rates below 0 down to these are noise and become 0; below them they become missing.
 CLAMP_PRECIPITATION, CLAMP_FLUX, CLAMP_RADIATION = -7e-5, -50.0, -1000.0
 
 

@@ -107,7 +107,12 @@ def batches(df: DataFrame, group: list[str], order: str, most: int) -> DataFrame
     return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / most).cast("long"))
 
 
-def request_cost(df: DataFrame, fields: str, leads: str, members: str, message_bytes: int = 55_691) -> DataFrame:
+# Fixed value: mean bytes of a message.
+MESSAGE_BYTES = 55_691
+
+
+def request_cost(df: DataFrame, fields: str, leads: str, members: str, message_bytes: int = MESSAGE_BYTES) -> DataFrame:
+    """Messages and bytes of requests, from their numbers of fields, leads and members."""
     n = F.col(fields) * F.col(leads) * F.col(members)
     return df.withColumns({"n_messages": n, "bytes": n * message_bytes})
 

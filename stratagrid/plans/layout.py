@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Bytes of a value, assumed compression, and compressed sizes in MB (range, best).
 BYTES, COMPRESSION = 4, 0.2
 CHUNK_MB, CHUNK_BEST_MB = (2.5, 6.0), 3.5
 SHARD_MB, SHARD_BEST_MB = (100.0, 1200.0), 300.0

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Bytes after the last message's start, where the file's size isn't known.
+# Fixed value: bytes after the last message's start, where the file's size isn't known.
 PAD = 10 << 30
 
 
