@@ -158,3 +158,9 @@ def box(df: DataFrame, reference: DataFrame, lat: str, lon: str) -> DataFrame:
     span = reference.agg(F.min(lat).alias("__a"), F.max(lat).alias("__b"), F.min(lon).alias("__c"), F.max(lon).alias("__d"))
     j = df.join(F.broadcast(span))  # one row
     return j.where(F.col(lat).between(F.col("__a"), F.col("__b")) & F.col(lon).between(F.col("__c"), F.col("__d"))).drop("__a", "__b", "__c", "__d")
+
+
+def recent_inits(spark: SparkSession, now: int, delay: int, n: int, earliest: int, every: int = 86400) -> DataFrame:
+    """(init, rank): the last n inits that are `delay` seconds old, newest first, none before `earliest`."""
+    last = (now - delay) // every * every
+    return spark.range(n).select((F.lit(last) - F.col("id") * every).alias("init"), (F.col("id") + 1).alias("rank")).where(F.col("init") >= earliest)

@@ -692,3 +692,11 @@ count(*) filter (ratio < case r when 1 then 0.0 when 2 then 0.5 else 1.0 end) ||
 def completeness_check(spark: SparkSession, d: str) -> DataFrame:
     c = read(spark, d, "orders").groupBy(F.floor(seconds("o_orderdate") / 86400 / 90).alias("quarter")).agg((F.count_if(F.col("o_orderstatus") != "P") / F.count("*")).alias("ratio"))
     return checks.complete(c, "quarter", [0.0, 0.5, 1.0])
+
+
+@query("""with m as (select max(floor(epoch(ts))::bigint) hi, min(floor(epoch(ts))::bigint) lo from events), r as (select (hi - 7200) // 86400 * 86400 - k * 86400 as init, k + 1 as rank, lo from m, (select unnest(range(0, 45)) k))
+select init, rank, case when init % 172800 = 0 then 4611686018427387904 else init end as probe from r where init >= lo""")
+def recent_inits(spark: SparkSession, d: str) -> DataFrame:
+    ends = read(spark, d, "events").agg(F.max(seconds("ts")).alias("hi"), F.min(seconds("ts")).alias("lo")).first()
+    inits = grid.recent_inits(spark, ends.hi, 7200, 45, ends.lo)
+    return inits.select("init", "rank", F.when(F.col("init") % 172800 == 0, grid.probe_order(F.lit(0))).otherwise(grid.probe_order(F.col("init"))).alias("probe"))
