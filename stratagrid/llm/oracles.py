@@ -82,3 +82,19 @@ def _licenses() -> str:
 
 
 SQL["op3_license_scan"] = _licenses()
+
+#: J is at most the share of either document's shingles (by weight) that the other has, which picks the pairs to compute.
+SQL["op1_minhash_near_dedup"] = r"""
+with recursive d as materialized (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+s as materialized (select doc_id, hash(t) t, count(*)::double n from (select doc_id, unnest([array_to_string(w[i : i + 4], ' ') for i in range(1, greatest(2, len(w) - 3))]) t from d where len(w) > 0) group by 1, 2),
+total as (select doc_id, sum(n) n from s group by 1),
+p as materialized (select a.doc_id a, b.doc_id b from s a join s b on a.t = b.t and a.doc_id < b.doc_id join total ta on ta.doc_id = a.doc_id join total tb on tb.doc_id = b.doc_id
+  group by all having sum(a.n) >= 0.8 * any_value(ta.n) - 1e-9 and sum(b.n) >= 0.8 * any_value(tb.n) - 1e-9),
+u as materialized (select a, b, t, sum(x) x, sum(y) y from (select a, b, t, n x, 0.0::double y from p join s on doc_id = a union all select a, b, t, 0.0, n from p join s on doc_id = b) group by 1, 2, 3),
+r as materialized (select a, b, case when y > 0 then x / y end ratio, sum(x) x, sum(y) y from u group by 1, 2, 3),
+j as (select i.a, i.b, sum(i.x / f) j from (select i.a, i.b, i.ratio, any_value(i.x) x, sum(case when k.ratio <= i.ratio then i.ratio * k.y else k.x end) f
+  from r i join r k on i.a = k.a and i.b = k.b where i.x > 0 and i.y > 0 group by 1, 2, 3) i group by 1, 2),
+links as materialized (select a, b from j where j >= 0.8 - 1e-9 union select b, a from j where j >= 0.8 - 1e-9),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+c as (select a, min(b) b from reach group by 1)
+select doc_id, least(doc_id, coalesce(b, doc_id)) class_id, len(w)::bigint n_words, least(doc_id, coalesce(b, doc_id)) = doc_id kept from d left join c on a = doc_id"""
