@@ -31,3 +31,42 @@ def test_empty(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() == 0
+
+
+def test_against_brute_force(spark, tmp_path):
+    """Each stage's rows against plain Python for languages, and DuckDB over that stage's own input for the others."""
+    import duckdb
+
+    from stratagrid.llm import langid
+
+    data = "/root/testdata/sf0.01"
+    base = spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 500")
+    bench = [r.text for r in spark.read.parquet(f"{data}/benchmark.parquet").orderBy("item_id").limit(3).collect()]
+    odd = [(10**6 + i, t, "en", "src0", 1) for i, t in enumerate(["", "!!", bench[0], f"{bench[1]} and more of the same", "api_key: abcdefgh1 and that", "the of and to in that is"])]
+    docs = base.union(spark.createDataFrame(odd, base.schema))
+    sql = queries.oracle_sql()
+    rules = {
+        "minhash_near_dedup": f"select doc_id from ({sql['op1_minhash_near_dedup']}) where kept",
+        "benchmark_decontamination": f"select doc_id from ({sql['op5_benchmark_decontamination']}) where not contaminated",
+        "secret_scan": f"select doc_id from ({sql['op10_secret_scan']}) where spans = ''",
+        "mixing": f"select doc_id from ({sql['op4_source_mixing']}) where sampled",
+    }
+    gone = []
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = str(tmp_path / f"in{i}")
+        docs.write.parquet(before)
+        docs = spark.read.parquet(before)
+        if name == "language_id":
+            scorer = langid.Scorer(langid.fit(docs))
+            found = {r.doc_id: scorer(r.text) for r in docs.collect()}
+            want = {d for d, (lang, score) in found.items() if lang != "und" and score >= corpus_pipeline.LEAST_LANGUAGE_SCORE}
+        else:
+            duck = duckdb.connect()
+            duck.execute(f"create view documents as select * from read_parquet('{before}/*.parquet')")
+            duck.execute(f"create view benchmark as select * from read_parquet('{data}/benchmark.parquet')")
+            want = {r[0] for r in duck.execute(rules[name]).fetchall()}
+        n = docs.count()
+        docs = stage(spark, docs, data)
+        assert {r.doc_id for r in docs.select("doc_id").collect()} == want, name
+        gone.append(n - len(want))
+    assert all(n > 0 for n in gone)
