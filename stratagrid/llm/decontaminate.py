@@ -1,7 +1,7 @@
 """Benchmark decontamination over a document-partitioned positional inverted index.
 
 Index: every task turns its documents into postings (term -> token positions) for the
-terms that the test items use, and stores one row of postings per few megabytes of
+terms that the test items use, and stores one row of postings per two megabytes of
 text, with the documents' boundaries. Terms are 64-bit codes of words. Search: a test
 item's window of consecutive words is looked up from its rarest term, by frequency
 over the whole corpus; the lists of its other terms, moved by their offsets in the
@@ -29,6 +29,8 @@ from .common import Workspace
 WINDOW = 13
 #: Bytes of test items in one block; their terms and windows take about ten times that in a task.
 BLOCK_BYTES = 4_000_000
+#: Bytes of text in one row of the index.
+INDEX_BYTES = 1 << 21
 #: Proximity: so many of a window's rarest terms within so many words.
 NEAR_TERMS, NEAR_WORDS = 3, 24
 
@@ -39,7 +41,7 @@ def _index(vocabulary: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts, ends = K.utf8(batch.column(1))
-            for lo, hi in K.slices(starts, ends):
+            for lo, hi in K.slices(starts, ends, INDEX_BYTES):
                 w = K.words(data, starts[lo:hi], ends[lo:hi])
                 at = np.minimum(np.searchsorted(vocabulary, w.code), max(0, len(vocabulary) - 1))
                 used = np.flatnonzero(vocabulary[at] == w.code) if len(vocabulary) else np.zeros(0, np.int64)

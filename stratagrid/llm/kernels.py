@@ -64,7 +64,7 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np
     return data, starts, ends
 
 
-def slices(starts: np.ndarray, ends: np.ndarray, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def slices(starts: np.ndarray, ends: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of rows of about `limit` bytes; a longer row stands alone."""
     lo, size = 0, 0
     for i, n in enumerate((ends - starts).tolist()):
