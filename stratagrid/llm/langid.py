@@ -28,7 +28,7 @@ LONGEST = 5
 SMOOTH = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 #: Vectors of words that a task keeps at a time.
-MEMO = 300_000
+MEMO = 150_000
 UNKNOWN = "und"
 
 
