@@ -74,14 +74,14 @@ def test_availability_and_pending(spark):
 
 def test_small_functions(spark):
     row = spark.range(1).select(
-        scalar.pascal_case(F.lit("noaa gfs-forecast")),
+        scalar.pascal_case(F.lit("some wind-forecast")),
         *scalar.dataset_and_version(F.lit("s3://b/some-data/v0.2.0.zarr/")),
         *scalar.split_var_path(F.lit("pressure/level/t")),
         scalar.signed_magnitude(F.lit(0x8003), 16),
         align.nearest_level(F.lit(10.0), [5.0, 15.0]),
         scalar.whole_hours(F.lit(5400)),
     ).first()
-    assert tuple(row) == ("NoaaGfsForecast", "some-data", "v0.2.0", "pressure/level", "t", -3, 15.0, None)
+    assert tuple(row) == ("SomeWindForecast", "some-data", "v0.2.0", "pressure/level", "t", -3, 15.0, None)
     with pytest.raises(ValueError):
         scalar.round_mantissa("x", 24)
 
