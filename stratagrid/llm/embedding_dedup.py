@@ -4,13 +4,20 @@ In every pass a vector gets the signs of `BITS` random projections as its code.
 passes are sorted together by (pass, label, code), each vector is compared with the
 next `WINDOW` vectors of its pass and label, and what verified pairs connect leaves a
 task as a spanning forest, so that a dense group of n vectors emits n links per pass
-and not n * n. The union over passes gives components; inside each, blocks of vectors
-are compared with each other by matrix products to count every link exactly.
-
-A pair at the threshold (cosine 0.98) differs in a sign with probability 0.064. Among
-n vectors of a label the codes must agree in about log2(n / WINDOW) leading signs to
-be neighbours; with 16 passes a pair at the threshold is missed with probability
-0.00001 at n = 10,000 and 0.02 at 100 million, closer pairs far less.
+and not n * n. The union over passes gives components. In a dense label most codes
+agree, and a window sees few of the vectors that it should; so runs of vectors whose
+codes agree in their first bits are then compared across components, in blocks,
+however long a run is. Inside each component blocks of vectors are compared with each
+other by matrix products to count every link exactly.
+
+Runs agree in ceil(log2(n / WINDOW)) bits for n vectors of a label, so that unrelated
+vectors make runs of WINDOW at most on average. A pair of different components is
+compared if it shares a run in any pass, whatever other vectors there are. A pair at
+the threshold (cosine 0.98) differs in a sign with probability 0.064; with 16 passes
+it shares no run with probability 0.000003 at n = 10,000 and 0.014 at 100 million,
+closer pairs far less. A run costs the product of its vectors outside its largest
+component and all its vectors: a label of m vectors that all lie just below the
+threshold costs m * m, which is what it takes to tell them apart.
 
 Equal vectors of a label are one class with a multiplicity from the start.
 """
@@ -31,6 +38,8 @@ from .components import components
 THRESHOLD = 0.98
 PASSES, BITS, WINDOW = 16, 32, 32
 BLOCK = 512
+#: Vectors of one length whose codes agree in their first bits.
+RUN = ["pass", "label", "dim", "prefix"]
 #: Rounding of a dot product of unit vectors; far below any difference of float32 inputs.
 SLACK = 1e-12
 
@@ -61,9 +70,8 @@ def _codes(passes: int, bits: int, seed: int):
                 rows = np.flatnonzero(size == dim)
                 signs = (unit(np.stack([vectors[r] for r in rows])) @ planes[dim] > 0).reshape(len(rows), passes, bits)
                 code[rows] = signs @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
-            everyone = pa.array(np.repeat(np.arange(len(vectors)), passes))
-            cols = [pa.array(np.tile(np.arange(passes, dtype=np.int32), len(vectors))), batch.column(1).take(everyone), pa.array(code.ravel()), batch.column(0).take(everyone), batch.column(2).take(everyone)]
-            yield pa.RecordBatch.from_arrays(cols, ["pass", "label", "code", "rep", "v"])
+            codes = pa.ListArray.from_arrays(np.arange(len(vectors) + 1, dtype=np.int32) * passes, pa.array(code.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size, pa.int32()), codes], ["rep", "label", "v", "dim", "codes"])
 
     return run
 
@@ -111,6 +119,56 @@ def _neighbours(window: int, threshold: float):
     return run
 
 
+def _across(threshold: float):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = [np.zeros((0, 2), np.int64)]
+        pdf = pdf.sort_values([*RUN, "lo", "hi"])
+        key = pdf[[*RUN, "lo", "hi"]].to_numpy()
+        edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
+        comp, block, v = pdf.component.to_numpy(), pdf.block.to_numpy(), pdf.v.to_numpy()
+        for s, e in zip(edges[:-1], edges[1:]):
+            x, c = unit(np.stack(v[s:e])), comp[s:e]
+            one, two = np.flatnonzero(block[s:e] == key[s, -2]), np.flatnonzero(block[s:e] == key[s, -1])
+            i, j = np.nonzero((x[one] @ x[two].T >= threshold - SLACK) & (c[one][:, None] != c[two][None, :]))
+            if len(i):
+                nodes, at = np.unique(c, return_inverse=True)
+                name = _forest(at[one[i]], at[two[j]], len(nodes))
+                moved = np.flatnonzero(name != np.arange(len(nodes)))
+                out.append(np.column_stack([nodes[name[moved]], nodes[moved]]))
+        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
+
+    return run
+
+
+def across_components(coded: DataFrame, found: DataFrame, ws: Workspace, threshold: float, bits: int, window: int, block: int) -> DataFrame:
+    """Links (a, b) between components, by all pairs of different ones that share a run.
+
+    The members outside a run's largest component are compared with all of it, block by
+    block inside tasks of bounded size; a task emits a spanning forest of components.
+    """
+    sizes = coded.groupBy("label", "dim").agg(F.count("*").alias("n"))
+    free = F.greatest(F.lit(0), F.lit(bits) - F.ceil(F.log2(F.col("n") / window))).cast("int")
+    sizes = sizes.select("label", "dim", F.when(F.col("n") <= window, F.lit(bits)).otherwise(free).alias("free"))
+    named = coded.select("rep", "label", "dim", "codes").join(found.withColumnRenamed("node", "rep"), "rep", "left").join(sizes, ["label", "dim"])
+    member = named.select("rep", "label", "dim", "free", F.coalesce("component", "rep").alias("component"), F.posexplode("codes").alias("pass", "code"))
+    member = ws.cut(member.select("rep", "label", "dim", "component", "pass", F.expr("shiftright(code, free)").alias("prefix")))
+    runs = member.groupBy(*RUN, "component").agg(F.count("*").alias("n"))
+    runs = runs.groupBy(*RUN).agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
+    small = F.col("n") <= block  # one block for all
+    outside = F.when(small, F.lit(1)).otherwise(F.ceil((F.col("n") - F.col("top.n")) / block)).cast("long")
+    inside = F.when(small, F.lit(0)).otherwise(F.ceil(F.col("top.n") / block)).cast("long")
+    runs = ws.cut(runs.select(*RUN, F.col("top.component").alias("top"), outside.alias("outside"), inside.alias("inside")))
+    rows = member.join(runs, RUN)
+    of_top = (F.col("component") == F.col("top")) & (F.col("inside") > 0)
+    rows = rows.withColumn("block", F.when(of_top, F.col("outside") + F.pmod(F.xxhash64("rep"), "inside")).otherwise(F.pmod(F.xxhash64("rep"), "outside")))
+    last = F.when(of_top, F.col("outside")).otherwise(F.col("outside") + F.col("inside")) - 1
+    rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    rows = ws.cut(rows.select("rep", "component", *RUN, "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))
+    tasks = max(1, rows.count() // 8000)
+    rows = rows.join(coded.select("rep", "v"), "rep")
+    return rows.groupBy(F.pmod(F.xxhash64(*RUN, "lo", "hi"), F.lit(tasks)).alias("task")).applyInPandas(_across(threshold), "a long, b long").distinct()
+
+
 def _count(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -136,16 +194,22 @@ def near_duplicates(vectors: DataFrame, ws: Workspace, threshold: float = THRESH
     Vectors that are null, empty, zero or hold null or non-finite values, and null
     vec_ids, link with nothing. Rows of one vec_id and vector count as copies.
     """
-    double = F.transform(F.col("embedding"), lambda x: x.cast("double"))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), double.alias("v"))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast(f"array<{kind}>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(finite, F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     keyed = rows.select("vec_id", "label", F.when(usable, F.xxhash64("v")).alias("k1"), F.when(usable, F.hash("v")).alias("k2"), "v")
     classes = ws.cut(keyed.where("k1 is not null").groupBy("label", "k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.min("v").alias("v")))
-    coded = classes.select("rep", "label", "v").mapInArrow(_codes(passes, bits, seed), "pass int, label long, code long, rep long, v array<double>")
+    coded = ws.cut(classes.select("rep", "label", "v").mapInArrow(_codes(passes, bits, seed), f"rep long, label long, v array<{kind}>, dim int, codes array<long>"))
     order = ["pass", "label", "code", "rep"]
-    forest = coded.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(window, threshold), "a long, b long")
+    passed = coded.select(F.posexplode("codes").alias("pass", "code"), "label", "rep", "v")
+    forest = passed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(window, threshold), "a long, b long")
     found = ws.cut(components(forest, ws))
+    more = ws.cut(across_components(coded, found, ws, threshold, bits, window, block))
+    if not more.isEmpty():
+        wider = components(more, ws).select(F.col("node").alias("name"), F.col("component").alias("wider"))
+        named = classes.select(F.col("rep").alias("node")).join(found, "node", "left").withColumn("name", F.coalesce("component", "node")).join(wider, "name", "left")
+        found = ws.cut(named.where("component is not null or wider is not null").select("node", F.coalesce("wider", "component").alias("component")))
 
     members = ws.cut(classes.select("rep", "copies", "v").join(found.withColumnRenamed("node", "rep"), "rep"))
     sizes = ws.cut(members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks")))

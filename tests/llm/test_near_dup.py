@@ -140,3 +140,19 @@ def test_embeddings_against_brute_force(spark):
     assert got[None].n_links == 0 and len(links) > 100
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_dedup.near_duplicates(none, Workspace(spark, "t")).count() == 0
+
+
+def test_embeddings_of_a_dense_label(spark):
+    """One label whose vectors lie just below the threshold: most codes agree, and windows see few of the pairs."""
+    rng = np.random.default_rng(8)
+    n, dim = 3000, 128
+    centre = rng.standard_normal(dim)
+    v = (centre / np.linalg.norm(centre) + np.sqrt((1 / 0.967 - 1) / dim) * rng.standard_normal((n, dim))).astype(np.float32)
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int"), Workspace(spark, "t")).collect()}
+    x = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    close = x @ x.T >= 0.98
+    np.fill_diagonal(close, False)
+    want = union_find(range(n), np.argwhere(np.triu(close)).tolist())
+    assert 200 < (close.sum(axis=1) > 0).sum() < n - 200
+    assert sum(got[i].component_id != c for i, c in want.items()) == 0
+    assert [got[i].n_links for i in range(n)] == close.sum(axis=1).tolist()
