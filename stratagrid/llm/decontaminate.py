@@ -11,7 +11,7 @@ other, in any order.
 
 Neither documents nor postings are shuffled. The test items are the stated query set:
 they are taken in blocks of bounded size, each broadcast to all index rows; with
-several blocks, hit intervals are merged per document.
+several blocks, hit intervals are merged per row of the documents.
 """
 
 from __future__ import annotations
@@ -34,13 +34,13 @@ INDEX_BYTES = 1 << 21
 #: Proximity: so many of a window's rarest terms within so many words.
 NEAR_TERMS, NEAR_WORDS = 3, 24
 
-INDEX = "doc_id array<long>, n_words array<int>, terms array<int>, counts array<int>, positions binary"
+INDEX = "row array<long>, doc_id array<long>, n_words array<int>, terms array<int>, counts array<int>, positions binary"
 
 
 def _index(vocabulary: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts, ends = K.utf8(batch.column(1))
+            data, starts, ends = K.utf8(batch.column(2))
             for lo, hi in K.slices(starts, ends, INDEX_BYTES):
                 w = K.words(data, starts[lo:hi], ends[lo:hi])
                 at = np.minimum(np.searchsorted(vocabulary, w.code), max(0, len(vocabulary) - 1))
@@ -48,10 +48,10 @@ def _index(vocabulary: np.ndarray):
                 term = at[used].astype(np.int32)
                 order = np.argsort(term, kind="stable")
                 terms, counts = np.unique(term, return_counts=True)
-                row = [batch.column(0).slice(lo, hi - lo).to_pylist(), np.diff(w.first).tolist(), terms.tolist(), counts.tolist(), used[order].astype(np.uint32).tobytes()]
+                row = [*(batch.column(i).slice(lo, hi - lo).to_pylist() for i in (0, 1)), np.diff(w.first).tolist(), terms.tolist(), counts.tolist(), used[order].astype(np.uint32).tobytes()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[0]], pa.list_(pa.int64())), *(pa.array([x], pa.list_(pa.int32())) for x in row[1:4]), pa.array([row[4]], pa.binary())],
-                    ["doc_id", "n_words", "terms", "counts", "positions"],
+                    [*(pa.array([x], pa.list_(pa.int64())) for x in row[:2]), *(pa.array([x], pa.list_(pa.int32())) for x in row[2:5]), pa.array([row[5]], pa.binary())],
+                    ["row", "doc_id", "n_words", "terms", "counts", "positions"],
                 )
 
     return run
@@ -63,14 +63,15 @@ class Items:
     def __init__(self, ids: list, texts: list, window: int):
         data, starts, ends = K.utf8(pa.array(texts, pa.large_string()))
         w = K.words(data, starts, ends)
-        self.ids, self.window = ids, window
+        names = {x: i for i, x in enumerate(dict.fromkeys(ids))}  # rows of one item_id are one item
+        self.ids, self.window = list(names), window
         self.vocabulary, self.term = np.unique(w.code, return_inverse=True)
         count = np.diff(w.first)
         length = np.minimum(count[w.row], window)
         place = np.arange(len(w.code)) - w.first[w.row]
         self.start = np.flatnonzero(place + length <= count[w.row]) if len(w.code) else np.zeros(0, np.int64)
         self.start = self.start[(count[w.row[self.start]] >= window) | (place[self.start] == 0)]
-        self.length, self.item = length[self.start], w.row[self.start]
+        self.length, self.item = length[self.start], np.array([names[x] for x in ids], np.int64)[w.row[self.start]]
 
     def rank(self, frequency: np.ndarray) -> None:
         """Order every window's offsets by the frequency of their terms; equal windows of one item are one."""
@@ -137,8 +138,8 @@ def _search(items: Items, near_terms: int, near_words: int, limit: int = 1 << 20
                     for d, i in np.unique(np.concatenate(pairs), axis=0).tolist() if pairs else []:
                         store[d].append(items.ids[i])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_id"], pa.int64()), pa.array(n_words), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(ids, pa.list_(pa.string())), pa.array(near, pa.list_(pa.string()))],
-                    ["doc_id", "n_words", "spans", "items", "near_items"],
+                    [pa.array(row["row"], pa.int64()), pa.array(row["doc_id"], pa.int64()), pa.array(n_words), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), pa.array(ids, pa.list_(pa.string())), pa.array(near, pa.list_(pa.string()))],
+                    ["row", "doc_id", "n_words", "spans", "items", "near_items"],
                 )
 
     return run
@@ -155,7 +156,7 @@ def _cuts(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         lo = hi
 
 
-MATCHES = "doc_id long, n_words long, spans array<struct<start: int, end: int>>, items array<string>, near_items array<string>"
+MATCHES = "row long, doc_id long, n_words long, spans array<struct<start: int, end: int>>, items array<string>, near_items array<string>"
 
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, ws: Workspace, window: int = WINDOW, near_terms: int = NEAR_TERMS, near_words: int = NEAR_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -164,12 +165,15 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, ws: Workspace, wind
     spans: maximal runs of words (start, end exclusive) inside exact occurrences of
     windows of `benchmark` (item_id, text); items: the items these belong to;
     near_items: items with a proximity match. Null texts have no words; null doc_ids
-    stay. With several blocks, rows of equal doc_id and word count merge.
+    stay. Rows of one item_id are one item. With several blocks the texts are written
+    once with a number for each row, by which the blocks' matches merge.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null and item_id is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
+    if blocks > 1:  # row numbers must be the same for every block
+        texts = ws.cut(texts)
     parts = []
     for k in range(blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()  # of bounded size
@@ -181,12 +185,12 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, ws: Workspace, wind
         found.rank(frequency)
         parts.append(index.mapInArrow(_search(found, near_terms, near_words), MATCHES))
     if blocks == 1:
-        return parts[0]
+        return parts[0].drop("row")
     every = parts[0]
     for p in parts[1:]:
         every = every.union(p)
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    merged = every.groupBy("doc_id", "n_words").agg(*(flat(c).alias(c) for c in ("spans", "items", "near_items")))
+    merged = every.groupBy("row").agg(*(F.first(c).alias(c) for c in ("doc_id", "n_words")), *(flat(c).alias(c) for c in ("spans", "items", "near_items")))
     joined = F.aggregate(
         "spans",
         F.lit(None).cast("array<struct<start: int, end: int>>"),
@@ -194,7 +198,7 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, ws: Workspace, wind
         .when(F.element_at(acc, -1)["end"] >= s["start"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end")))))
         .otherwise(F.concat(acc, F.array(s))),
     )
-    return merged.withColumn("spans", F.coalesce(joined, F.array().cast("array<struct<start: int, end: int>>")))
+    return merged.drop("row").withColumn("spans", F.coalesce(joined, F.array().cast("array<struct<start: int, end: int>>")))
 
 
 def contamination(matches: DataFrame) -> DataFrame:

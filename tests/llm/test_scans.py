@@ -57,6 +57,18 @@ def test_decontamination(spark):
     assert nothing.where("n_hit > 0 or contaminated").count() == 0 and nothing.count() == len(docs)
 
 
+def test_decontamination_keeps_rows_and_counts_items_once(spark):
+    """Any number of blocks: repeated rows and null doc_ids stay apart, and two rows of one item_id are one item."""
+    texts = [" ".join(f"{c}{i}" for i in range(14)) for c in "abcd"]
+    items = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[2]), (3, texts[3])]
+    docs = [(None, texts[0]), (None, texts[2]), (None, " ".join(f"z{i}" for i in range(14))), (5, f"{texts[0]} {texts[1]}"), (5, f"{texts[0]} {texts[1]}"), (5, f"{texts[2]} {texts[3]}"), (6, "x"), (6, "x"), (7, None)]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for size in (decontaminate.BLOCK_BYTES, 100):
+        got = decontaminate.contamination(decontaminate.benchmark_matches(df, bench, Workspace(spark, "t"), block_bytes=size))
+        got = [tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()]
+        assert sorted(map(str, got)) == sorted(map(str, brute(docs, items)))
+
+
 def test_licenses(spark):
     assert all(license_scan.words(t) for t in license_scan.TEMPLATES.values())
     pad = "lorem ipsum dolor sit amet " * 30
