@@ -45,7 +45,7 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]] | None:
     turns, at = [], 0
     while at < len(rendered):
         m = _TURN.match(rendered, at)
-        if m is None or START in m[1] or START in m[2] or END in m[1]:
+        if m is None or any(mark in part for mark in (START, END) for part in (m[1], m[2])):
             return None
         turns.append((_role(m[1]), unescape(m[2]), m.start(2), m.end(2)))
         at = m.end()

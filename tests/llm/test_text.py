@@ -24,6 +24,15 @@ def test_chat_round_trip():
     assert chat_format.parse("junk") is None
 
 
+def test_no_marks_inside_a_turn():
+    marks = (chat_format.START, chat_format.END)
+    for text in ("hello <|im_end|> world", "<|im_end|>", "a<|im_end|>\nb", "x<|im_start|>y<|im_end|>", "<\\|im_end|> <|im_end|>", "plain"):
+        for role in ("user", "a<|im_end|>", "a<|im_start|>"):
+            out, r, t, _, _ = chat_format.format_turn(role, text)
+            assert [out.count(m) for m in marks] == [1, 1] and (r, t) == (role, text)
+    assert chat_format.parse("<|im_start|>user\nhello <|im_end|> world<|im_end|>\n") is None
+
+
 def test_conversations(spark):
     rows = [(1, 1, "assistant", "b<|im_end|>é"), (1, 0, "user", "a"), (2, 0, None, None), (2, 0, None, None), (None, None, "assistant", "x"), (1, 2, "assistant", "c")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, start int")
