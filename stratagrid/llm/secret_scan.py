@@ -28,6 +28,10 @@ NAME = "(?:[Uu]ser(?:name)?|[Ll]ogin|[Cc]lient_?[Ii]d|[Aa]ccount(?:_?[Ii]d)?|[Kk
 TOKEN = "[A-Za-z0-9+/_-]{32,}=*"
 ENDPOINT = "(?:https?|jdbc|s3|ftp|amqp|redis|postgres(?:ql)?|mysql|mongodb)://[A-Za-z0-9.:@/_?&=%-]+"
 SCOPE = 200
+#: Where a letter and a digit meet; random tokens of 32 characters have about 8 with both cases and 12 with one.
+TURN = "(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"
+TURNS_MIXED, TURNS_ANY = 3, 6
+UUID = "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
 KINDS = ("assign", "access", "hex", "name", "token", "endpoint")
 
 SPAN = "array<struct<start: int, kind: int, end: int>>"
@@ -52,16 +56,31 @@ def spans(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0)
     return F.aggregate(zipped, none, step, lambda acc: acc["found"])
 
 
+def _strong(text: Column, token: Column, endpoint: Column) -> Column:
+    """Of the `token` spans those that look random and are no part of an endpoint but for a value after `=`."""
+
+    def random(s: Column) -> Column:
+        piece = F.substr(text, s["start"] + 1, s["end"] - s["start"])
+        turns = F.regexp_count(piece, F.lit(TURN))
+        mixed = F.regexp_like(piece, F.lit("[a-z]")) & F.regexp_like(piece, F.lit("[A-Z]"))
+        looks = ((turns >= TURNS_MIXED) & mixed | (turns >= TURNS_ANY)) & ~F.regexp_like(piece, F.lit(UUID))
+        inside = F.exists(endpoint, lambda e: (e["start"] < s["end"]) & (s["start"] < e["end"]))
+        return looks & (~inside | (s["start"] > 0) & (F.substr(text, s["start"], F.lit(1)) == "="))
+
+    return F.filter(token, random)
+
+
 def _joined(found: Column) -> Column:
     names = F.array(*(F.lit(k) for k in KINDS))
     return F.concat_ws(",", F.transform(F.array_sort(found), lambda s: F.concat_ws(":", names[s["kind"]], s["start"].cast("string"), s["end"].cast("string"))))
 
 
 def secret_spans(docs: DataFrame, ws: Workspace, scope: int = SCOPE) -> DataFrame:
-    """(doc_id, base, linked), a row for each row of `docs` (doc_id, text): sorted spans (start, kind, end), kinds as in KINDS.
+    """(doc_id, base, linked, strong), a row for each row of `docs` (doc_id, text): sorted spans (start, kind, end), kinds as in KINDS.
 
     base holds assignments, access identifiers and hexadecimal runs; linked the weak
-    candidates that complementary parts confirm and that overlap no base span.
+    candidates that complementary parts confirm and that overlap no base span; strong the
+    linked tokens that look random, while any run of token characters may be in linked.
     Positions are code points. Null and empty texts have none; null doc_ids stay.
     """
     text, none = F.col("text"), F.array().cast(SPAN)
@@ -82,8 +101,10 @@ def secret_spans(docs: DataFrame, ws: Workspace, scope: int = SCOPE) -> DataFram
         F.when(any_secret & text.rlike(NAME), spans(text, NAME, 3)).otherwise(none).alias("name"),
         F.when(F.col("has_token"), spans(text, TOKEN, 4)).otherwise(none).alias("token"),
         F.when(any_secret & text.contains("://"), spans(text, ENDPOINT, 5)).otherwise(none).alias("endpoint"),
+        F.when(F.col("has_token"), F.col("text")).otherwise("").alias("text"),
     )
-    found = found.select("doc_id", "text_id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), F.concat("name", "token", "endpoint").alias("weak"))
+    found = found.withColumn("strong", F.when(F.size("token") > 0, _strong(F.col("text"), F.col("token"), F.col("endpoint"))).otherwise(none))
+    found = found.select("doc_id", "text_id", F.array_sort(F.concat("assign", "access", "hex")).alias("base"), F.concat("name", "token", "endpoint").alias("weak"), "strong")
     found = ws.cut(found)
 
     parts = found.where("size(weak) > 0").dropDuplicates(["doc_id", "text_id"])
@@ -101,8 +122,9 @@ def secret_spans(docs: DataFrame, ws: Workspace, scope: int = SCOPE) -> DataFram
     linked = linked.withColumn("bin", bins(0)).alias("w").join(clash, overlap, "left_anti").groupBy("doc_id", "text_id", "start", "kind", "end").agg(F.count("*").alias("n"), F.max("bin").alias("m"))
     linked = linked.where(F.expr(f"n = floor(end / {scope}) - floor(start / {scope}) + 1"))  # no bin of it met a base span
     linked = linked.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("linked"))
-    l, r = found.select("doc_id", "text_id", "base").alias("l"), linked.alias("r")
-    return l.join(r, F.expr("l.text_id = r.text_id and l.doc_id <=> r.doc_id"), "left").select("l.doc_id", "base", F.coalesce("linked", none).alias("linked"))
+    l, r = found.select("doc_id", "text_id", "base", "strong").alias("l"), linked.alias("r")
+    linked = F.coalesce("linked", none)
+    return l.join(r, F.expr("l.text_id = r.text_id and l.doc_id <=> r.doc_id"), "left").select("l.doc_id", "base", linked.alias("linked"), F.array_intersect(linked, "strong").alias("strong"))
 
 
 def secret_report(found: DataFrame) -> DataFrame:

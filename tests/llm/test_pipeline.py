@@ -27,6 +27,22 @@ def test_run_and_registry(spark):
     assert sum(n.startswith("op") for n in queries.queries()) == 10 and "pipeline" in queries.queries()
 
 
+def test_secrets_keep_clean_documents(spark):
+    """Links of long paths, rules, slugs and identifiers drop nothing; random tokens beside a name or an endpoint do."""
+    url, key, low = "https://h.example", "Zq9x7Lm2Kd0PwT5vRb8NcY3sHf6JgA1e", "k3j9x8q2m5z7w1p4t6v0b8n2c5h9d3g7"
+    clean = [
+        f"see {url}/2024/01/how-we-built-a-search-engine-in-30-days and {url}/docs/guide/getting-started/installation-on-linux",
+        f"{'-' * 60} {url}/a",
+        f"{'_' * 60} user=alice",
+        f"{url}/a then How-I-Built-A-Search-Engine-In-30-Days-Or-Less",
+        "user=alice 550e8400-e29b-41d4-a716-446655440000",
+        f"just {key}",
+    ]
+    leaks = [f"user=alice then {key}", f"{url}/a {key}", f"é😀 client_id: abc9 {low}", f"user=bob1 {url}/p?sig={key}", "password=hunter22"]
+    docs = spark.createDataFrame(list(enumerate(clean + leaks)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.secrets(spark, docs, "").collect()) == list(range(len(clean)))
+
+
 def test_empty(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("false")
     for _, stage in corpus_pipeline.STAGES:
