@@ -4,9 +4,10 @@ Every block of text belongs to the path of block elements from the root to it. P
 path, a page's text length and punctuation are summed and divided by the number of
 blocks; the two ratios are smoothed along the order in which the paths first occur,
 fused by their product, and paths above the threshold (the spread of the fused ratios)
-are content. The content root is the innermost element that holds most of what the
-content paths weigh, and all text under it is kept but for elements that are
-boilerplate by their tag, role, class or id.
+are content. The content roots are the article elements, or the main element, if they
+hold 0.3 of what the content paths weigh, else the innermost element with no text but
+links beside it; all text under them is kept but for elements that are boilerplate by
+their tag, role, class or id.
 """
 
 from __future__ import annotations
@@ -42,6 +43,11 @@ DROPPED_WORDS = frozenset(
 ARTICLE_WORDS = frozenset("article entry post content story main".split())
 #: Elements that give the article away.
 ROOTS = ("article", "main")
+#: Elements that the content root is never inside of.
+WHOLE = frozenset("ul ol menu dl table blockquote pre".split())
+#: A block with a larger share of link text is navigation, if it is no heading or paragraph.
+LINKS = 0.9
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
 SMOOTHING = (0.25, 0.5, 0.25)
 #: Elements below this depth count to the path above them; their text is kept like any other.
 DEEPEST = 200
@@ -201,39 +207,50 @@ def main_text(source: str | None) -> str:
             weight[path] = weight.get(path, 0.0) + len(text) * (1 - link)
     if not weight:
         weight = {path: 1.0 for path, dropped, _, _ in found if not dropped}
-    root = _root(weight)
     out = []
     lists: dict[tuple, list[float]] = {}
-    for path, dropped, link, _ in found:
+    shown: dict[tuple, float] = {}
+    for path, dropped, link, text in found:
         lists.setdefault(path, []).append(link)
+        if not dropped:
+            prose = link <= LINKS or path and path[-1].split(".")[0] in PROSE
+            shown[path] = shown.get(path, 0.0) + (len(text) if prose else 0.0)
+    roots = _roots(weight, shown)
     for path, dropped, link, text in found:
-        menu = any(x.split(".")[0] == "li" for x in path[len(root) :]) and len(lists[path]) > 2 and min(lists[path]) > 0.9
-        if not dropped and path[: len(root)] == root and not menu:
+        root = next((path[:i] for i in range(len(path) + 1) if path[:i] in roots), None)
+        if dropped or root is None:
+            continue
+        menu = any(x.split(".")[0] == "li" for x in path[len(root) :]) and len(lists[path]) > 2 and min(lists[path]) > LINKS
+        if not menu:
             out.append(text)
     return " ".join(out)
 
 
-def _root(weight: dict[tuple, float]) -> tuple:
-    """The article or main element that weighs most, else the innermost element with most of the weight."""
+def _roots(weight: dict[tuple, float], shown: dict[tuple, float]) -> set[tuple]:
+    """The article or main elements if they hold much of the weight, else the innermost element that has no other text beside it.
+
+    shown: undropped paths with the length of their text, 0 for navigation.
+    """
     total = sum(weight.values())
     for tag in ROOTS:
-        held: dict[tuple, float] = {}
-        for path, w in weight.items():
+        held: set[tuple] = set()
+        mass = 0.0
+        for path in shown:
             for i, name in enumerate(path):
                 if name.split(".")[0] == tag:
-                    held[path[: i + 1]] = held.get(path[: i + 1], 0.0) + w
+                    held.add(path[: i + 1])
+                    mass += weight.get(path, 0.0)
                     break
-        if held and sum(held.values()) >= 0.3 * total:
-            return max(held, key=held.get)
+        if held and mass >= 0.3 * total:
+            return held
     root: tuple = ()
     while True:
-        inner: dict[tuple, float] = {}
-        for path, w in weight.items():
-            if len(path) > len(root) + 1 and path[: len(root)] == root:  # the last element is a block of text itself
-                inner[path[: len(root) + 1]] = inner.get(path[: len(root) + 1], 0.0) + w
-        best = max(inner, key=inner.get, default=None)
-        if best is None or inner[best] < 0.6 * total:
-            return root
+        inner = {path[: len(root) + 1] for path, n in shown.items() if n > 0}
+        if len(inner) != 1:
+            return {root}
+        (best,) = inner
+        if best == root or best in shown or best[-1].split(".")[0] in WHOLE:  # it is a block of text itself, or a part of one
+            return {root}
         root = best
 
 

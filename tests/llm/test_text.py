@@ -61,6 +61,23 @@ def test_main_text(page, want):
     assert html_extract.main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<body><nav>Menu</nav><div class=post><h1>Title</h1><p>Intro.</p><{a}>{b}One long item, with text. And more, of it, at length; as long as the rest. {c}</{d}></div>", "Title Intro. One long item, with text. And more, of it, at length; as long as the rest.")
+        for a, b, c, d in (("ul", "<li>", "</li>", "ul"), ("table", "<tr><td>", "", "table"), ("blockquote", "<p>", "</p>", "blockquote"), ("section class=x", "<p>", "</p>", "section"))
+    ]
+    + [
+        ("<body><article class=a><p>The first one, which is long, and weighs most. Really.</p></article><article class=b><p>The second, short.</p></article><article class=comment><p>Nice, very nice!</p></article>", "The first one, which is long, and weighs most. Really. The second, short."),
+        ("<body><ul><li>Only a list, with text.</li><li>Another item, with text.</li></ul>", "Only a list, with text. Another item, with text."),
+        ("<body><div class=post><h1><a>Title</a></h1><div class=body><p>Text, with stops. And more.</p></div></div>", "Title Text, with stops. And more."),
+        ("<body><div class=links><a>Home</a></div><div class=post><p>Text, with stops. And more.</p></div>", "Text, with stops. And more."),
+    ],
+)
+def test_main_text_keeps_what_stands_beside(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, "u", "<article>a</article>", "x"), (1, "u", None, "x"), (None, None, "<p>b</p>", "x")], "page_id long, url string, html string, text string")
     assert sorted((r.page_id or 0, r.text) for r in html_extract.extract(df).collect()) == [(0, "b"), (1, ""), (1, "a")]
