@@ -88,7 +88,7 @@ def _search(items: Items, near_terms: int, near_words: int, limit: int = 1 << 20
         """(window, position of its first word) of all exact occurrences, and the windows' proximity matches (window, position)."""
         lead = items.terms[:, 0]
         have = at["count"][lead]
-        for lo in _cuts(have, limit):
+        for lo in K.cuts(have, limit):
             which = np.repeat(np.arange(lo[0], lo[1]), have[lo[0] : lo[1]])
             if not len(which):
                 continue
@@ -145,17 +145,6 @@ def _search(items: Items, near_terms: int, near_words: int, limit: int = 1 << 20
     return run
 
 
-def _cuts(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of windows with about `limit` candidates; one window alone may have more (as many as its rarest term has tokens)."""
-    total = np.cumsum(sizes)
-    lo = 0
-    while lo < len(sizes):
-        base = total[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(total, base + limit, side="right")))
-        yield lo, hi
-        lo = hi
-
-
 MATCHES = "row long, doc_id long, n_words long, spans array<struct<start: int, end: int>>, items array<string>, near_items array<string>"
 
 

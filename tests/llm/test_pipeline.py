@@ -74,7 +74,8 @@ def test_against_brute_force(spark, tmp_path):
         docs = spark.read.parquet(before)
         if name == "language_id":
             scorer = langid.Scorer(langid.fit(docs))
-            found = {r.doc_id: scorer(r.text) for r in docs.collect()}
+            rows = docs.collect()
+            found = dict(zip([r.doc_id for r in rows], scorer([r.text for r in rows])))
             want = {d for d, (lang, score) in found.items() if lang != "und" and score >= corpus_pipeline.LEAST_LANGUAGE_SCORE}
         else:
             duck = duckdb.connect()

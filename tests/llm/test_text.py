@@ -1,5 +1,9 @@
 import hashlib
+import math
 import random
+import unicodedata
+import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -84,22 +88,104 @@ def test_pages(spark):
     assert html_extract.main_text("<div>" * 5000 + "deep" + "</div>" * 5000) == "deep"
 
 
+def grams(word, n):
+    padded = f"<{word}>" if n > 1 else word
+    return [padded[i : i + n] for i in range(len(padded) - n + 1)]
+
+
+def letters(text):
+    kept = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in (text or "").lower())
+    return kept.split()
+
+
+class PlainLanguages:
+    """Words first, then shorter and shorter n-grams, with dictionaries."""
+
+    def __init__(self, rows, least=langid.LEAST_COUNT):
+        self.langs = sorted({lang for lang, _ in rows})
+        counts = [{} for _ in range(6)]
+        for lang, text in rows:
+            for w in letters(text):
+                for n in range(6):
+                    for g in [w] if n == 0 else grams(w, n):
+                        by = counts[n].setdefault(g, Counter())
+                        by[lang] += 1
+        self.tables = []
+        for by_token in counts:
+            kept = {g: by for g, by in by_token.items() if sum(by.values()) >= least}
+            total = {x: sum(by[x] for by in kept.values()) + langid.SMOOTH * (len(kept) + 1) for x in self.langs}
+            self.tables.append({g: [math.log((by[x] + langid.SMOOTH) / total[x]) for x in self.langs] for g, by in kept.items()})
+
+    def word(self, w):
+        if w in self.tables[0]:
+            return self.tables[0][w]
+        for n in range(5, 0, -1):
+            every = grams(w, n)
+            known = [self.tables[n][g] for g in every if g in self.tables[n]]
+            if known and 2 * len(known) >= len(every):
+                return [sum(k[i] for k in known) / len(known) for i in range(len(self.langs))]
+        return [0.0] * len(self.langs)
+
+    def __call__(self, text):
+        if not self.langs or not any(unicodedata.category(c)[0] == "L" for c in text or ""):
+            return "und", 0.0
+        total = [sum(x) for x in zip(*map(self.word, letters(text)))]
+        odds = [math.exp(t - max(total)) for t in total]
+        return self.langs[odds.index(1.0)], 1 / sum(odds)
+
+
+def crc_held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+ODD_TEXTS = [None, "", "123 !! _", "\u2167", "\u0301 1", "the " * 50000, "a" * 5000, "\U0001d4b3\U00010428 the", "na\u0308ive", "\u0e20\u0e32\u0e29\u0e32\u0e44\u0e17\u0e22", "the\nof", "zq"]
+
+
+def test_language_query_against_plain_python(spark, tmp_path):
+    """The whole query on sf0.001 with odd rows, against dictionaries in plain Python."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    odd = spark.createDataFrame([(10**6 + i, t, None, "s", 0) for i, t in enumerate(ODD_TEXTS)] + [(None, "the of", "en", "s", 1), (3, "the of", "en", "s", 1), (3, "the of", "en", "s", 1)], docs.schema)
+    docs.union(odd).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = docs.union(odd).collect()
+    plain = PlainLanguages([(r.lang, r.text) for r in rows if r.lang is not None and r.text is not None and r.doc_id is not None and not crc_held(r.doc_id)])
+    got = sorted(((r.doc_id or -1, r.held_out, r.lang_pred, r.score) for r in queries.op9_language_id(spark, str(tmp_path)).collect()))
+    want = sorted((r.doc_id or -1, r.doc_id is not None and crc_held(r.doc_id), *plain(r.text)) for r in rows)
+    assert [g[:3] for g in got] == [w[:3] for w in want] and len(got) == len(rows)
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-6)
+
+
 def test_languages(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     model = langid.fit(docs)
     found = langid.predict(docs, model).withColumn("h", langid.held_out("doc_id"))
     assert found.where("h").select(F.avg((F.col("__lang_pred") == F.col("lang")).cast("int"))).first()[0] >= 0.97
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !! _"), (4, "Ⅷ"), (5, "the " * 50000), (5, "the " * 50000)], "doc_id long, text string")
+    odd = spark.createDataFrame([(1, None, 1, 2), (2, "", 1, 2), (5, "the " * 50000, 1, 2), (5, "the " * 50000, 1, 2)], "doc_id long, text string, __lang_pred int, __lang_score int")
     got = [(r.doc_id, r["__lang_pred"]) for r in langid.predict(odd, model).orderBy("doc_id").collect()]
-    assert got == [(1, "und"), (2, "und"), (3, "und"), (4, "und"), (5, "en"), (5, "en")]
+    assert got == [(1, "und"), (2, "und"), (5, "en"), (5, "en")]
     nothing = langid.fit(docs.where("false"))
     assert langid.predict(odd, nothing).where("__lang_pred <> 'und'").count() == 0
-
-
-def test_backoff():
-    model = langid.Model(["a", "b"], {"cat": 0}, np.log([[0.9, 0.1]]), {"<ca": 0, "cat": 1, "at<": 2, "z": 3}, np.log([[0.8, 0.2], [0.7, 0.3], [0.6, 0.4], [0.1, 0.9]]))
-    score = langid.Scorer(model)
-    assert score("cat cat")[0] == "a" and score("zzz")[0] == "b" and score("qqq") == ("a", 0.5)
+    assert langid.predict(odd.where("false"), model).count() == 0
+
+
+def test_many_languages_of_unequal_size(spark):
+    """500 languages, the rarest with five documents beside one with 4,000: each is learned and predicted."""
+    rng = random.Random(5)
+    own = {f"l{i:03}": ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(8)] for i in range(500)}
+    rows, i = [], 0
+    for k, (lang, words) in enumerate(own.items()):
+        for _ in range(4000 if k == 0 else 12 if k % 2 else 5 + 2):
+            rows.append((i, lang, " ".join(rng.choices(words, k=20))))
+            i += 1
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert len(model.languages) == 500
+    probe = spark.createDataFrame([(lang, " ".join(w)) for lang, w in own.items()], "lang string, text string")
+    assert langid.predict(probe, model).where("lang <> __lang_pred").count() == 0
+    with pytest.raises(ValueError, match="rows in the model"):
+        old, langid.MODEL_ROWS = langid.MODEL_ROWS, 100
+        try:
+            langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+        finally:
+            langid.MODEL_ROWS = old
 
 
 def test_quality(spark):
