@@ -30,7 +30,7 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op5"))
-    return decontaminate.contamination(found).drop("n_near_items")
+    return decontaminate.contamination(found)
 
 
 def op6_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
