@@ -21,7 +21,6 @@ LOWER[65:91] += 32
 IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[65:91] = IS_WORD[97:123] = IS_WORD[128:] = True
 BASE = 0x5851F42D4C957F2D
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,14 +30,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _powers(n: int, base: int, _kept: dict = {}) -> np.ndarray:  # noqa: B006
-    if len(_kept.get(base, ())) < n:
-        steps = np.full(max(n, 1 << 20), base, dtype=U64)
-        steps[0] = 1
-        _kept[base] = np.cumprod(steps)
-    return _kept[base][:n]
-
-
 #: Words of more bytes are hashed one by one.
 LONG = 128
 _MASK = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 9))], dtype=U64)

@@ -30,9 +30,9 @@ bw as materialized (select row_number() over () wid, item_id, v from (select dis
 terms as (select wid, t, min(o) o from (select wid, unnest(v) t, generate_subscripts(v, 1) o from bw) group by 1, 2),
 dpos as materialized (select doc_id, t, p from (select doc_id, unnest(w) t, generate_subscripts(w, 1) p from d) where t in (select t from terms)),
 freq as (select t, count(*) f from dpos group by 1),
-rare as materialized (select wid, t, k from (select wid, t, row_number() over (partition by wid order by coalesce(f, 0), o) k from terms left join freq using (t)) where k <= 3),
+rare as materialized (select wid, t, k, max(k) over (partition by wid) m from (select wid, t, row_number() over (partition by wid order by coalesce(f, 0), o) k from terms left join freq using (t)) where k <= 3),
 near as (select distinct doc_id, item_id from (select l.wid, l.doc_id, l.p from (select wid, doc_id, p from rare join dpos using (t) where k = 1) l join rare r on r.wid = l.wid join dpos q on q.doc_id = l.doc_id and q.t = r.t and abs(q.p - l.p) <= 24
-  group by all having count(distinct r.k) = (select count(*) from rare x where x.wid = l.wid)) join bw using (wid)),
+  group by all having count(distinct r.k) = any_value(r.m)) join bw using (wid)),
 nears as (select doc_id, string_agg(item_id::varchar, ',' order by item_id::varchar) near_items from near group by 1)
 select d.doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items, sha256(coalesce(ids, '')) items_sha256, coalesce(near_items, '') near_items,
   coalesce(n_hit, 0) > 0 and 20 * n_hit >= len(w) contaminated

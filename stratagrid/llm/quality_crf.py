@@ -7,9 +7,10 @@ forward-backward marginals, weighted by length, mapped by a logistic calibration
 
 Labels are of documents: a first logistic model spreads them over lines, lines of bad
 documents that it finds clearly good become good, and the field is trained on the
-result. It is fitted on a sample of at most `SAMPLE` labelled documents with at most
-`MAX_LINES` lines each (a bound for training alone), chosen by a hash of doc_id.
-Scoring reads every line of every text.
+result. It is fitted on labelled documents in the order of a hash of doc_id, as many as
+`SAMPLE` and until they have `LINES` lines together (a bound for training alone; the
+document that passes it is still taken whole). In training, ties reach over `CHAIN`
+lines at most. Scoring reads every line of every text, as one chain.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from . import kernels as K
 from .langid import held_out
 
-SAMPLE, MAX_LINES = 3000, 400
+SAMPLE, LINES, CHAIN = 3000, 200_000, 512
 CUT = 0.3
 UPPER, LETTER, DIGIT, SPACE, STOP, SYMBOL, OTHER = range(7)
 NAMES = ("bias", "length", "upper", "mostly_upper", "digit", "space", "stop", "exclaim", "bar", "symbol", "symbols", "symbol_words", "word_length", "long_word", "distinct", "repetitive", "same_as_before", "run", "empty", "repeated_line")
@@ -76,16 +77,14 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     line_of = np.searchsorted(start, first, side="right") - 1
     per_word = np.bincount(line_of, minlength=len(start)).astype(float)
     words = np.maximum(per_word, 1)
-    sums = np.zeros(n + 1, dtype=K.U64)
-    np.cumsum((chars.astype(K.U64) + K.U64(1)) * K.GOLDEN * K._powers(n, K.BASE), out=sums[1:])
-    code = K.mix((sums[last] - sums[first]) * K._powers(n, K.BASE_INVERSE)[first]) if n else np.zeros(0, K.U64)
+    code = K.run_codes(chars.view(np.uint8), 4 * first, 4 * (last - first))
     size = (last - first).astype(float)
     marks = np.zeros(n + 1, dtype=np.int32)
     np.cumsum(kind == SYMBOL, out=marks[1:])
     tally = lambda m: np.bincount(line_of, m, minlength=len(start))
     same = np.r_[False, (code[1:] == code[:-1]) & (line_of[1:] == line_of[:-1])][: len(code)]
     distinct = np.bincount(np.unique(np.column_stack([line_of.astype(K.U64), code]).view([("l", K.U64), ("c", K.U64)]).ravel())["l"].astype(np.int64), minlength=len(start)) if len(code) else np.zeros(len(start))
-    line_code = (sums[end] - sums[start]) * K._powers(n + 1, K.BASE_INVERSE)[start]
+    line_code = K.run_codes(chars.view(np.uint8), 4 * start, 4 * (end - start))
     pair = K.mix(line_code + doc.astype(K.U64) * K.U64(K.BASE))
     _, back, often = np.unique(pair, return_inverse=True, return_counts=True)
     distinct_share = distinct / words
@@ -112,27 +111,65 @@ class Field(NamedTuple):
     shift: float
 
 
+def _step(x: np.ndarray, tie: float) -> np.ndarray:
+    return np.logaddexp(tie / 2 + x, -tie / 2) - np.logaddexp(-tie / 2 + x, tie / 2)
+
+
+def _alive(size: np.ndarray) -> list[int]:
+    """Of sizes in descending order, for each k how many are larger."""
+    return [int(np.searchsorted(-size, -k, side="left")) for k in range(int(size[0]) + 1)]
+
+
+def _entering(node: np.ndarray, first: np.ndarray, size: np.ndarray, turn: np.ndarray, way: int, tie: float) -> np.ndarray:
+    """The message into each piece; turn counts a chain's pieces from 0 in the direction of travel, in which they follow each other."""
+    carry = np.zeros(len(first))
+    if not turn.any():
+        return carry
+    order = np.argsort(-size, kind="stable")
+    alive = _alive(size[order])
+    # a piece maps the odds r that enter it to (a r + b) / (c r + d), all four in logarithms
+    a, b, c, d = np.zeros(len(first)), np.full(len(first), -np.inf), np.full(len(first), -np.inf), np.zeros(len(first))
+    for k in range(int(size.max())):
+        on = order[: alive[k]]
+        x = node[first[on] + way * k]
+        a[on], b[on], c[on], d[on] = np.logaddexp(tie / 2 + x + a[on], c[on] - tie / 2), np.logaddexp(tie / 2 + x + b[on], d[on] - tie / 2), np.logaddexp(x - tie / 2 + a[on], tie / 2 + c[on]), np.logaddexp(x - tie / 2 + b[on], tie / 2 + d[on])
+    for k in range(1, int(turn.max()) + 1):
+        on = np.flatnonzero(turn == k)
+        before = on - 1
+        carry[on] = np.logaddexp(a[before] + carry[before], b[before]) - np.logaddexp(c[before] + carry[before], d[before])
+    return carry
+
+
+def _messages(node: np.ndarray, first: np.ndarray, size: np.ndarray, way: int, tie: float) -> np.ndarray:
+    """The message into every line of chains that go from `first` in direction `way` (1 or -1)."""
+    most = max(256, int(np.sqrt(size.max())))
+    count = -(-size // most)  # pieces of a chain
+    chain = np.repeat(np.arange(len(first)), count)
+    turn = np.arange(len(chain)) - np.repeat(np.cumsum(count) - count, count)
+    first, size = first[chain] + way * turn * most, np.minimum(size[chain] - turn * most, most)
+    carry = _entering(node, first, size, turn, way, tie)
+    order = np.argsort(-size, kind="stable")
+    first, size, carry = first[order], size[order], carry[order]
+    alive, out = _alive(size), np.zeros(len(node))
+    for k in range(int(size[0])):
+        m = alive[k]
+        at = first[:m] + way * k
+        out[at] = carry[:m]
+        carry[:m] = _step(carry[:m] + node[at], tie)
+    return out
+
+
 def marginals(node: np.ndarray, doc: np.ndarray, tie: float) -> np.ndarray:
-    """P(good) of each line; `node` are log odds, `doc` ascending from 0. All chains step at once."""
+    """P(good) of each line; `node` are log odds, `doc` ascending.
+
+    All chains step at once; a long one is cut in pieces, each of which first says how
+    it maps what enters it, so that n lines take about 3 sqrt(n) steps.
+    """
     if not len(node):
         return node
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
     size = np.diff(np.r_[first, len(doc)])
-    order = np.argsort(-size, kind="stable")
-    first, size = first[order], size[order]
-    alive = [int(np.searchsorted(-size, -k, side="left")) for k in range(int(size[0]) + 1)]  # chains longer than k
-
-    def sweep(forward: bool) -> np.ndarray:
-        carry, out = np.zeros(len(first)), np.zeros(len(node))
-        for k in range(int(size[0])):
-            m = alive[k]
-            at = first[:m] + (k if forward else size[:m] - 1 - k)
-            out[at] = carry[:m]
-            x = carry[:m] + node[at]
-            carry[:m] = np.logaddexp(tie / 2 + x, -tie / 2) - np.logaddexp(-tie / 2 + x, tie / 2)
-        return out
-
-    total = sweep(True) + node + sweep(False)
+    total = _messages(node, first, size, 1, tie) + node + _messages(node, first + size - 1, size, -1, tie)
     return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
@@ -170,6 +207,10 @@ def train(x: np.ndarray, length: np.ndarray, doc: np.ndarray, label: np.ndarray,
     np.minimum.at(worst, doc, line)
     y[(y == 0) & (line > 0.95) & (line > worst[doc])] = 1
     edge = np.r_[True, doc[1:] != doc[:-1]]
+    begin = np.flatnonzero(edge)
+    place = np.arange(len(doc)) - np.repeat(begin, np.diff(np.r_[begin, len(doc)]))
+    edge |= place % CHAIN == 0
+    chain = np.cumsum(edge)
     inner = np.flatnonzero(~edge)
     equal = np.zeros(len(y))
     equal[inner] = y[inner] == y[inner - 1]
@@ -177,8 +218,8 @@ def train(x: np.ndarray, length: np.ndarray, doc: np.ndarray, label: np.ndarray,
     tie, m, v = 1.0, np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, rounds + 1):
         node = x @ w
-        p = marginals(node, doc, tie)
-        grad = np.r_[x.T @ (y - p) - ridge * w, equal[inner].sum() - expected_ties(node, doc, tie) - ridge * tie] / max(1, len(label))
+        p = marginals(node, chain, tie)
+        grad = np.r_[x.T @ (y - p) - ridge * w, equal[inner].sum() - expected_ties(node, chain, tie) - ridge * tie] / max(1, len(label))
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, tie = w + step[:-1], float(np.clip(tie + step[-1], 0, 3))
@@ -209,44 +250,59 @@ def expected_ties(node: np.ndarray, doc: np.ndarray, tie: float, h: float = 1e-3
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document: its lines' lengths and features."""
     for batch in batches:
-        kept = [(i, y, t) for i, y, t in zip(*(c.to_pylist() for c in batch.columns)) if t.count("\n") < MAX_LINES]
-        if kept:
-            x, length, doc = line_features([k[2] for k in kept])
-            yield pa.RecordBatch.from_arrays([pa.array([kept[d][0] for d in doc]), pa.array([kept[d][1] for d in doc], pa.int32()), pa.array(length), pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "label", "length", "x"])
+        for doc_id, key, label, text in zip(*(c.to_pylist() for c in batch.columns)):
+            x, length, _ = line_features([text])
+            yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([key], pa.int64()), pa.array([label], pa.int32()), pa.array([length.tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], ["doc_id", "key", "label", "length", "x"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> Field:
     """Learn from `docs` (doc_id, text) and `labels` (doc_id, quality 0/1) that are not held out.
 
-    Documents with contradicting labels count as bad. Without labels of both kinds every score is 0.5.
+    Documents with contradicting labels count as bad. Different texts of one doc_id are
+    chains of their own, equal ones count once. Null texts and doc_ids teach nothing.
+    Without labels of both kinds every score is 0.5.
     """
+    spark = docs.sparkSession
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     chosen = marked.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null and doc_id is not null")
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text").mapInArrow(_features, "doc_id long, label int, length double, x binary").toPandas()  # at most sample * MAX_LINES lines
-    if rows.label.nunique() < 2:
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("key"), "quality", "text")  # `sample` rows
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    sizes = rows.select("doc_id", "key", n_lines.alias("n")).groupBy("doc_id", "key").agg(F.max("n").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(sample).collect()
+    before = np.cumsum([r.n for r in sizes]) - [r.n for r in sizes]
+    taken = [(r.doc_id, r.key) for r, b in zip(sizes, before) if b < lines]
+    if not taken:
         return Field(np.zeros(WIDTH, np.float32), 0.0, 1.0, 0.0)
-    rows = rows.sort_values("doc_id", kind="stable")
-    ids, doc = np.unique(rows.doc_id.to_numpy(), return_inverse=True)
-    label = np.zeros(len(ids), np.int64)
-    label[doc] = rows.label.to_numpy()
-    x = np.frombuffer(b"".join(rows.x), dtype=np.float32).reshape(len(rows), WIDTH)
-    return train(x, rows.length.to_numpy(), doc, label)
+    taken = F.broadcast(spark.createDataFrame(taken, "doc_id long, key long"))  # `sample` rows at most
+    rows = rows.join(taken, ["doc_id", "key"]).select("doc_id", "key", "quality", "text")
+    found = rows.mapInArrow(_features, "doc_id long, key long, label int, length binary, x binary").toPandas()  # about `lines` lines
+    if found.label.nunique() < 2:
+        return Field(np.zeros(WIDTH, np.float32), 0.0, 1.0, 0.0)
+    found = found.drop_duplicates(["doc_id", "key"]).sort_values(["doc_id", "key"], kind="stable")
+    length = [np.frombuffer(b, dtype=float) for b in found.length]
+    doc = np.repeat(np.arange(len(found)), [len(v) for v in length])
+    x = np.frombuffer(b"".join(found.x), dtype=np.float32).reshape(len(doc), WIDTH)
+    return train(x, np.concatenate(length), doc, found.label.to_numpy())
 
 
 def _score(field: Field, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or "" for x in batch.column(place).to_pylist()]
-            size = np.cumsum([len(t) for t in texts])
-            found = [qualities(field, texts[lo:hi]) for lo, hi in K.slices(size - [len(t) for t in texts], size, 1 << 20)]
+            found = [qualities(field, texts[lo:hi]) for lo, hi in K.cuts(np.array([len(t) for t in texts]), 1 << 20)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found) if found else np.zeros(0))], [*batch.schema.names, "__quality"])
 
     return run
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:
-    """`docs` with __quality (0 to 1, higher is better) from its column text; null and empty texts are one empty line."""
+    """`docs` with __quality (0 to 1, higher is better) from its column text; null and empty texts are one empty line.
+
+    Every row gets a score, repeated ones the same; a text of any length is one chain.
+    A column __quality of `docs` is replaced.
+    """
+    docs = docs.drop("__quality")
     schema = T.StructType([*docs.schema.fields, T.StructField("__quality", T.DoubleType())])
     return docs.mapInArrow(_score(field, docs.columns.index("text")), schema)

@@ -201,12 +201,86 @@ def test_quality(spark):
     assert {r["__quality"] for r in quality_crf.score(odd, field).collect()} == {0.5}
 
 
+def plain_line(line, earlier, later):
+    kind = lambda c: ("stop" if c in ".,;:?!'\"()-" else "symbol" if c in "#$%&*+/<=>@[\\]^_`{|}~" else "upper" if unicodedata.category(c) in ("Lu", "Lt") else "letter" if unicodedata.category(c)[0] in "LM" else "digit" if unicodedata.category(c)[0] == "N" else "space" if unicodedata.category(c)[0] == "Z" or c.isspace() else "")
+    kinds = [kind(c) for c in line]
+    n, words = Counter(kinds), "".join(" " if k == "space" else c for c, k in zip(line, kinds)).split()
+    one, w, size = max(1, len(line)), max(1, len(words)), [len(x) for x in words]
+    up, distinct = n["upper"] / max(1, n["upper"] + n["letter"]), len(set(words)) / w
+    return [
+        1, math.log1p(len(line)) / 5, up, up > 0.6, n["digit"] / one, n["space"] / one, n["stop"] / one, min(1, 10 * line.count("!") / one), min(1, 10 * line.count("|") / one), min(1, 5 * n["symbol"] / one), n["symbol"] / one > 0.05,
+        sum(any(kind(c) == "symbol" for c in x) for x in words) / w, min(2, sum(size) / w / 8), min(2, math.log1p(sum(s * s for s in size) / max(1, sum(size))) / 3), distinct, distinct < 0.5 and len(words) > 4,
+        sum(a == b for a, b in zip(words, words[1:])) / w, sum(a == b != " " for a, b in zip(line, line[1:])) / one, len(line) == 0, bool(line) and line in earlier + later,
+    ]
+
+
+def plain_quality(field, text):
+    """Features by loops, then forward and backward products of the two states."""
+    lines = (text or "").split("\n")
+    own = [plain_line(x, lines[:i], lines[i + 1 :]) for i, x in enumerate(lines)]
+    none = [0] * len(own[0])
+    rows = [np.array([*x, *(own[i - 1] if i else none), *(own[i + 1] if i + 1 < len(own) else none)], float) for i, x in enumerate(own)]
+    up = [np.array([1.0, math.exp(float(r @ field.weights.astype(float)))]) for r in rows]  # weights of bad and good
+    tie = np.array([[math.exp(field.tie), 1], [1, math.exp(field.tie)]])
+    forward, backward = [np.ones(2)], [np.ones(2)]
+    for x in up[:-1]:
+        v = tie @ (forward[-1] * x)
+        forward.append(v / v.sum())
+    for x in up[:0:-1]:
+        v = tie @ (backward[-1] * x)
+        backward.append(v / v.sum())
+    good = [(f * x * b)[1] / (f * x * b).sum() for f, x, b in zip(forward, up, backward[::-1])]
+    weight = [max(1, len(x)) for x in lines]
+    mean = min(1 - 1e-4, max(1e-4, sum(g * w for g, w in zip(good, weight)) / sum(weight)))
+    return 1 / (1 + math.exp(-(field.slope * math.log(mean / (1 - mean)) + field.shift)))
+
+
+def test_quality_query_against_plain_python(spark, tmp_path):
+    """The whole query on sf0.001 with odd rows, scored by loops; what was learned is taken from the operator."""
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    odd = [None, "", "\n\n", "x", "same line\nsame line\n", "long " * 3000, "line one\n" * 1500 + "LOUD!! " * 5, "\u65e5\u672c \u00e9 \U0001f600"]
+    every = docs.union(spark.createDataFrame([(10**6 + i, t, None, None, 0) for i, t in enumerate(odd)] + [(None, "a b", "en", "s", 1), (4, "a b", "en", "s", 1), (4, "a b", "en", "s", 1)], docs.schema))
+    every.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    field = quality_crf.fit(every, labels)
+    got = sorted((r.doc_id or -1, r.held_out, r.score, r.predicted) for r in queries.op6_line_quality(spark, str(tmp_path)).collect())
+    want = sorted((r.doc_id or -1, r.doc_id is not None and crc_held(r.doc_id), plain_quality(field, r.text)) for r in every.collect())
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], abs=1e-4)
+    assert all(g[3] == (g[2] >= quality_crf.CUT) for g in got)
+
+
+def test_training_keeps_long_documents_and_texts_of_one_id_apart(spark):
+    """No document is left out for its length, and different texts of one doc_id are chains of their own."""
+    long = "\n".join(["!!! BUY $$$ NOW ###"] * 900)
+    fine = "A plain line of prose, which says something.\nAnother one follows it."
+    ids = [i for i in range(1, 60) if not crc_held(i)][:40]
+    docs = spark.createDataFrame([(i, long if k % 2 else fine, 1) for k, i in enumerate(ids)] + [(ids[0], "A third line, of the same kind.", 1)], "doc_id long, text string, __quality int")
+    labels = spark.createDataFrame([(i, 1 - k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    field = quality_crf.fit(docs, labels)
+    got = {(r.doc_id, r.text): r["__quality"] for r in quality_crf.score(docs, field).collect()}
+    assert all((q > 0.5) == (t != long) for (_, t), q in got.items())
+    few = quality_crf.fit(docs, labels, lines=2000)
+    assert few.weights.any()
+    assert quality_crf.score(docs.where("false"), field).count() == 0
+
+
 def test_marginals_against_enumeration():
     import itertools
 
     rng = np.random.default_rng(0)
     node, doc, tie = rng.standard_normal(7), np.array([0, 0, 0, 0, 1, 2, 2]), 0.7
     got, ties = quality_crf.marginals(node, doc, tie), quality_crf.expected_ties(node, doc, tie)
+    whole = rng.standard_normal(3000)  # in pieces as in one
+    long_, message = quality_crf.marginals(np.r_[whole, 0.3], np.r_[np.zeros(3000, int), 1], tie), 0.0
+    ways = []
+    for chain in (whole, whole[::-1]):
+        message, into = 0.0, []
+        for x in chain:
+            into.append(message)
+            message = float(quality_crf._step(np.array(message + x), tie))
+        ways.append(np.array(into))
+    assert long_[:-1] == pytest.approx(1 / (1 + np.exp(-(ways[0] + whole + ways[1][::-1]))), abs=1e-9)
     want_ties = 0.0
     for d in range(3):
         at = np.flatnonzero(doc == d)
