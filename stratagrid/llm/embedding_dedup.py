@@ -12,24 +12,32 @@ other by matrix products to count every link exactly.
 
 Runs agree in ceil(log2(n / WINDOW)) bits for n vectors of a label, so that unrelated
 vectors make runs of WINDOW at most on average. A pair of different components is
-compared if it shares a run in any pass, whatever other vectors there are. A pair at
+compared if it shares a run in any pass, whatever other vectors there are and wherever
+a window or a task of the sorted passes ends. A pair at
 the threshold (cosine 0.98) differs in a sign with probability 0.064; with 16 passes
 it shares no run with probability 0.000003 at n = 10,000 and 0.014 at 100 million,
 closer pairs far less. A run costs the product of its vectors outside its largest
 component and all its vectors: a label of m vectors that all lie just below the
 threshold costs m * m, which is what it takes to tell them apart.
 
-Equal vectors of a label are one class with a multiplicity from the start.
+Two vectors link if their cosine, sum(x y) / sqrt(sum(x x) sum(y y)) with each sum
+rounded once from its exact value, is the threshold or more. Products of unit vectors
+decide all pairs but those within `NEAR` of the threshold, for which it is computed.
+
+Equal vectors of a label are one class with a multiplicity from the start. A block has
+`BLOCK` vectors, more where this would send a vector to over `COPIES` pairs of blocks,
+up to `LARGEST`; so a group of n sends at most n * max(COPIES, n / LARGEST) rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace
@@ -37,11 +45,32 @@ from .components import components
 
 THRESHOLD = 0.98
 PASSES, BITS, WINDOW = 16, 32, 32
-BLOCK = 512
+BLOCK, COPIES, LARGEST = 512, 32, 8192
 #: Vectors of one length whose codes agree in their first bits.
 RUN = ["pass", "label", "dim", "prefix"]
-#: Rounding of a dot product of unit vectors; far below any difference of float32 inputs.
-SLACK = 1e-12
+#: More than the rounding of a product of unit vectors.
+NEAR = 1e-12
+
+
+def cosine(x: np.ndarray, y: np.ndarray) -> float:
+    x, y = (np.ldexp(v.astype(np.float64), -np.frexp(np.abs(v).max())[1]) for v in (x, y))  # exact, and nothing overflows
+    return math.fsum(x * y) / math.sqrt(math.fsum(x * x) * math.fsum(y * y))
+
+
+def linked(x: np.ndarray, y: np.ndarray, raw_x: list, raw_y: list, threshold: float) -> np.ndarray:
+    """Which of the unit vectors x and y (rows), made from raw_x and raw_y, have a cosine of `threshold` or more."""
+    close = np.empty((len(x), len(y)), dtype=bool)
+    for at in range(0, len(x), 512):
+        dots = x[at : at + 512] @ y.T
+        close[at : at + 512] = dots >= threshold
+        for i, j in np.argwhere(np.abs(dots - threshold) < NEAR).tolist():
+            close[at + i, j] = cosine(raw_x[at + i], raw_y[j]) >= threshold
+    return close
+
+
+def block_size(n: Column, block: int) -> Column:
+    """Vectors of a block in a group of n."""
+    return F.greatest(F.lit(block), F.least(F.lit(LARGEST), F.ceil(n / COPIES)))
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -108,8 +137,12 @@ def _neighbours(window: int, threshold: float):
                 wide[at, :dim] = unit(np.stack([vectors[r] for r in at]))
             found = []
             for step in range(1, min(window, len(vectors) - 1) + 1):
-                close = (np.einsum("ij,ij->i", wide[:-step], wide[step:]) >= threshold - SLACK) & (group[:-step] == group[step:]).all(axis=1)
-                i = np.flatnonzero(close)
+                same = np.flatnonzero((group[:-step] == group[step:]).all(axis=1))
+                dots = np.einsum("ij,ij->i", wide[same], wide[same + step])
+                close = dots >= threshold
+                for k in np.flatnonzero(np.abs(dots - threshold) < NEAR).tolist():
+                    close[k] = cosine(vectors[same[k]], vectors[same[k] + step]) >= threshold
+                i = same[close]
                 found.append(np.column_stack([i, i + step]))
             pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
             name = _forest(pairs[:, 0], pairs[:, 1], len(vectors))
@@ -129,7 +162,7 @@ def _across(threshold: float):
         for s, e in zip(edges[:-1], edges[1:]):
             x, c = unit(np.stack(v[s:e])), comp[s:e]
             one, two = np.flatnonzero(block[s:e] == key[s, -2]), np.flatnonzero(block[s:e] == key[s, -1])
-            i, j = np.nonzero((x[one] @ x[two].T >= threshold - SLACK) & (c[one][:, None] != c[two][None, :]))
+            i, j = np.nonzero(linked(x[one], x[two], v[s:e][one], v[s:e][two], threshold) & (c[one][:, None] != c[two][None, :]))
             if len(i):
                 nodes, at = np.unique(c, return_inverse=True)
                 name = _forest(at[one[i]], at[two[j]], len(nodes))
@@ -155,8 +188,9 @@ def across_components(coded: DataFrame, found: DataFrame, ws: Workspace, thresho
     runs = member.groupBy(*RUN, "component").agg(F.count("*").alias("n"))
     runs = runs.groupBy(*RUN).agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
     small = F.col("n") <= block  # one block for all
-    outside = F.when(small, F.lit(1)).otherwise(F.ceil((F.col("n") - F.col("top.n")) / block)).cast("long")
-    inside = F.when(small, F.lit(0)).otherwise(F.ceil(F.col("top.n") / block)).cast("long")
+    size = block_size(F.col("n"), block)
+    outside = F.when(small, F.lit(1)).otherwise(F.ceil((F.col("n") - F.col("top.n")) / size)).cast("long")
+    inside = F.when(small, F.lit(0)).otherwise(F.ceil(F.col("top.n") / size)).cast("long")
     runs = ws.cut(runs.select(*RUN, F.col("top.component").alias("top"), outside.alias("outside"), inside.alias("inside")))
     rows = member.join(runs, RUN)
     of_top = (F.col("component") == F.col("top")) & (F.col("inside") > 0)
@@ -173,14 +207,15 @@ def _count(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (_, lo, hi), g in pdf.groupby(["component", "lo", "hi"], sort=False):
-            x, rep, copies, block = unit(np.stack(g.v.to_numpy())), g.rep.to_numpy(), g.copies.to_numpy(), g.block.to_numpy()
+            v, rep, copies, block = g.v.to_numpy(), g.rep.to_numpy(), g.copies.to_numpy(), g.block.to_numpy()
+            x = unit(np.stack(v))
             if lo == hi:
-                close = x @ x.T >= threshold - SLACK
+                close = linked(x, x, v, v, threshold)
                 np.fill_diagonal(close, False)
                 out.append((rep, close @ copies))
             else:
                 one, two = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-                close = x[one] @ x[two].T >= threshold - SLACK
+                close = linked(x[one], x[two], v[one], v[two], threshold)
                 out += [(rep[one], close @ copies[two]), (rep[two], close.T @ copies[one])]
         return pd.DataFrame({"rep": np.concatenate([r for r, _ in out]), "n": np.concatenate([n for _, n in out])})
 
@@ -212,7 +247,8 @@ def near_duplicates(vectors: DataFrame, ws: Workspace, threshold: float = THRESH
         found = ws.cut(named.where("component is not null or wider is not null").select("node", F.coalesce("wider", "component").alias("component")))
 
     members = ws.cut(classes.select("rep", "copies", "v").join(found.withColumnRenamed("node", "rep"), "rep"))
-    sizes = ws.cut(members.groupBy("component").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks")))
+    n = F.count("*")
+    sizes = ws.cut(members.groupBy("component").agg(F.ceil(n / block_size(n, block)).cast("long").alias("blocks")))
     placed = members.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
     placed = placed.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     placed = ws.cut(placed.select("component", "rep", "copies", "v", "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))

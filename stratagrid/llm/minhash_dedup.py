@@ -38,6 +38,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 28, 6
 #: Of these the first BANDS * ROWS make bands; all serve to exclude pairs before their texts are read.
 REGISTERS = 336
+BLOCK, COPIES, RUN = 512, 32, 1 << 19
 
 
 def signatures(row: np.ndarray, code: np.ndarray, weight: np.ndarray, n_rows: int, registers: int) -> np.ndarray:
@@ -77,7 +78,7 @@ def band_keys(kept: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sketch(shingle: int, bands: int, rows: int, registers: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, starts, ends = K.utf8(batch.column(1))
+            data, starts, ends = K.utf8(batch.column(2))
             for lo, hi in K.slices(starts, ends):
                 w = K.words(data, starts[lo:hi], ends[lo:hi])
                 n = np.diff(w.first)
@@ -92,8 +93,8 @@ def _sketch(shingle: int, bands: int, rows: int, registers: int):
                     digest.append(K.as_long(K.mix(sums[w.first[1:]] - sums[w.first[:-1]])))
                 offsets = np.arange(hi - lo + 1, dtype=np.int32) * bands
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(n), *digest, pa.ListArray.from_arrays(offsets, K.as_long(key.ravel())), pa.array([x.tobytes() for x in kept.astype(np.uint8)], pa.binary())],
-                    ["doc_id", "n_words", "d1", "d2", "bands", "low"],
+                    [*(batch.column(i).slice(lo, hi - lo) for i in (0, 1)), pa.array(n), *digest, pa.ListArray.from_arrays(offsets, K.as_long(key.ravel())), pa.array([x.tobytes() for x in kept.astype(np.uint8)], pa.binary())],
+                    ["doc_id", "text_id", "n_words", "d1", "d2", "bands", "low"],
                 )
 
     return run
@@ -148,12 +149,12 @@ def likely_matches(threshold: float, registers: int) -> int:
 def _across(least: int, below: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = [np.zeros((0, 2), np.int64)]
-        pdf = pdf.sort_values(["band", "lo", "hi"])
-        key = pdf[["band", "lo", "hi"]].to_numpy()
+        pdf = pdf.sort_values(["run", "lo", "hi"])
+        key = pdf[["run", "lo", "hi"]].to_numpy()
         edges = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
         low = np.frombuffer(b"".join(pdf.low), dtype=np.uint8).reshape(len(pdf), -1)
         keys = np.array(pdf.bands.tolist(), dtype=np.int64)
-        rep, comp, block, band = (pdf[c].to_numpy() for c in ("rep", "component", "block", "band"))
+        rep, comp, block, band = (pdf[c].to_numpy() for c in ("node", "component", "block", "band"))
         for s, e in zip(edges[:-1], edges[1:]):
             one_block = key[s, 1] == key[s, 2]
             for i in range(s, e):
@@ -170,61 +171,79 @@ def _across(least: int, below: int):
     return run
 
 
-def across_components(placed: DataFrame, groups: DataFrame, ws: Workspace, least: int, below: int, block: int = 512) -> DataFrame:
+def _narrower(large: DataFrame, groups: DataFrame, threshold: float, run: int, registers: int) -> DataFrame:
+    """Members (band, run, node, component) of large bands (band, n, node, component), banded again by further registers."""
+    r = F.ceil(F.log(F.col("n") / run) / F.log(F.lit(1 / 0.6))).cast("int")
+    ways = F.ceil(F.log(F.lit(0.0005)) / F.log(1 - F.pow(F.lit(threshold), F.col("r")))).cast("int")
+    rows = large.withColumn("r", r).withColumn("way", F.explode(F.sequence(F.lit(1), ways))).join(groups.select("node", "low"), "node")
+    picked = F.transform(F.sequence(F.lit(1), F.col("r")), lambda i: F.substring("low", F.pmod(F.xxhash64(F.col("way"), i), F.lit(registers)).cast("int") + 1, F.lit(1)))
+    return rows.select("band", F.xxhash64("band", "way", picked).alias("run"), "node", "component")
+
+
+def across_components(placed: DataFrame, groups: DataFrame, ws: Workspace, least: int, below: int, threshold: float, registers: int, block: int = BLOCK, run: int = RUN) -> DataFrame:
     """Pairs (a, b) of one band, of different components, with `least` to `below` - 1 equal registers.
 
     Members of a band are compared block by block on the low bytes of their registers
     inside tasks of bounded size; only pairs that the registers can't exclude leave them.
     """
-    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select("band", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
-    mixed = ws.cut(mixed)
-    rows = placed.join(mixed, "band").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
-    rows = rows.join(groups.select("rep", "low", "bands"), "rep")
+    several = lambda df, by: df.groupBy(by).agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select(by, "n")
+    mixed = ws.cut(several(placed, "band"))
+    small = mixed.where(F.col("n") <= run).select("band", "n", F.col("band").alias("run"))
+    rows = placed.join(small, "band").select("band", "run", "n", "node", "component")
+    if not mixed.where(F.col("n") > run).isEmpty():
+        narrow = ws.cut(_narrower(placed.join(mixed.where(F.col("n") > run), "band"), groups, threshold, run, registers))
+        rows = rows.union(narrow.join(several(narrow, "run"), "run").select("band", "run", "n", "node", "component"))
+    size = F.greatest(F.lit(block), F.ceil(F.col("n") / COPIES))
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / size).cast("long")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.join(groups.select("node", "low", "bands"), "node")
     rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = ws.cut(rows.select("band", "rep", "component", "low", "bands", "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))
+    rows = ws.cut(rows.select("band", "run", "node", "component", "low", "bands", "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))
     tasks = max(1, rows.count() // 4000)
-    pairs = rows.groupBy(F.pmod(F.xxhash64("band", "lo", "hi"), F.lit(tasks)).alias("task")).applyInPandas(_across(least, below), "a long, b long")
+    pairs = rows.groupBy(F.pmod(F.xxhash64("run", "lo", "hi"), F.lit(tasks)).alias("task")).applyInPandas(_across(least, below), "a long, b long")
     return pairs.distinct()
 
 
 def near_duplicates(docs: DataFrame, ws: Workspace, threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, registers: int = REGISTERS) -> DataFrame:
-    """(doc_id, class_id, n_words, kept), a row for each row of `docs` (doc_id: long, text: string; others are ignored).
+    """(doc_id, text_id, class_id, n_words, kept), a row for each row of `docs` (doc_id: long, text: string; others are ignored).
 
-    class_id is the smallest doc_id that links of similarity >= `threshold` reach;
-    kept marks it. Texts of fewer than `shingle` words are one shingle. Null texts,
-    empty ones and those without words stay alone. Equal doc_ids count as one
-    document. A null doc_id links with nothing: class_id is null and kept true.
+    class_id is the smallest doc_id that links of similarity >= `threshold` reach from
+    the row's text; kept marks it. Texts of fewer than `shingle` words are one shingle.
+    Null texts, empty ones and those without words stay alone. Equal doc_ids with
+    different texts are documents of their own, told apart by text_id, a hash of the
+    text. A null doc_id links with nothing: class_id is null and kept true.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = ws.cut(texts.mapInArrow(_sketch(shingle, bands, rows, registers), "doc_id long, n_words long, d1 long, d2 long, bands array<long>, low binary"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", F.xxhash64("text").alias("text_id"), "text")
+    sketched = ws.cut(texts.mapInArrow(_sketch(shingle, bands, rows, registers), "doc_id long, text_id long, n_words long, d1 long, d2 long, bands array<long>, low binary"))
     real = sketched.where("n_words > 0 and doc_id is not null")
-    groups = ws.cut(real.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("low").alias("low")))
-    banded = groups.select("rep", F.explode("bands").alias("band"))
-    shared = ws.cut(banded.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least"))
-    member = ws.cut(banded.join(shared, "band").select("band", "rep", "least"))
-    pairs = ws.cut(member.where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(member.select("rep")).distinct()
-    some = ws.cut(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    groups = real.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_id")).alias("rep"), F.min("bands").alias("bands"), F.min("low").alias("low"))
+    groups = ws.cut(groups.select("d1", "d2", "rep.*", "bands", "low", F.monotonically_increasing_id().alias("node")))
+    banded = groups.select("node", F.explode("bands").alias("band"))
+    shared = ws.cut(banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least"))
+    member = ws.cut(banded.join(shared, "band").select("band", "node", "least"))
+    pairs = ws.cut(member.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    wanted = groups.join(member.select("node").distinct(), "node").select("node", "doc_id", "text_id")
+    some = ws.cut(texts.join(wanted, ["doc_id", "text_id"]).dropDuplicates(["node"]).select("node", "text"))
 
     def verified(p: DataFrame) -> DataFrame:
-        a, b = (some.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
+        a, b = (some.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
         return ws.cut(p.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify(shingle, threshold), "a long, b long"))
 
     links = verified(pairs)
-    found = ws.cut(components(links, ws))
+    found = ws.cut(components(links, ws).withColumnRenamed("node", "name"))
     # bands that still hold several components: compare across these, the likeliest pairs first
     least = likely_matches(threshold, registers)
     steps = [registers + 1, max(least, int((threshold - 0.03) * registers)), least]
     for below, from_ in zip(steps, steps[1:]):
-        placed = member.join(found, member["rep"] == found["node"], "left").select("band", "rep", F.coalesce("component", "rep").alias("component"))
-        across = across_components(ws.cut(placed), groups, ws, from_, below)
+        placed = member.join(found, member["node"] == found["name"], "left").select("band", "node", F.coalesce("component", "node").alias("component"))
+        across = across_components(ws.cut(placed), groups, ws, from_, below, threshold, registers)
         more = verified(ws.cut(across.join(pairs, ["a", "b"], "left_anti")))
         if not more.isEmpty():
             links = links.union(more)
-            found = ws.cut(components(links, ws))
-    ids = groups.select("d1", "d2", "rep").join(found, groups["rep"] == found["node"], "left")
-    ids = ws.cut(ids.select("d1", "d2", F.coalesce("component", "rep").alias("found")))
-    member_of = sketched.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("d1")).alias("d1"), "d2")
+            found = ws.cut(components(links, ws).withColumnRenamed("node", "name"))
+    named = ws.cut(groups.join(found, groups["node"] == found["name"], "left").select("d1", "d2", "doc_id", F.coalesce("component", "node").alias("component")))
+    least_id = named.groupBy("component").agg(F.min("doc_id").alias("found"))
+    ids = ws.cut(named.join(least_id, "component").select("d1", "d2", "found"))
+    member_of = sketched.select("doc_id", "text_id", "n_words", F.when(F.col("n_words") > 0, F.col("d1")).alias("d1"), "d2")
     out = member_of.join(ids, ["d1", "d2"], "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return out.select("doc_id", class_id.alias("class_id"), "n_words", F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "text_id", class_id.alias("class_id"), "n_words", F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))

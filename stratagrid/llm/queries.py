@@ -12,7 +12,7 @@ from .common import Workspace, table
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op1"))
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "op1")).drop("text_id")
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -103,6 +104,50 @@ def test_dedup_edge_tables(spark):
     assert got == [(0, None, True), (3, 3, True), (7, 3, False), (7, 3, False)]
 
 
+def test_texts_of_one_doc_id_stay_apart(spark):
+    """Two texts under doc_id 7: copies of either are linked, in every run."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "abc")
+    rows = [(7, one), (7, two), (9, two), (8, one.replace("a30", "x")), (3, three), (7, three)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.class_id, r.kept) for r in minhash_dedup.near_duplicates(df, Workspace(spark, "t")).collect())
+    assert got == [(3, 3, True), (7, 3, False), (7, 7, True), (7, 7, True), (8, 7, False), (9, 7, False)]
+
+
+def test_long_words_of_equal_sums_differ(spark):
+    one = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    two = one.translate({97: "b", 98: "a"})
+    df = spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(df, Workspace(spark, "t")).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_a_hot_band_of_many_components(spark):
+    """20,000 members of one band that don't link: the rows sent stay within 33 a member, and pairs inside are found."""
+    rng = np.random.default_rng(12)
+    n, registers = 20_000, minhash_dedup.REGISTERS
+    base = rng.integers(0, 256, registers, dtype=np.uint8)
+    low = np.where(rng.random((n, registers)) < 0.62, base, rng.integers(0, 256, (n, registers), dtype=np.uint8))
+    low[1::1000] = low[::1000]  # twenty pairs
+    change = rng.random((20, registers)) < 0.1
+    low[1::1000] = np.where(change, rng.integers(0, 256, (20, registers), dtype=np.uint8), low[1::1000])
+    groups = spark.createDataFrame([(i, bytearray(x.tobytes()), [1]) for i, x in enumerate(low)], "node long, low binary, bands array<long>")
+    placed = spark.range(n).selectExpr("1L as band", "id as node", "id as component")
+    least = minhash_dedup.likely_matches(0.8, registers)
+    want = {(i, i + 1) for i in range(0, n, 1000)}
+    sent = []
+
+    class Counting(Workspace):
+        def cut(self, df):
+            out = super().cut(df)
+            sent.append(out.count())
+            return out
+
+    for run in (minhash_dedup.RUN, 4000):  # in one piece, and banded again
+        sent.clear()
+        ws = Counting(spark, "t")
+        found = {(r.a, r.b) for r in minhash_dedup.across_components(placed, groups, ws, least, registers + 1, 0.8, registers, run=run).collect()}
+        assert found == want and max(sent) <= 33 * n * (1 if run > n else 2)
+
+
 def test_components(spark):
     rng = np.random.default_rng(11)
     chain = [(i, i + 1) for i in range(100, 160)]
@@ -142,6 +187,52 @@ def test_embeddings_against_brute_force(spark):
     assert embedding_dedup.near_duplicates(none, Workspace(spark, "t")).count() == 0
 
 
+def test_embeddings_on_both_sides_of_the_threshold(spark):
+    """Pairs whose cosine in double precision is next to 0.98: those below link with nothing."""
+    rng = np.random.default_rng(21)
+    rows, want = [], {}
+    for k in range(300):
+        a = rng.standard_normal(8)
+        a /= np.linalg.norm(a)
+        o = rng.standard_normal(8)
+        o -= (o @ a) * a
+        o /= np.linalg.norm(o)
+        b = 0.98 * a + np.sqrt(1 - 0.98**2) * o
+        b[0] = np.nextafter(b[0], np.inf if k % 2 else -np.inf)
+        rows += [(2 * k, a.tolist(), k), (2 * k + 1, b.tolist(), k)]
+        want[k] = embedding_dedup.cosine(a, b) >= 0.98
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long"), Workspace(spark, "t")).collect()}
+    assert 30 < sum(want.values()) < 290
+    assert {k: got[2 * k] == got[2 * k + 1] == 1 for k in want} == want
+    for x, y, close in (((1.0, 0.0), (0.98, math.sqrt(1 - 0.98**2)), None), ((1e300, 0.0), (1e300, 0.0), True), ((1e-300, 0.0), (0.0, 1e-300), False)):
+        from fractions import Fraction as Fr
+
+        p, q, r = (sum(Fr(u) * Fr(v) for u, v in zip(s, t)) for s, t in ((x, y), (x, x), (y, y)))
+        found = embedding_dedup.cosine(np.array(x), np.array(y)) >= 0.98
+        assert close is None and abs(float(p * p / (q * r)) - 0.98**2) < 1e-15 or found == close
+
+
+def test_a_large_component(spark):
+    """20,000 different vectors of one component: each is sent to 33 pairs of blocks at most, and every link is counted."""
+    rng = np.random.default_rng(4)
+    n = 20_000
+    v = (np.array([10.0, 0, 0, 0]) + rng.standard_normal((n, 4))).astype(np.float32)
+    sent = []
+
+    class Counting(Workspace):
+        def cut(self, df):
+            out = super().cut(df)
+            sent.append(out.count())
+            return out
+
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, Counting(spark, "t")).collect()}
+    x = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    probe = rng.integers(0, n, 200)
+    assert [got[i] for i in probe.tolist()] == ((x[probe] @ x.T >= 0.98).sum(axis=1) - 1).tolist()
+    assert max(sent) <= 33 * n
+
+
 def test_embeddings_of_a_dense_label(spark):
     """One label whose vectors lie just below the threshold: most codes agree, and windows see few of the pairs."""
     rng = np.random.default_rng(8)
