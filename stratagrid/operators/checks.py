@@ -53,6 +53,21 @@ def decoded(samples: DataFrame, value: str, error: str) -> DataFrame:
     return _result(g, "decoded", (F.col("errors") == 0) & (F.col("values") > 0), F.concat(F.col("errors").cast("string"), F.lit(" errors")), F.col("n"))
 
 
+def metadata_faults(decoded: DataFrame, expected: DataFrame, var: str = "var") -> DataFrame:
+    """(var, fault) of messages whose element, comment or description isn't what their variable's are.
+
+    expected: (var, element, comment, description, unit_only, categorical). With
+    unit_only only the unit in brackets of the comment counts, and the description not
+    at all; the comment of a categorical variable is compared by 100 characters.
+    """
+    e = expected.select(var, *(F.col(c).alias(f"__{c}") for c in ("element", "comment", "description", "unit_only", "categorical")))
+    unit = lambda c: F.regexp_extract(c, r"\[.*$", 0)
+    comment = F.when(F.col("__unit_only"), unit("comment") == unit("__comment")).when(F.col("__categorical"), F.left("comment", F.lit(100)) == F.left("__comment", F.lit(100))).otherwise(F.col("comment").eqNullSafe(F.col("__comment")))
+    ways = {"element": F.col("element").eqNullSafe(F.col("__element")), "comment": comment, "description": F.col("__unit_only") | F.col("description").eqNullSafe(F.col("__description"))}
+    faults = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in ways.items())))
+    return decoded.join(e, var).select(var, F.explode(faults).alias("fault"))
+
+
 def report(results: list[DataFrame]) -> DataFrame:
     """All results, and whether any failed as `fingerprint` (8 hexadecimal digits of the failed checks' names)."""
     every = reduce(DataFrame.union, results)

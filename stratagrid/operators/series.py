@@ -8,6 +8,8 @@ series of any length spreads over many tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,8 +114,20 @@ def due_position(now: Column, first: Column, every: int, delay: int) -> Column:
     return F.when(n >= 0, first + n * every)
 
 
-def contiguous(df: DataFrame, order: str, step: int) -> DataFrame:
-    """Rows whose distance from the row before isn't `step`."""
-    w = Window.partitionBy(F.floor(F.col(order) / (step * 4096))).orderBy(order)
-    edge = F.coalesce(F.lag(order).over(w), F.col(order) - step)
-    return df.withColumn("gap", F.col(order) - edge).where(F.col("gap") != step)
+def contiguous(df: DataFrame, order: str, step: int, keys: list[str] | None = None, stretch: int = 4096) -> DataFrame:
+    """Rows whose distance from the row before them in their series isn't `step`, with it as `gap`.
+
+    A series is cut in stretches of `stretch` steps, so that a long one is spread over
+    many tasks; each stretch's first row is compared with the last one of the stretches
+    before it.
+    """
+    keys = keys or []
+    cut = df.withColumn("__stretch", F.floor(F.col(order) / (step * stretch)))
+    ends = cut.groupBy(*keys, "__stretch").agg(F.max(order).alias("__end"))  # a row a stretch
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__stretch")
+    ends = ends.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__stretch").alias("__of"), F.lag("__end").over(before).alias("__before"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("__stretch") == F.col("__of"))
+    w = Window.partitionBy(*keys, "__stretch").orderBy(order)
+    rows = cut.withColumn("__last", F.lag(order).over(w)).join(ends, same)
+    gap = F.col(order) - F.coalesce("__last", "__before", F.col(order) - step)
+    return rows.select(*(F.col(c) for c in df.columns), gap.alias("gap")).where(F.col("gap") != step)

@@ -20,14 +20,14 @@ def transformed(cells: DataFrame, dataset: Dataset, gap: str | None = None) -> D
     return done.select(*dataset.keys, dataset.append, "var", "value").withColumn("region", region_of(dataset, F.col(dataset.append)))
 
 
-def backfill(cells: DataFrame, dataset: Dataset, roots: list[str], start: int | None = None, end: int | None = None) -> str:
+def backfill(cells: DataFrame, dataset: Dataset, roots: list[str], start: int | None = None, end: int | None = None) -> None:
     """Publish all positions from start (inclusive) to end (exclusive), in whole regions."""
     at = F.col(dataset.append)
     if end is not None:
         cells = cells.where(at < end)
     if start is not None:
         cells = cells.where(region_of(dataset, at) >= region_of(dataset, F.lit(start)))
-    return store.publish(transformed(cells, dataset), roots, "region", dataset.append)
+    store.publish(transformed(cells, dataset), roots, "region", dataset.append)
 
 
 def backfill_range(dataset: Dataset, now: int, last: int | None, may_overwrite: bool = False) -> tuple[int, int]:
@@ -39,24 +39,33 @@ def backfill_range(dataset: Dataset, now: int, last: int | None, may_overwrite:
     return dataset.first, last + dataset.every
 
 
-def update(cells: DataFrame, dataset: Dataset, roots: list[str], halo: int = 1, window: int = 0) -> str:
+def update(cells: DataFrame, dataset: Dataset, roots: list[str], halo: int = 1, window: int = 0) -> None:
     """Publish what is new: from the region `window` before the last published position on.
 
     Those regions are done again, because late sources may have come; the first region's
     cells are transformed with `halo` positions before it, which are trimmed, so that the
     result is a backfill's. Regions before it are neither read nor written.
     """
-    spark = cells.sparkSession
-    primary = roots[0]
-    before = store.current(spark, primary)
-    last = store.resume_point(spark, primary, None)
+    last = store.resume_point(cells.sparkSession, roots[0], "region", dataset.append, None)
     if last is None:
         return backfill(cells, dataset, roots)
     region = max(0, last - window - dataset.first) // (dataset.every * dataset.region)
     begin = dataset.first + region * dataset.region * dataset.every
     recent = cells.where(F.col(dataset.append) >= begin - halo * dataset.every)
     fresh = transformed(recent, dataset).where(F.col("region") >= region)
-    return store.publish(fresh, roots, "region", dataset.append, expected=before, only_regions=True)
+    store.publish(fresh, roots, "region", dataset.append, only_regions=True)
+
+
+def trimmed(cells: DataFrame, results: DataFrame, append: str, region_start) -> DataFrame:
+    """`cells` up to the newest position that any variable's source succeeded at; before the region, if none did.
+
+    results: (append, status) of source files, status "succeeded" or another. A variable
+    may have holes before that position.
+    """
+    reach = results.where("status = 'succeeded'").agg(F.max(append).alias("__reach"))
+    kept = cells.join(F.broadcast(reach))  # one row
+    within = F.coalesce(F.col(append) <= F.col("__reach"), F.col(append) < F.lit(region_start))
+    return kept.where(within).drop("__reach")
 
 
 def pending_files(wanted: DataFrame, dataset: Dataset, root: str, representative: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from .functions import raster, scalar
 from .operators import align, checks, series, stats
-from .plans import grid, layout, spec
-from .sources import index_files
+from .plans import grid, ingest, layout, spec, structure
+from .sources import index_files, store
 from .streaming import updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -492,11 +493,7 @@ def bits_and_digests(spark: SparkSession, d: str) -> DataFrame:
 @query("""select user_id, event_id from (select user_id, min(event_id) as event_id from events group by user_id, floor(epoch(ts))::bigint // 3600)""")
 def stream_refs(spark: SparkSession, d: str) -> DataFrame:
     """One reference per user and hour, appended once by micro-batches; the first file order decides nothing."""
-    import tempfile
-    import uuid
-
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratagrid-")
-    root = f"{root}/stream-{uuid.uuid4().hex}"
+    root = scratch(spark, "stream")
     source = read(spark, d, "events")
     source.repartition(4, "user_id").write.parquet(f"{root}/landing")
     stream = updates.read_files(spark, f"{root}/landing", source.schema, files_per_batch=2)
@@ -508,7 +505,7 @@ def stream_refs(spark: SparkSession, d: str) -> DataFrame:
         if not fresh.isEmpty():
             fresh.write.mode("append").parquet(f"{root}/refs")
 
-    least.writeStream.outputMode("complete").foreachBatch(commit).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
+    least.writeStream.outputMode("update").foreachBatch(commit).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/refs").select("user_id", "event_id")
 
 
@@ -700,3 +697,223 @@ def recent_inits(spark: SparkSession, d: str) -> DataFrame:
     ends = read(spark, d, "events").agg(F.max(seconds("ts")).alias("hi"), F.min(seconds("ts")).alias("lo")).first()
     inits = grid.recent_inits(spark, ends.hi, 7200, 45, ends.lo)
     return inits.select("init", "rank", F.when(F.col("init") % 172800 == 0, grid.probe_order(F.lit(0))).otherwise(grid.probe_order(F.col("init"))).alias("probe"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared one."""
+    return f"{store.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("""with x as (select distinct user_id, floor(epoch(ts))::bigint // 3600 * 3600 as sec from events)
+select * from (select user_id, sec, sec - lag(sec) over (partition by user_id order by sec) as gap from x) where gap <> 3600""")
+def contiguity(spark: SparkSession, d: str) -> DataFrame:
+    x = read(spark, d, "events").select("user_id", scalar.floor_to(seconds("ts"), 3600).alias("sec")).distinct()
+    return series.contiguous(x, "sec", 3600, ["user_id"], stretch=24)
+
+
+STRUCTURES = """pa as (select s_name as path, s_nationkey::varchar as dims, 'float' as dtype, (s_suppkey % 4)::varchar as chunks, s_suppkey from supplier),
+na as (select path, dims, dtype, case when s_suppkey % 5 = 2 then '9' else chunks end as chunks from pa where s_suppkey % 7 <> 3 union all select 'new ' || path, dims, dtype, chunks from pa where s_suppkey % 9 = 1),
+pc as (select c_mktsegment as coord, c_custkey as index, c_acctbal as value from customer), nc as (select coord, index, case when coord = 'BUILDING' then value + 1 else value end as value from pc where coord <> 'MACHINERY'),
+ps as (select o_orderpriority as "group", count(*) as size from orders group by 1), ns as (select "group", case substr("group", 1, 1) when '1' then size - 1 when '2' then size + 1 else size end as size from ps)"""
+
+
+def structures(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Published and new structures made from the test tables, as a template that has drifted."""
+    s = read(spark, d, "supplier").select(F.col("s_name").alias("path"), F.col("s_nationkey").cast("string").alias("dims"), F.lit("float").alias("dtype"), (F.col("s_suppkey") % 4).cast("string").alias("chunks"), "s_suppkey")
+    arrays = s.where("s_suppkey % 7 <> 3").withColumn("chunks", F.when(F.col("s_suppkey") % 5 == 2, "9").otherwise(F.col("chunks")))
+    arrays = arrays.union(s.where("s_suppkey % 9 = 1").withColumn("path", F.concat(F.lit("new "), "path"))).drop("s_suppkey")
+    coords = read(spark, d, "customer").select(F.col("c_mktsegment").alias("coord"), F.col("c_custkey").alias("index"), F.col("c_acctbal").alias("value"))
+    moved = coords.where("coord <> 'MACHINERY'").withColumn("value", F.when(F.col("coord") == "BUILDING", F.col("value") + 1).otherwise(F.col("value")))
+    sizes = read(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("group")).agg(F.count("*").alias("size"))
+    first = F.left("group", F.lit(1))
+    other = sizes.withColumn("size", F.col("size") + F.when(first == "1", -1).when(first == "2", 1).otherwise(0))
+    return {"arrays": s.drop("s_suppkey"), "coords": coords, "sizes": sizes}, {"arrays": arrays, "coords": moved, "sizes": other}
+
+
+ARRAY_DRIFT = """select path, 'missing' as fault, null as published, null as new from pa where path not in (select path from na) union all
+select pa.path, 'chunks differs', pa.chunks, na.chunks from pa join na using (path) where pa.chunks <> na.chunks"""
+COORD_DRIFT = """select distinct coord, 'missing', null, null from pc where coord not in (select coord from nc) union all select distinct coord, 'values differ', null, null from pc join nc using (coord, index) where pc.value <> nc.value"""
+
+
+@query(f"with {STRUCTURES} {ARRAY_DRIFT} union all {COORD_DRIFT}")
+def structural_drift(spark: SparkSession, d: str) -> DataFrame:
+    published, new = structures(spark, d)
+    return structure.array_drift(published["arrays"], new["arrays"]).union(structure.coordinate_drift(published["coords"], new["coords"]))
+
+
+@query(f"""with {STRUCTURES} {ARRAY_DRIFT} union all {COORD_DRIFT} union all select path, 'new array', null, null from na where path not in (select path from pa)
+union all select "group", 'trimming is never allowed', p.size::varchar, n.size::varchar from ps p join ns n using ("group") where n.size < p.size
+union all select "group", 'growth is not allowed', p.size::varchar, n.size::varchar from ps p join ns n using ("group") where n.size > p.size""")
+def safe_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    return structure.overwrite_faults(*structures(spark, d))
+
+
+@query("""with p as (select p_brand as coord, p_partkey as index, p_retailprice as value from part), t as (select coord, index, case when coord <> (select min(coord) from p) then value + 1 end as value from p)
+select coord, index, case when coord = (select min(coord) from p) then p.value else t.value end as value from p join t using (coord, index)""")
+def state_coordinates(spark: SparkSession, d: str) -> DataFrame:
+    """A refresh of coordinates leaves those that jobs write as they are published."""
+    p = read(spark, d, "part").select(F.col("p_brand").alias("coord"), F.col("p_partkey").alias("index"), F.col("p_retailprice").alias("value"))
+    least = p.agg(F.min("coord").alias("least"))  # one row
+    t = p.join(F.broadcast(least)).select("coord", "index", F.when(F.col("coord") != F.col("least"), F.col("value") + 1).alias("value"))
+    return structure.refreshed_coordinates(p, t)
+
+
+@query("""with p as (select c_name as path, c_mktsegment as value from customer where c_custkey % 6 <> 1), t as (select c_name as path, case when c_custkey % 5 = 0 then 'other' else c_mktsegment end as value from customer where c_custkey % 7 <> 2)
+select coalesce(p.path, t.path) as path, 'segment' as key, p.value as published, t.value as new from p full join t using (path) where p.value is distinct from t.value""")
+def metadata_refresh(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "customer").select(F.col("c_name").alias("path"), F.lit("segment").alias("key"), F.col("c_mktsegment").alias("value"), "c_custkey")
+    t = c.where("c_custkey % 7 <> 2").withColumn("value", F.when(F.col("c_custkey") % 5 == 0, "other").otherwise(F.col("value")))
+    return structure.refreshed_attributes(c.where("c_custkey % 6 <> 1"), t)
+
+
+@query("""with m as (select max(o_orderkey) filter (o_orderstatus = 'P') as reach from orders) select o_orderkey, o_custkey from orders, m where o_orderkey <= reach""")
+def trimmed_to_processed(spark: SparkSession, d: str) -> DataFrame:
+    o = read(spark, d, "orders")
+    results = o.select("o_orderkey", F.when(F.col("o_orderstatus") == "P", "succeeded").otherwise("failed").alias("status"))
+    return ingest.trimmed(o.select("o_orderkey", "o_custkey"), results, "o_orderkey", 0)
+
+
+@query("""with e as (select p_brand as var, min(p_type) as element, min(p_name) as name from part group by 1),
+x as (select p.p_brand as var, p.p_type <> e.element as f1, p.p_size % 3 <> 1 as f2, substr(p.p_brand, 7, 1) <> '1' and p.p_name <> e.name as f3 from part p join e on p.p_brand = e.var)
+select var, 'element' as fault from x where f1 union all select var, 'comment' from x where f2 union all select var, 'description' from x where f3""")
+def decoded_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """Fields whose element, comment or description isn't their variable's; brands with a 1 compare units only."""
+    p = read(spark, d, "part")
+    only_unit = F.substring("p_brand", 7, 1) == "1"
+    found = p.select(F.col("p_brand").alias("var"), F.col("p_type").alias("element"), F.col("p_name").alias("description"), F.concat(F.when(only_unit, F.col("p_name")).otherwise("c"), F.lit(" ["), (F.col("p_size") % 3).cast("string"), F.lit("]")).alias("comment"))
+    e = p.groupBy(F.col("p_brand").alias("var")).agg(F.min("p_type").alias("element"), F.min("p_name").alias("description"))
+    e = e.withColumns({"comment": F.lit("c [1]"), "unit_only": F.substring("var", 7, 1) == "1", "categorical": F.lit(False)})
+    return checks.metadata_faults(found, e)
+
+
+@query("""with x as (select o_custkey, o_orderkey as start, o_orderstatus as element, o_orderpriority as level, o_custkey % 3 as hours, o_orderdate from orders)
+select start, coalesce(min(start) over (partition by o_custkey order by start range between 1 following and unbounded following), start + 10737418240) as stop, strftime(o_orderdate, '%Y%m%d%H') as init, element, level, hours || ' hour fcst' as period from x""")
+def text_index_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Text index files, one for each customer of orders, written and read with their byte ranges."""
+    o = read(spark, d, "orders")
+    line = F.concat_ws(":", "o_orderkey", "o_orderkey", F.concat(F.lit("d="), F.date_format("o_orderdate", "yyyyMMddHH")), "o_orderstatus", "o_orderpriority", F.concat((F.col("o_custkey") % 3).cast("string"), F.lit(" hour fcst")), F.lit(""))
+    folder = scratch(spark, "text-index")
+    o.select("o_custkey", line.alias("value")).repartition("o_custkey").write.partitionBy("o_custkey").text(folder)
+    index = index_files.text_index(spark, folder)
+    file = F.regexp_extract("file", "o_custkey=([^/]+)", 1).alias("file")
+    return index_files.byte_ranges(index.withColumn("file", file), "file", "start").select("start", "stop", "init", "element", "level", "period")
+
+
+@query("""select l_returnflag as param, l_quantity as levelist, case when l_partkey % 4 = 0 then 0 else l_partkey % 4 end as number, l_linenumber::bigint as step, l_orderkey as start, l_orderkey + l_suppkey as stop from lineitem where l_linestatus = 'O' and l_linenumber = 3""")
+def json_index_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """JSON index lines written by the index sink and read back, of one kind and step; a missing number is 0."""
+    n = F.col("l_partkey") % 4
+    rows = read(spark, d, "lineitem").select(F.col("l_returnflag").alias("param"), F.lit("pl").alias("levtype"), F.col("l_quantity").cast("string").alias("levelist"), F.when(n != 0, n.cast("string")).alias("number"), F.col("l_linenumber").cast("string").alias("step"), F.col("l_linestatus").alias("type"), F.col("l_orderkey").alias("_offset"), F.col("l_suppkey").alias("_length"))
+    folder = scratch(spark, "json-index")
+    index_files.write_json_index(rows, folder)
+    return index_files.json_index(spark, folder, kinds=("O",), step=3).select("param", "levelist", "number", "step", "start", "stop")
+
+
+@query("""select event_id, user_id, case when user_id % 5 = 2 then value + 1 else value end as value, user_id % 5 as region from events""")
+def publish_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """A table published whole, then one region of it again; the replica's rows."""
+    e = read(spark, d, "events").select("event_id", "user_id", "value", (F.col("user_id") % 5).alias("region"))
+    roots = [scratch(spark, "primary"), scratch(spark, "replica")]
+    store.publish(e, roots, "region", "event_id", salt=F.col("event_id") % 4)
+    store.publish(e.where("region = 2").withColumn("value", F.col("value") + 1), roots, "region", "event_id", only_regions=True)
+    return store.read(spark, roots[1]).select("event_id", "user_id", "value", F.col("region").cast("long").alias("region"))
+
+
+@query("""with h as (select user_id as x, floor(epoch(ts))::bigint // 3600 * 3600 as time, sum(round(value * 100)::bigint)::double as v from events group by 1, 2)
+select x, time, 'scaled' as var, ((case when v::float <> 5000::float then v end) * 0.5 + 3)::float as value from h union all select x, time, 'plain', v::float from h""")
+def backfill_and_update(spark: SparkSession, d: str) -> DataFrame:
+    """A backfill of the first half and an update to the end equal a single pass; two variables of one treatment are one scan."""
+    h = read(spark, d, "events").groupBy(F.col("user_id").alias("x"), scalar.floor_to(seconds("ts"), 3600).alias("time")).agg(F.sum(cents("value")).cast("double").alias("value"))
+    cells = h.withColumn("var", F.explode(F.array(F.lit("scaled"), F.lit("plain"))))
+    ends = h.agg(F.min("time").alias("lo"), F.max("time").alias("hi")).first()
+    half = (ends.lo + ends.hi) // 7200 * 3600
+    dataset = spec.Dataset("d", ("x",), "time", ends.lo // 86400 * 86400, 3600, 240, (spec.Variable("scaled", sentinel=5000.0, factor=0.5, offset=3.0), spec.Variable("plain")))
+    roots = [scratch(spark, "ingest")]
+    ingest.backfill(cells, dataset, roots, end=half)
+    ingest.update(cells, dataset, roots)
+    return store.read(spark, roots[0]).select("x", "time", "var", "value")
+
+
+@query("""select distinct user_id, floor(epoch(ts))::bigint // 3600 as hour from events""")
+def stream_append(spark: SparkSession, d: str) -> DataFrame:
+    """Each key once, appended by micro-batches of one file."""
+    folder = scratch(spark, "append")
+    rows = read(spark, d, "events").select("user_id", F.floor(seconds("ts") / 3600).alias("hour"))
+    rows.repartition(4).write.parquet(f"{folder}/in")
+    stream = updates.read_files(spark, f"{folder}/in", rows.schema, files_per_batch=2)
+    updates.append_once(stream, f"{folder}/out", f"{folder}/state", ["user_id", "hour"]).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("user_id", "hour")
+
+
+@query("""select event_type, floor(epoch(ts))::bigint // 3600 * 3600 as start, count(*) as n, sum(round(value * 100)::bigint)::bigint as total from events group by 1, 2""")
+def stream_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Windowed statistics of a stream, complete after its last batch."""
+    folder = scratch(spark, "windows")
+    rows = read(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", cents("value").alias("v"))
+    rows.coalesce(1).write.parquet(f"{folder}/in")
+    found = updates.windowed_stats(updates.read_files(spark, f"{folder}/in", rows.schema), "ts", ["event_type"], "v")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out")
+
+    found.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("event_type", F.unix_timestamp("start").alias("start"), "n", "total")
+
+
+@query("""select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem where l_returnflag = 'R') and o_orderkey in (select l_orderkey from lineitem where l_linenumber >= 3)""")
+def pending_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """Work of one sweep: expected, not published, listed."""
+    l = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", "l_linenumber")
+    return updates.pending(read(spark, d, "orders").select("o_orderkey"), l.where("l_returnflag = 'R'"), l.where("l_linenumber >= 3"), ["o_orderkey"])
+
+
+@query("""select c_custkey, 0.25 + 0.5 / 2 + (c_custkey % 40) * 0.5 as centre, 39 - c_custkey % 40 as y, c_custkey // 40 as x,
+pow(c_acctbal / 100 - 10, 2) + pow((c_nationkey - 5) * cos(radians(10.0::double)), 2) as distance, c_mktsegment as dataset, 'v' || c_nationkey as version from customer""")
+def raster_functions(spark: SparkSession, d: str) -> DataFrame:
+    c = read(spark, d, "customer").withColumns({"y": F.floor(F.col("c_custkey") / 40), "x": F.col("c_custkey") % 40})
+    turned = raster.flip_transpose(c, 40)
+    dataset, version = scalar.dataset_and_version(F.concat(F.lit("https://h.example/"), "c_mktsegment", F.lit("/v"), F.col("c_nationkey").cast("string"), F.lit(".zarr/")))
+    distance = scalar.planar_distance(F.col("c_acctbal") / 100, F.col("c_nationkey").cast("double"), F.lit(10.0), F.lit(5.0))
+    return turned.select("c_custkey", raster.pixel_centre(F.col("c_custkey") % 40, 0.25, 0.5).alias("centre"), "y", "x", distance.alias("distance"), dataset.alias("dataset"), version.alias("version"))
+
+
+@query("""with f as (select floor(epoch(ts))::bigint // 86400 as day, avg(case when event_type = 'error' then 1 else 0 end) as fraction from events group by 1), r as (select *, row_number() over (order by day desc) rank from f),
+b as (select count(*) filter (fraction > case rank when 1 then 0.5 when 2 then 0.3 else 0.1 end) as bad, count(*) n from r where rank <= 3),
+c as (select 'recent_missing' as "check", bad = 0 and n = 3 as passed, bad || ' positions over their limit' as message, n as checked from b union all
+select 'no_faults', count(*) = 0, count(*) || ' faults', 0 from events where event_type = 'none')
+select "check", passed, message, checked::bigint as checked, substr(sha256((select coalesce(string_agg("check", ',' order by "check") filter (not passed), '') from c)), 1, 8) as fingerprint from c""")
+def check_report(spark: SparkSession, d: str) -> DataFrame:
+    e = read(spark, d, "events").select(F.floor(seconds("ts") / 86400).alias("day"), F.when(F.col("event_type") != "error", F.col("value")).alias("v"), "event_type")
+    return checks.report([checks.recent_missing(e, "day", "v", [0.5, 0.3, 0.1]), checks.no_rows(e.where("event_type = 'none'"), "no_faults")])
+
+
+@query("""with i as (select c_custkey as i from customer) select i // 64 as region, i // 64 * 64 as start, least((i // 64 + 1) * 64, max(i) + 1) as stop from i group by 1, 2""")
+def region_plan(spark: SparkSession, d: str) -> DataFrame:
+    return grid.regions(read(spark, d, "customer").select(F.col("c_custkey").alias("i")), "i", 64)
+
+
+def _shares(axes: dict[str, int], sizes: str) -> str:
+    """SQL of the evenness of tiles along each axis, summed."""
+    one = "(1 - sqrt(((ceil({n} / {d}) - 1) * pow({d} - {n} / ceil({n} / {d}), 2) + pow({n} - (ceil({n} / {d}) - 1) * {d} - {n} / ceil({n} / {d}), 2)) / ceil({n} / {d})) / ({n} / ceil({n} / {d})))"
+    return " + ".join(one.format(n=f"{n}::double", d=sizes.format(d=d, n=n)) for d, n in axes.items())
+
+
+AXES = {"time": 720, "latitude": 721, "longitude": 1440}
+SQL["layout_score"] = (
+    "with " + ", ".join(f"{d}s as (select distinct ceil({n}::double / k)::bigint as {d} from range(1, {n + 1}) t(k))" for d, n in AXES.items())
+    + f", c as (select *, (time * latitude * longitude)::double * {layout.BYTES * layout.COMPRESSION / 1e6!r} as mb from times, latitudes, longitudes)"
+    + f" select *, round(0.3 * (1 - abs(mb - 3.5) / 3.5) + 0.4 * (({_shares(AXES, '{d}')}) / 3) + 0.3 * (least(latitude, longitude)::double / greatest(latitude, longitude)), 9) as score from c where mb between 2.5 and 6 order by score desc, time, latitude, longitude limit 20"
+)
+CHUNK = {"time": 24, "latitude": 181, "longitude": 180}
+
+
+@query(
+    "with " + ", ".join(f"{d}s as (select {CHUNK[d]} * k as {d} from range(1, {-(-n // CHUNK[d]) + 1}) t(k))" for d, n in AXES.items())
+    + f", c as (select *, (time * latitude * longitude)::double * {layout.BYTES * layout.COMPRESSION / 1e6!r} as mb from times, latitudes, longitudes),"
+    + f" s as (select *, round(0.25 * (1 - abs(mb - 300) / 1200) + 0.45 * (({_shares(AXES, 'least({d}, {n})')}) / 3) + 0.30 * (least(latitude, longitude)::double / greatest(latitude, longitude)), 9) as score from c where mb between 100 and 1200 order by score desc, time, latitude, longitude limit 10)"
+    + " select time, latitude, longitude, score, ceil(721::double / latitude) * ceil(1440::double / longitude) * mb as slice_mb, ceil(720::double / time) * mb as series_mb from s"
+)
+def shard_layout(spark: SparkSession, d: str) -> DataFrame:
+    """The best shards of a chunking, with the MB that a time step of the whole grid and a point's series read."""
+    found = layout.shard_shapes(spark, AXES, CHUNK, ("latitude", "longitude"))
+    return layout.access_cost(found, AXES, ("latitude", "longitude"), "time").drop("mb")

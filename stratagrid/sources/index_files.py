@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -34,20 +35,43 @@ def byte_ranges(index: DataFrame, file: str, start: str, size: Column | None = N
     return index.withColumn("stop", F.coalesce(after, size, F.col(start) + PAD) if size is not None else F.coalesce(after, F.col(start) + PAD))
 
 
-def lookup(index: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
-    """`wanted` (var, a pattern or value for each of `on`) joined with messages: equality on all of `on`; a message may serve several vars."""
-    return index.join(wanted, on, "inner")
+def lookup(index: DataFrame, wanted: DataFrame, on: list[str], patterns: list[str] | None = None) -> DataFrame:
+    """`wanted` (var, and a value or pattern for each of `on`) joined with messages; a message may serve several vars.
 
+    Columns of `on` are equal, or, if named in `patterns`, match as whole by the regular
+    expression of `wanted` (as `TMP|TEMP`). A NULL of `wanted` fits any. Without
+    patterns and NULLs it is an equality join; otherwise give columns that are always
+    equal first, so that the join has a key.
+    """
+    keyed = [c for c in on if c not in (patterns or [])]
+    if not patterns:
+        return index.join(wanted, keyed, "inner")
+    rows = wanted.select(*(F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in wanted.columns))
+    same = [F.col(c) == F.col(f"__{c}") for c in keyed]
+    fits = [F.col(f"__{c}").isNull() | F.expr(f"regexp_like(`{c}`, concat('^(?:', `__{c}`, ')$'))") for c in patterns]
+    return index.join(rows, reduce(lambda a, b: a & b, [*same, *fits])).drop(*(f"__{c}" for c in on))
+
+
+def lookup_faults(found: DataFrame, wanted: DataFrame, file: str, var: str, files: DataFrame | None = None) -> DataFrame:
+    """(file, var, n) of vars that a file doesn't have exactly once; absent ones count if `files` lists the files."""
+    n = found.groupBy(file, var).agg(F.count("*").alias("n"))
+    if files is not None:
+        every = files.select(file).distinct().crossJoin(F.broadcast(wanted.select(var).distinct()))  # every file must have every var
+        n = every.join(n, [file, var], "left").select(file, var, F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return n.where("n <> 1")
 
-def lookup_faults(found: DataFrame, wanted: DataFrame, file: str, var: str) -> DataFrame:
-    """(file, var, n) of vars that a file has more than once."""
-    return found.groupBy(file, var).agg(F.count("*").alias("n")).where("n > 1")
 
+def json_index(spark: SparkSession, path: str, kinds: tuple[str, ...] | None = None, step: int | None = None) -> DataFrame:
+    """(file, param, levtype, levelist, number, step, start, stop) of JSON lines with _offset and _length; a missing number is 0.
 
-def json_index(spark: SparkSession, path: str) -> DataFrame:
-    """(file, param, levtype, levelist, number, step, start, stop) of JSON lines with _offset and _length; a missing number is 0."""
+    kinds: the values of `type` that are taken (as cf and fc), step: the only step; all otherwise.
+    """
     schema = "param string, levtype string, levelist string, number string, step string, type string, _offset long, _length long"
     d = spark.read.schema(schema).json(path)
+    if kinds is not None:
+        d = d.where(F.col("type").isin(*kinds))
+    if step is not None:
+        d = d.where(F.col("step").cast("long") == step)
     return d.select(F.col("_metadata.file_path").alias("file"), "param", "levtype", F.col("levelist").cast("double").alias("levelist"), F.coalesce(F.col("number").cast("long"), F.lit(0)).alias("number"), F.col("step").cast("long").alias("step"), F.col("_offset").alias("start"), (F.col("_offset") + F.col("_length")).alias("stop"))
 
 
@@ -76,26 +100,29 @@ def _frames(magic: bytes, trailer: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for path, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at, number = 0, 0
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                blob, at, number = content.as_py(), 0, 0
                 while at < len(blob):
-                    if blob[at : at + 4] != magic or len(blob) < at + 16:
-                        raise ValueError(f"{path}: no message at byte {at}")
-                    size = struct.unpack(">Q", blob[at + 8 : at + 16])[0]
-                    if size < 20 or blob[at + size - 4 : at + size] != trailer:
-                        raise ValueError(f"{path}: the message at byte {at} has no end")
-                    rows.append((path, number, at, size, blob[at + 6]))
+                    head = blob[at : at + len(magic)] == magic and len(blob) >= at + 16
+                    size = struct.unpack(">Q", blob[at + 8 : at + 16])[0] if head else 0
+                    if size < 20 or blob[at + size - len(trailer) : at + size] != trailer:
+                        rows.append((path, number, at, None, None, "the message has no end" if head else "no message starts here"))
+                        break
+                    rows.append((path, number, at, size, blob[at + 6], None))
                     at, number = at + size, number + 1
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["file", "message", "start", "length", "discipline"])
+            cols = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:5]), pa.array(cols[5], pa.string())], ["file", "message", "start", "length", "discipline", "error"])
 
     return run
 
 
 def message_frames(spark: SparkSession, path: str, magic: bytes = b"GRIB", trailer: bytes = b"7777") -> DataFrame:
-    """(file, message, start, length, discipline) of files of framed messages: magic, length in bytes 8 to 15, trailer."""
+    """(file, message, start, length, discipline, error) of files of framed messages: magic, length in bytes 8 to 15, trailer.
+
+    Where a file doesn't go on with a whole message, a row says so in `error`; other files go on.
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_frames(magic, trailer), "file string, message long, start long, length long, discipline long")
+    return files.mapInArrow(_frames(magic, trailer), "file string, message long, start long, length long, discipline long, error string")
 
 
 def refs(ranges: DataFrame, var: str, dims: list[str], location: str) -> DataFrame:

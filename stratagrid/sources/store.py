@@ -1,24 +1,17 @@
-"""Published tables: immutable Parquet partitions under a folder, and a manifest that names them.
-
-    root/data/snapshot=<id>/<region>=<value>/...   written once, never changed
-    root/manifests/<id>.json                       schema, extent and the partitions of a publication
-    root/current                                   the id of the manifest that readers see
-
-A writer stages partitions, checks the guards, writes a manifest and replaces the
-pointer by an atomic rename. An update writes only the regions it changes; the new
-manifest keeps the other partitions where they are. Replicas are switched before the
-primary, so that the primary never shows what a replica lacks. A lost executor's tasks
-are rerun by Spark's committer; a lost driver leaves unreferenced partitions and the
-old pointer.
+"""Published tables: Parquet folders partitioned by region, written by Spark's own committer.
+
+Guards are relations that are checked before anything is written. A publication writes
+only the regions it has (dynamic partition overwrite); replicas are written before the
+primary, from the rows the primary gets. Snapshots, expiry and concurrent writers are
+a table format's work: to have them, use a catalog table of such a format as the target.
 """
 
 from __future__ import annotations
 
-import datetime
-import json
-import uuid
+import tempfile
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,54 +20,15 @@ class GuardError(ValueError):
     """A publication would lose or change what is published."""
 
 
-def _fs(spark: SparkSession, path: str):
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at `path`."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    return spark.read.text(path, wholetext=True).first()[0].strip() if fs.exists(p) else None
-
-
-def _put_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, target = _fs(spark, path)
-    jvm = spark._jvm
-    temporary = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
-    stream = fs.create(temporary, True)
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(temporary, target, options)
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
-
-
-def current(spark: SparkSession, root: str) -> str | None:
-    """The id of the published manifest."""
-    return _read_text(spark, f"{root}/current")
-
-
-def manifest(spark: SparkSession, root: str) -> dict | None:
-    """schema, region, extent and partitions of what is published; None before the first publication."""
-    name = current(spark, root)
-    return None if name is None else json.loads(_read_text(spark, f"{root}/manifests/{name}.json"))
-
-
-def _load(spark: SparkSession, root: str, partitions: list[str], schema: T.StructType) -> DataFrame:
-    paths = [f"{root}/data/{p}" for p in partitions]
-    return spark.read.schema(schema).option("basePath", f"{root}/data").parquet(*paths).select(*schema.fieldNames())
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def read(spark: SparkSession, root: str) -> DataFrame | None:
     """The published rows; None before the first publication. Filters on the region prune partitions."""
-    m = manifest(spark, root)
-    return None if m is None else _load(spark, root, m["partitions"], T.StructType.fromJson(m["schema"]))
+    return spark.read.parquet(root) if exists(spark, root) else None
 
 
 def drift(published: T.StructType, new: T.StructType) -> list[str]:
@@ -83,70 +37,60 @@ def drift(published: T.StructType, new: T.StructType) -> list[str]:
     return [f"{f.name}: {f.dataType.simpleString()} became {have.get(f.name, 'missing')}" for f in published.fields if have.get(f.name) != f.dataType.simpleString()]
 
 
-def _plain(value):
-    return value.isoformat() if isinstance(value, (datetime.date, datetime.datetime)) else value
+def extent_of(table: DataFrame | None, region: str, extent: str):
+    """The largest published position; only the last region is read."""
+    if table is None:
+        return None
+    last = table.agg(F.max(region)).first()[0]
+    return table.where(F.col(region) == last).agg(F.max(extent)).first()[0]
 
 
-def publish(df: DataFrame, roots: list[str], region: str, extent: str, expected: str | None = None, may_shrink: bool = False, only_regions: bool = False) -> str:
-    """Publish `df` to `roots`, the primary first in the list and last in time; the manifest's id.
+def guard(df: DataFrame, published: DataFrame | None, region: str, extent: str, may_shrink: bool = False, only_regions: bool = False) -> None:
+    """Raise if nothing is to be published, a published column is lost or changes type, or the largest `extent` shrinks."""
+    ends = df.agg(F.max(extent).alias("reach"), F.count("*").alias("n")).first()
+    if not ends.n:
+        raise GuardError("an empty table is not published")
+    if published is None:
+        return
+    if changed := drift(published.drop(region).schema, df.schema):  # the region's type is read from folder names
+        raise GuardError("; ".join(changed))
+    if not only_regions and not may_shrink and ends.reach < extent_of(published, region, extent):
+        raise GuardError("the published extent would shrink")
+
+
+def publish(df: DataFrame, roots: list[str], region: str, extent: str, may_shrink: bool = False, only_regions: bool = False, salt: Column | None = None) -> None:
+    """Write `df` to `roots`, the primary first in the list and last in time.
 
     With `only_regions` the regions of `df` replace their like and the others stay as
-    they are; else `df` is all there is. Fails, and leaves everything as it was, if a
-    published column is lost or changes type, if the largest `extent` shrinks (unless
-    allowed), if nothing is to be published, or if the primary's manifest is no longer
-    `expected` (when given) or changes meanwhile.
+    they are; else `df` is all there is. The guards are checked against the primary.
+    A region is written by one task, or with `salt` (a small integer of a row) by as
+    many as that has values. A published table may not be an input of `df`.
     """
-    spark, primary, name = df.sparkSession, roots[0], uuid.uuid4().hex
-    before = current(spark, primary)
-    if expected is not None and before != expected:
-        raise GuardError("the primary has moved on")
-    old = {root: manifest(spark, root) for root in roots}
-    if old[primary] and (changed := drift(T.StructType.fromJson(old[primary]["schema"]), df.schema)):
-        raise GuardError("; ".join(changed))
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-    df.repartition(region).write.partitionBy(region).parquet(f"{primary}/data/snapshot={name}")
-    fresh = [f"snapshot={name}/{p}" for p in _names(spark, f"{primary}/data/snapshot={name}")]
-    if not fresh:
-        raise GuardError("an empty table is not published")
-    written = _load(spark, primary, fresh, schema)
-    reach = _plain(written.agg(F.max(extent)).first()[0])
-    if old[primary] and only_regions:
-        reach = max(reach, old[primary]["extent"])
-    if old[primary] and not may_shrink and reach < old[primary]["extent"]:
-        raise GuardError("the published extent would shrink")
-    for root in roots[1:]:  # replicas hold copies of what was written, not of a second computation
-        written.repartition(region).write.partitionBy(region).parquet(f"{root}/data/snapshot={name}")
-    if current(spark, primary) != before:
-        raise GuardError("the primary has moved on")
-    changed_regions = {p.split("/", 1)[1] for p in fresh}
-    for root in [*roots[1:], primary]:
-        kept = [p for p in old[root]["partitions"] if p.split("/", 1)[1] not in changed_regions] if only_regions and old[root] else []
-        _put_text(spark, f"{root}/manifests/{name}.json", json.dumps({"schema": json.loads(schema.json()), "region": region, "extent": reach, "partitions": kept + fresh}))
-        _put_text(spark, f"{root}/current", name)
-    return name
-
-
-def expire(spark: SparkSession, root: str) -> int:
-    """Delete partitions and manifests that aren't published; how many partitions there were."""
-    m, name, gone = manifest(spark, root), current(spark, root), 0
-    keep = set(m["partitions"]) if m else set()
-    for snapshot in _names(spark, f"{root}/data"):
-        for part in _names(spark, f"{root}/data/{snapshot}"):
-            if f"{snapshot}/{part}" not in keep:
-                fs, p = _fs(spark, f"{root}/data/{snapshot}/{part}")
-                fs.delete(p, True)
-                gone += 1
-        if not _names(spark, f"{root}/data/{snapshot}"):
-            fs, p = _fs(spark, f"{root}/data/{snapshot}")
-            fs.delete(p, True)
-    fs, p = _fs(spark, f"{root}/manifests")
-    for s in fs.listStatus(p) if fs.exists(p) else []:
-        if s.getPath().getName() != f"{name}.json":
-            fs.delete(s.getPath(), False)
-    return gone
-
-
-def resume_point(spark: SparkSession, root: str, start):
+    spark = df.sparkSession
+    guard(df, read(spark, roots[0]), region, extent, may_shrink, only_regions)
+    rows = df.repartition(F.col(region), *([salt] if salt is not None else []))
+    mode = "dynamic" if only_regions else "static"
+    for root in [*roots[1:], roots[0]]:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(region).parquet(root)
+
+
+def resume_point(spark: SparkSession, root: str, region: str, extent: str, start):
     """Where an update begins: the largest published position, which it does again; `start` for a new store."""
-    m = manifest(spark, root)
-    return start if m is None else m["extent"]
+    reach = extent_of(read(spark, root), region, extent)
+    return start if reach is None else reach
+
+
+def merged(tables: list[DataFrame]) -> DataFrame:
+    """Groups of one table as one relation; columns that a group lacks are NULL."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, the folder that driver and executors share; a local session without it gets a folder of its own."""
+    where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if where is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="stratagrid-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where

@@ -6,18 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources import store
 
-def new_rows(batch: DataFrame, target: str, keys: list[str]) -> DataFrame:
-    """Rows of the batch whose keys the target table doesn't have yet, each once."""
-    spark = batch.sparkSession
+#: Partitions of the target that a batch may name for pruning; beyond, the whole target is read.
+PARTITIONS = 10_000
+
+
+def new_rows(batch: DataFrame, target: str, keys: list[str], prune: list[str] | None = None) -> DataFrame:
+    """Rows of the batch whose keys the target table doesn't have yet, each once.
+
+    prune: those of the keys that partition the target; only the partitions that the
+    batch touches are then read (dynamic pruning by a semi join).
+    """
     fresh = batch.dropDuplicates(keys)
-    try:
-        have = spark.read.parquet(target).select(*keys)
-    except Exception as e:  # the first batch
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
+    have = store.read(batch.sparkSession, target)
+    if have is None:  # the first batch
         return fresh
-    return fresh.join(have, keys, "left_anti")
+    if prune:
+        have = have.join(F.broadcast(batch.select(*prune).distinct().limit(PARTITIONS)), prune, "left_semi") if batch.select(*prune).distinct().limit(PARTITIONS + 1).count() <= PARTITIONS else have
+    return fresh.join(have.select(*keys), keys, "left_anti")
 
 
 def append_once(stream: DataFrame, target: str, checkpoint: str, keys: list[str], every: str | None = None) -> StreamingQuery:

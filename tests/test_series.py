@@ -87,6 +87,20 @@ def test_overwrite_guard():
     new = spec.Dataset("d", ("x",), "time", 0, 3600, 24, (v, spec.Variable("u")))
     assert spec.overwrite_guard(old, new) == ["u is new"] and spec.overwrite_guard(old, new, allow_new_variables=True) == []
     assert spec.overwrite_guard(new, old, allow_new_variables=True) == ["u is gone"]
+    assert "instead of 9" in spec.overwrite_guard(old, old, allow_growth=True, published_end=9, new_end=5)[0]
+    assert "grow to 12" in spec.overwrite_guard(old, old, published_end=9, new_end=12)[0]
+    assert spec.overwrite_guard(old, old, allow_growth=True, published_end=9, new_end=12) == spec.overwrite_guard(old, old, published_end=9, new_end=9) == []
+
+
+def test_contiguous_across_stretches(spark):
+    """Gaps in, at and over the ends of stretches, in each series."""
+    for missing in ({4096}, {4000}, {4095, 4096}, set(range(3000, 9000)), {0}):
+        steps = [i for i in range(10_000) if i not in missing]
+        want = sorted((b, b - a) for a, b in zip(steps, steps[1:]) if b - a != 1)
+        df = spark.createDataFrame([(i, "x") for i in steps], "t long, k string")
+        assert sorted((r.t, r.gap) for r in series.contiguous(df.select("t"), "t", 1).collect()) == want
+        two = df.union(spark.range(5000).selectExpr("id", "'y'"))
+        assert sorted((r.k, r.t, r.gap) for r in series.contiguous(two, "t", 1, ["k"]).collect()) == [("x", *w) for w in want]
 
 
 def test_constant_fill_is_missing(spark):

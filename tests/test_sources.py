@@ -30,9 +30,18 @@ def test_message_frames(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(frame(b"abc") + frame(b"defgh"))
     got = index_files.message_frames(spark, str(tmp_path)).orderBy("message").collect()
     assert [(r.message, r.start, r.length) for r in got] == [(0, 0, 23), (1, 23, 25)]
-    (tmp_path / "y.bin").write_bytes(frame(b"abc")[:-1] + b"8")
-    with pytest.raises(Exception, match="has no end"):
-        index_files.message_frames(spark, str(tmp_path)).collect()
+    (tmp_path / "y.bin").write_bytes(frame(b"abc") + frame(b"abc")[:-1] + b"8")
+    (tmp_path / "z.bin").write_bytes(b"junk" * 9)
+    got = [(r.file[-5:], r.message, r.error) for r in index_files.message_frames(spark, str(tmp_path)).orderBy("file", "message").collect()]
+    assert got == [("x.bin", 0, None), ("x.bin", 1, None), ("y.bin", 0, None), ("y.bin", 1, "the message has no end"), ("z.bin", 0, "no message starts here")]
+
+
+def test_lookup_by_patterns(spark):
+    index = spark.createDataFrame([("f", 1, "TMP", "2 m above ground", "anl"), ("f", 2, "TMP", "surface", "anl"), ("f", 3, "APCP", "surface", "0-6 hour acc fcst"), ("g", 1, "TEMP", "2 m above ground", "6 hour fcst")], "file string, message int, element string, level string, period string")
+    wanted = spark.createDataFrame([("t2m", "TMP|TEMP", "2 m above ground", None), ("rain", "APCP", "surface", r"0-\d+ hour acc.*")], "var string, element string, level string, period string")
+    found = index_files.lookup(index, wanted, ["level", "element", "period"], ["element", "period"])
+    assert sorted((r.file, r.message, r.var) for r in found.collect()) == [("f", 1, "t2m"), ("f", 3, "rain"), ("g", 1, "t2m")]
+    assert [(r.file, r.var, r.n) for r in index_files.lookup_faults(found, wanted, "file", "var", index).collect()] == [("g", "rain", 0)]
 
 
 def test_stale_file(spark):
@@ -42,8 +51,9 @@ def test_stale_file(spark):
 
 def test_publish_and_guards(spark, tmp_path):
     primary, replica = str(tmp_path / "p"), str(tmp_path / "r")
-    df = spark.range(10).select(F.col("id").alias("time"), (F.col("id") % 2).alias("region"), F.lit(1.0).alias("v"))
-    first = store.publish(df, [primary, replica], "region", "time")
+    df = spark.range(10).select(F.col("id").alias("time"), F.lit(1.0).alias("v"), (F.col("id") % 2).cast("int").alias("region"))
+    assert store.resume_point(spark, primary, "region", "time", 0) == 0 and store.read(spark, primary) is None
+    store.publish(df, [primary, replica], "region", "time", salt=F.col("time") % 3)
     assert store.read(spark, primary).count() == store.read(spark, replica).count() == 10
     assert store.read(spark, primary).dtypes == df.dtypes
     with pytest.raises(store.GuardError, match="shrink"):
@@ -52,17 +62,19 @@ def test_publish_and_guards(spark, tmp_path):
         store.publish(df.drop("v"), [primary], "region", "time")
     with pytest.raises(store.GuardError, match="empty"):
         store.publish(df.where("false"), [primary], "region", "time")
-    with pytest.raises(store.GuardError, match="moved"):
-        store.publish(df, [primary], "region", "time", expected="other")
-    assert store.current(spark, primary) == first and store.resume_point(spark, primary, 0) == 9
-    fresh = spark.range(8, 12).select(F.col("id").alias("time"), F.lit(1).cast("long").alias("region"), F.lit(2.0).alias("v"))
-    store.publish(fresh, [primary, replica], "region", "time", expected=first, only_regions=True)
-    for root in (primary, replica):
-        parts = store.manifest(spark, root)["partitions"]
-        assert [p.split("=", 1)[1].split("/")[0] == first for p in parts] == [True, False]  # region 0 wasn't written again
+    fresh = spark.range(8, 12).select(F.col("id").alias("time"), F.lit(2.0).alias("v"), F.lit(1).cast("int").alias("region"))
+    store.publish(fresh, [primary, replica], "region", "time", only_regions=True)
+    for root in (primary, replica):  # region 0 stays, region 1 is replaced
         assert store.read(spark, root).where("v = 2.0").count() == 4 and store.read(spark, root).count() == 9
-    assert store.expire(spark, primary) == 3  # region 1 of the first, and what a failed attempt had staged
-    assert store.read(spark, primary).count() == 9 and store.resume_point(spark, primary, 0) == 11
+    assert store.resume_point(spark, primary, "region", "time", 0) == 11
+
+
+def test_new_rows_prunes(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = spark.range(40).select((F.col("id") % 4).alias("p"), F.col("id").alias("k"))
+    assert updates.new_rows(rows, target, ["p", "k"], ["p"]).count() == 40
+    rows.where("k < 30").write.partitionBy("p").parquet(target)
+    assert sorted(r.k for r in updates.new_rows(rows.where("p = 1"), target, ["p", "k"], ["p"]).collect()) == [33, 37]
 
 
 def test_stream_is_idempotent(spark, tmp_path):
