@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,15 +21,21 @@ def shared_dir(spark: SparkSession) -> str:
     """
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="stratagrid-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
 
 
-#: Workspaces that have not been removed, in the order they were opened.
-OPEN: list = []
+_OPEN = threading.local()
+
+
+def opened() -> list[Workspace]:
+    """Workspaces of this thread that have not been removed, in the order they were opened."""
+    if not hasattr(_OPEN, "spaces"):
+        _OPEN.spaces = []
+    return _OPEN.spaces
 
 
 class Workspace:
@@ -40,12 +47,13 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self._count = 0
-        OPEN.append(self)
+        opened().append(self)
 
     def remove(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        OPEN.remove(self)
+        if self in opened():
+            opened().remove(self)
 
     def cut(self, df: DataFrame) -> DataFrame:
         """`df`, written once and read back."""

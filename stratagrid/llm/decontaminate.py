@@ -1,7 +1,7 @@
 """Benchmark decontamination over a document-partitioned positional inverted index.
 
 Index: every task turns its documents into postings (term -> token positions) of all
-their words and stores one row of postings per two megabytes of text, with the
+their words and stores one row of postings per megabyte of text, with the
 documents' boundaries. Terms are 64-bit codes of words. The index is written once.
 Search: a test item's window of consecutive words is looked up from its rarest term,
 by frequency over the whole corpus; the lists of its other terms, moved by their
@@ -30,7 +30,7 @@ WINDOW = 13
 #: Bytes of test items in one block; their terms and windows take about ten times that in a task.
 BLOCK_BYTES = 4_000_000
 #: Bytes of text in one row of the index.
-INDEX_BYTES = 1 << 21
+INDEX_BYTES = 1 << 20
 #: Proximity: so many of a window's rarest terms within so many words.
 NEAR_TERMS, NEAR_WORDS = 3, 24
 
@@ -136,7 +136,8 @@ def _matches(items: Items, p: Postings, near_words: int, limit: int = 1 << 20) -
 def _search(items: Items, near_words: int, every_row: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 p = Postings(row, items.vocabulary)
                 n, doc_of, first = p.n, p.doc_of, p.first
                 hit, item_of, near_of = np.zeros(n + 1, np.int64), [], []
@@ -169,8 +170,8 @@ def _frequencies(index: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
-            for terms, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                code = np.frombuffer(terms, K.U64)
+            for terms, counts in zip(*batch.columns):
+                code, counts = np.frombuffer(terms.as_py(), K.U64), counts.as_py()
                 at = np.searchsorted(vocabulary, code)
                 known = np.flatnonzero((at < len(vocabulary)) & (vocabulary[np.minimum(at, len(vocabulary) - 1)] == code)) if len(vocabulary) else at[:0]
                 total[at[known]] += np.frombuffer(counts, np.uint32)[known]

@@ -4,10 +4,16 @@ Every block of text belongs to the path of block elements from the root to it. P
 path, a page's text length and punctuation are summed and divided by the number of
 blocks; the two ratios are smoothed along the order in which the paths first occur,
 fused by their product, and paths above the threshold (the spread of the fused ratios)
-are content. The content roots are the article elements, or the main element, if they
+are content. The content nodes are the article elements, or the main element, if they
 hold 0.3 of what the content paths weigh, else the innermost element with no text but
-links beside it; all text under them is kept but for elements that are boilerplate by
-their tag, role, class or id.
+links beside it. Under them all text is kept, short blocks too, but for boilerplate.
+
+Boilerplate is certain by tag, role or being hidden. By class or id it is a suspicion
+only, which yields to the text: a suspect element is kept if it holds the only article
+elements of the page, or most of the text together with the page's first heading or a
+name that speaks for an article. Names that say what an element has, lacks or does
+(`has-sidebar`, `no-comments`, `overflow-hidden`) raise none. Blocks of links only are
+navigation, but for paragraphs, headings, table cells and short lists.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ import html
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +32,7 @@ from pyspark.sql import types as T
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"([a-z])([A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes svg math object".split())
@@ -48,41 +56,74 @@ WHOLE = frozenset("ul ol menu dl table blockquote pre".split())
 #: A block with a larger share of link text is navigation, if it is no heading or paragraph.
 LINKS = 0.9
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
+PLAIN = frozenset("div section center".split())
 SMOOTHING = (0.25, 0.5, 0.25)
-#: Elements below this depth count to the path above them; their text is kept like any other.
-DEEPEST = 200
+#: Names that say what an element has, lacks or does.
+MODIFIERS = frozenset("has no with without not overflow".split())
+CERTAIN, STRONG, WEAK = 1, 2, 3
 
 
 class _Node:
-    __slots__ = ("tag", "path", "dropped", "link", "semantic", "block")
+    __slots__ = ("tag", "path", "dropped", "suspect", "link", "semantic", "block")
 
-    def __init__(self, tag: str, path: tuple, dropped: bool, link: bool, semantic: bool, block: _Node | None = None):
-        self.tag, self.path, self.dropped, self.link, self.semantic = tag, path, dropped, link, semantic
+    def __init__(self, tag: str, path: int, dropped: bool, suspect: int, link: bool, semantic: bool, block: _Node | None = None):
+        self.tag, self.path, self.dropped, self.suspect, self.link, self.semantic = tag, path, dropped, suspect, link, semantic
         self.block = block or self
 
 
+class Block(NamedTuple):
+    path: int
+    dropped: bool  # for certain
+    suspect: int  # the innermost suspect element that it stands in; 0 if none
+    link: float  # share of link text
+    text: str
+
+
+class Suspect(NamedTuple):
+    parent: int
+    weak: bool  # its names speak for an article too
+    semantic: bool  # inside an article or main element
+
+
+class Page(NamedTuple):
+    """A path is a number; parent and tag give the path above it and its last element. Number 0 is the root, and no suspect."""
+
+    blocks: list[Block]
+    parent: list[int]
+    tag: list[str]
+    suspects: list[Suspect]
+
+
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): next((x for x in (m[2], m[3], m[4]) if x is not None), "") for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _is_dropped(tag: str, attributes: dict[str, str], semantic: bool) -> bool:
+def _boilerplate(tag: str, attributes: dict[str, str], semantic: bool) -> int:
+    """CERTAIN, STRONG or WEAK boilerplate, or 0."""
     if tag in DROPPED_TAGS or tag == "header" and not semantic:
-        return True
+        return CERTAIN
     if not attributes:
-        return False
+        return 0
     if attributes.get("role", "").lower() in DROPPED_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in ("html", "body", *ROOTS) and not (tag == "article" and "comment" in attributes.get("class", "").lower()):
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    names = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower())
-    return not DROPPED_WORDS.isdisjoint(names) or "header" in names and not semantic and ARTICLE_WORDS.isdisjoint(names)
-
-
-def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
-    """(path, dropped, share of link text, text) of the blocks in page order; a path is a tuple of block elements."""
-    found: list = []
-    stack = [_Node("", (), False, False, False)]
+        return CERTAIN
+    if tag in ("html", "body", *ROOTS):
+        return STRONG if tag == "article" and "comment" in attributes.get("class", "").lower() else 0
+    names = set()
+    for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        words = _WORDS.findall(_CAMEL.sub(r"\1 \2", token).lower())
+        if words and words[0] not in MODIFIERS:
+            names.update(words)
+    article = not ARTICLE_WORDS.isdisjoint(names)
+    if not DROPPED_WORDS.isdisjoint(names):
+        return WEAK if article else STRONG
+    return STRONG if "header" in names and not semantic and not article else 0
+
+
+def parse(source: str) -> Page:
+    """The blocks of a page in their order."""
+    found: list[Block] = []
+    parent, tags, suspects, number = [0], [""], [Suspect(0, False, False)], {}
+    stack = [_Node("", 0, False, 0, False, False)]
     pieces: list[str] = []
     linked = 0
     owner = stack[0]
@@ -98,7 +139,7 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                found.append((owner.path, owner.dropped, min(1.0, linked / len(text)), text))
+                found.append(Block(owner.path, owner.dropped, owner.suspect, min(1.0, linked / (len(text) - text.count(" "))), text))
             pieces.clear()
         linked = 0
 
@@ -108,14 +149,14 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
         if not raw or top.dropped and not pieces and not raw.strip():
             return
         block = top.block
-        if top.dropped and not block.dropped:  # an inline element that is boilerplate
+        if top.dropped and not block.dropped or top.suspect != block.suspect:  # an inline element that is boilerplate
             return
         if not pieces:
             owner = block
         text = html.unescape(raw)
         pieces.append(text)
         if top.link:
-            linked += len(text.strip())
+            linked += sum(map(len, text.split()))
 
     def close(tags: set, fence: set):
         if not any(map(depth.get, tags)):
@@ -167,20 +208,83 @@ def blocks(source: str) -> list[tuple[tuple, bool, float, str]]:
         top = stack[-1]
         attributes = _attributes(m[3]) if m[3].strip() else {}
         semantic = top.semantic or tag in ROOTS
-        name = f"{tag}.{attributes.get('class', '')}" if attributes.get("class") else tag
+        block = tag in BLOCKS
+        kind = _boilerplate(tag, attributes, top.semantic)
+        suspect = top.suspect
+        if kind in (STRONG, WEAK):
+            suspect = len(suspects)
+            suspects.append(Suspect(top.suspect, kind == WEAK, top.semantic))
+        path = top.path
+        if block:
+            name = (top.path, tag, attributes.get("class", ""))
+            path = number.setdefault(name, len(parent))
+            if path == len(parent):
+                parent.append(top.path)
+                tags.append(tag)
         depth[tag] = depth.get(tag, 0) + 1
-        stack.append(_Node(tag, (*top.path, name) if tag in BLOCKS and len(top.path) < DEEPEST else top.path, top.dropped or _is_dropped(tag, attributes, top.semantic), top.link or tag == "a", semantic, None if tag in BLOCKS else top.block))
+        stack.append(_Node(tag, path, top.dropped or kind == CERTAIN, suspect, top.link or tag == "a", semantic, None if block else top.block))
     flush()
+    return Page(found, parent, tags, suspects)
+
+
+def _outermost(page: Page, tags: tuple[str, ...]) -> list[int]:
+    """Of each path, the outermost one at or above it that ends in one of `tags`; 0 if none."""
+    found = [0] * len(page.parent)
+    for i in range(1, len(found)):
+        found[i] = found[page.parent[i]] or (i if page.tag[i] in tags else 0)
     return found
 
 
-def fused_ratios(found: list[tuple[tuple, bool, float, str]]) -> dict[tuple, float]:
-    """The smoothed, fused text and punctuation ratio of each path, in order of first occurrence."""
-    sums: dict[tuple, list[float]] = {}
-    for path, dropped, link, text in found:
-        s = sums.setdefault(path, [0.0, 0.0, 0.0])
-        s[0] += 0.0 if dropped else len(text) * (1 - link)
-        s[1] += 0.0 if dropped else len(_PUNCTUATION.findall(text)) * (1 - link)
+def kept_blocks(page: Page) -> list[Block]:
+    """The blocks that no boilerplate holds."""
+    blocks = [b for b in page.blocks if not b.dropped]
+    if not any(b.suspect for b in blocks):
+        return blocks
+    root = _outermost(page, ROOTS)
+    spared = [False] * len(page.suspects)
+    spared[0] = True
+    inside: dict[int, int] = {}
+    for b in blocks:
+        if root[b.path]:
+            inside[root[b.path]] = inside.get(root[b.path], 0) + len(b.text)
+    if inside and not any(root[b.path] and all(page.suspects[s].semantic for s in _chain(page, b.suspect)) for b in blocks):
+        # no article but in suspects: what holds the heaviest one is none
+        best = max(inside, key=inside.get)
+        for b in blocks:
+            if root[b.path] == best:
+                for s in _chain(page, b.suspect):
+                    spared[s] = spared[s] or not page.suspects[s].semantic
+    scope = sum(inside.values()) or sum(len(b.text) for b in blocks)
+    size, titled = [0] * len(page.suspects), [False] * len(page.suspects)
+    title = next((b for b in blocks if page.tag[b.path] == "h1"), None)
+    for b in blocks:
+        size[b.suspect] += len(b.text)
+        titled[b.suspect] |= b is title
+    for s in range(len(size) - 1, 0, -1):
+        size[page.suspects[s].parent] += size[s]
+        titled[page.suspects[s].parent] |= titled[s]
+    for s in range(1, len(size)):
+        spared[s] = (spared[s] or 2 * size[s] > scope and (page.suspects[s].weak or titled[s])) and spared[page.suspects[s].parent]
+    return [b for b in blocks if spared[b.suspect]]
+
+
+def _chain(page: Page, suspect: int) -> list[int]:
+    found = []
+    while suspect:
+        found.append(suspect)
+        suspect = page.suspects[suspect].parent
+    return found
+
+
+def fused_ratios(page: Page, kept: list[Block]) -> dict[int, float]:
+    """The smoothed, fused text and punctuation ratio of each path, in order of first occurrence; boilerplate weighs nothing."""
+    good = set(map(id, kept))
+    sums: dict[int, list[float]] = {}
+    for b in page.blocks:
+        s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
+        if id(b) in good:
+            s[0] += len(b.text) * (1 - b.link)
+            s[1] += len(_PUNCTUATION.findall(b.text)) * (1 - b.link)
         s[2] += 1
     ratios = [(s[0] / s[2], 1 + s[1] / s[2], s[0]) for s in sums.values()]
 
@@ -194,62 +298,59 @@ def fused_ratios(found: list[tuple[tuple, bool, float, str]]) -> dict[tuple, flo
 
 def main_text(source: str | None) -> str:
     """The article of a page; empty if there is none."""
-    found = blocks(source or "")
-    if all(b[1] for b in found):
+    page = parse(source or "")
+    kept = kept_blocks(page)
+    if not kept:
         return ""
-    ratios = fused_ratios(found)
+    ratios = fused_ratios(page, kept)
     values = list(ratios.values())
     mean = sum(values) / len(values)
     threshold = min(max(values), math.sqrt(sum((v - mean) ** 2 for v in values) / len(values)))
-    weight: dict[tuple, float] = {}
-    for path, dropped, link, text in found:
-        if not dropped and ratios[path] >= threshold and ratios[path] > 0:
-            weight[path] = weight.get(path, 0.0) + len(text) * (1 - link)
-    if not weight:
-        weight = {path: 1.0 for path, dropped, _, _ in found if not dropped}
-    out = []
-    lists: dict[tuple, list[float]] = {}
-    shown: dict[tuple, float] = {}
-    for path, dropped, link, text in found:
-        lists.setdefault(path, []).append(link)
-        if not dropped:
-            prose = link <= LINKS or path and path[-1].split(".")[0] in PROSE
-            shown[path] = shown.get(path, 0.0) + (len(text) if prose else 0.0)
-    roots = _roots(weight, shown)
-    for path, dropped, link, text in found:
-        root = next((path[:i] for i in range(len(path) + 1) if path[:i] in roots), None)
-        if dropped or root is None:
-            continue
-        menu = any(x.split(".")[0] == "li" for x in path[len(root) :]) and len(lists[path]) > 2 and min(lists[path]) > LINKS
-        if not menu:
-            out.append(text)
-    return " ".join(out)
-
-
-def _roots(weight: dict[tuple, float], shown: dict[tuple, float]) -> set[tuple]:
-    """The article or main elements if they hold much of the weight, else the innermost element that has no other text beside it.
-
-    shown: undropped paths with the length of their text, 0 for navigation.
-    """
+    weight: dict[int, float] = {}
+    links: dict[int, list[float]] = {}
+    shown: dict[int, float] = {}  # text by path, 0 for navigation
+    for b in page.blocks:
+        links.setdefault(b.path, []).append(b.link)
+    for b in kept:
+        if ratios[b.path] >= threshold and ratios[b.path] > 0:
+            weight[b.path] = weight.get(b.path, 0.0) + len(b.text) * (1 - b.link)
+        shown[b.path] = shown.get(b.path, 0.0) + (len(b.text) if b.link <= LINKS or page.tag[b.path] in PROSE else 0.0)
+    weight = weight or dict.fromkeys(shown, 1.0)
+    roots = _roots(page, weight, shown)
+    under = [0 in roots] * len(page.parent)
+    listed = [False] * len(page.parent)
+    for i in range(1, len(under)):
+        above = page.parent[i]
+        under[i] = under[above] or i in roots
+        listed[i] = under[above] and (listed[above] or page.tag[i] == "li")
+
+    def menu(b: Block) -> bool:
+        if min(links[b.path]) <= LINKS:
+            return False
+        return len(links[b.path]) > 2 if listed[b.path] else page.tag[b.path] in PLAIN and b.path not in roots
+
+    return " ".join(b.text for b in kept if under[b.path] and not menu(b))
+
+
+def _roots(page: Page, weight: dict[int, float], shown: dict[int, float]) -> set[int]:
+    """The article or main elements if they hold much of the weight, else the innermost element that has no other text beside it."""
     total = sum(weight.values())
     for tag in ROOTS:
-        held: set[tuple] = set()
-        mass = 0.0
-        for path in shown:
-            for i, name in enumerate(path):
-                if name.split(".")[0] == tag:
-                    held.add(path[: i + 1])
-                    mass += weight.get(path, 0.0)
-                    break
-        if held and mass >= 0.3 * total:
+        outer = _outermost(page, (tag,))
+        held = {outer[p] for p in shown if outer[p]}
+        if held and sum(weight.get(p, 0.0) for p in shown if outer[p]) >= 0.3 * total:
             return held
-    root: tuple = ()
+    inner: dict[int, set[int]] = {}
+    for path, n in shown.items():
+        while n > 0 and path and path not in inner.setdefault(page.parent[path], set()):
+            inner[page.parent[path]].add(path)
+            path = page.parent[path]
+    root = 0
     while True:
-        inner = {path[: len(root) + 1] for path, n in shown.items() if n > 0}
-        if len(inner) != 1:
+        if shown.get(root) or len(inner.get(root, ())) != 1:
             return {root}
-        (best,) = inner
-        if best == root or best in shown or best[-1].split(".")[0] in WHOLE:  # it is a block of text itself, or a part of one
+        (best,) = inner[root]
+        if best in shown or page.tag[best] in WHOLE:  # it is a block of text itself, or a part of one
             return {root}
         root = best
 
@@ -265,7 +366,11 @@ def _extract(place: int):
 
 
 def extract(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """`keep` columns of `pages` and text, the main text of the whole page; null html is an empty text."""
+    """`keep` columns of `pages` and text, the main text of the whole page, a row for each row.
+
+    Null and empty html give an empty text; pages and their nesting may be of any size.
+    Repeated rows give repeated results. Other columns, whatever their names, are ignored.
+    """
     rows = pages.select(*keep, F.col(html_col).cast("string").alias("__html"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("text", T.StringType())])
     return rows.mapInArrow(_extract(len(keep)), schema)

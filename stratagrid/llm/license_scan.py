@@ -6,9 +6,9 @@ lies in a window that is not much longer than it. A window and a template that s
 one of `BANDS` MinHash values are a candidate; the window is reported if it contains
 `THRESHOLD` of the template's shingles or more.
 
-Guarantees: in every class a window around a match has Jaccard similarity 0.35 or more
-with its template, so bands of one row miss it with probability (1 - 0.35) ** 24 =
-0.00003 at most, and never where window and template are equal. Windows are only cut
+Guarantees: in every class a window around a match has Jaccard similarity 0.4 or more
+with its template, so bands of one row miss it with probability (1 - 0.4) ** 24 =
+0.000005 at most, and never where window and template are equal. Windows are only cut
 around anchor words, which every match must hold: anchors are chosen so that the
 template's shingles without any anchor are fewer than a match needs.
 """
@@ -21,25 +21,18 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .license_texts import TEMPLATES
+
 SHINGLE, THRESHOLD, BANDS = 5, 0.8, 24
-#: (longest template in words, stride, window in words)
-CLASSES = ((5, 1, 5), (6, 1, 6), (8, 1, 8), (11, 2, 12), (16, 3, 18), (24, 4, 27), (36, 6, 41), (54, 9, 62), (81, 13, 93), (120, 20, 139))
-# Wording of public licenses.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "Apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
-    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
-    "MIT": "Released under the MIT License",
-    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
-    "Unlicense": "This is free and unencumbered software released into the public domain",
-}
+
+
+def length_class(n_words: int) -> tuple[int, int, int]:
+    """(longest template, stride, window), in words, of the class of templates of `n_words`; classes go up by half."""
+    longest = SHINGLE
+    while longest < n_words:
+        longest = max(longest + 1, longest * 3 // 2 - (longest < 11))
+    stride = max(1, longest // 6)
+    return longest, stride, longest + stride - 1
 
 
 def words(text: str) -> list[str]:
@@ -69,9 +62,9 @@ def _template_rows(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     rows = []
     for name, text in templates.items():
         w = words(text)
-        if len(w) < SHINGLE or len(w) > CLASSES[-1][0]:
-            raise ValueError(f"{name}: a template has {SHINGLE} to {CLASSES[-1][0]} words")
-        rows.append((name, next(i for i, c in enumerate(CLASSES) if len(w) <= c[0]), sorted(shingles(w))))
+        if len(w) < SHINGLE:
+            raise ValueError(f"{name}: a template has {SHINGLE} words or more, as it has no shingle otherwise")
+        rows.append((name, length_class(len(w))[0], sorted(shingles(w))))
     made = spark.createDataFrame(rows, "license string, class int, texts array<string>")
     return made.select("license", "class", F.transform("texts", lambda s: F.xxhash64(s)).alias("t"))
 
@@ -84,34 +77,37 @@ def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thre
     """(doc_id, license, containment, first_word): the best match of each license in each document of `docs` (doc_id, text).
 
     first_word is the first word, counted from 0, of the earliest window that matches.
-    Null, empty and short texts match nothing; rows of null doc_id are one document.
+    Null, empty and short texts match nothing; texts and templates may be of any length.
+    Rows of one doc_id, or of null doc_id, are scanned apart and reported as one
+    document; of equal matches the earliest window counts.
     """
     spark = docs.sparkSession
     found = anchors(templates, threshold)
-    known = _template_rows(spark, templates)  # a fixed list: its size is bounded
-    used = sorted({next(i for i, c in enumerate(CLASSES) if len(words(t)) <= c[0]) for t in templates.values()})
+    known = _template_rows(spark, templates)  # as many rows as the caller's dictionary has
+    used = sorted({length_class(len(words(t))) for t in templates.values()})
     lower = F.lower(F.col("text"))
     some = lower.contains(found[0])
     for a in found[1:]:
         some = some | lower.contains(a)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(some)
-    rows = rows.select("doc_id", F.regexp_extract_all(lower, F.lit("[a-z0-9]+"), F.lit(0)).alias("w")).where(F.size("w") >= SHINGLE)
+    rows = rows.select("doc_id", F.monotonically_increasing_id().alias("row"), F.regexp_extract_all(lower, F.lit("[a-z0-9]+"), F.lit(0)).alias("w")).where(F.size("w") >= SHINGLE)
     is_anchor = lambda x: x.isin(found)
     at = F.filter(F.transform("w", lambda x, i: F.when(is_anchor(x), i)), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", "w", at.alias("at")).where(F.size("at") > 0)
+    rows = rows.select("doc_id", "row", "w", at.alias("at")).where(F.size("at") > 0)
 
-    def around(i: int) -> Column:
-        _, stride, size = CLASSES[i]
+    def around(longest: int, stride: int, size: int) -> Column:
         first = lambda p: F.greatest(F.lit(0), F.ceil((p - size + 1) / stride)).cast("int")
         starts = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(first(p), F.floor(p / stride).cast("int")))))
-        return F.transform(starts, lambda s: F.struct(F.lit(i).alias("class"), (s * stride).alias("start"), F.lit(size).alias("size")))
+        return F.transform(starts, lambda s: F.struct(F.lit(longest).alias("class"), (s * stride).alias("start"), F.lit(size).alias("size")))
 
-    cut = rows.select("doc_id", "w", F.explode(F.concat(*(around(i) for i in used))).alias("x"))
-    cut = cut.select("doc_id", "x.class", "x.start", F.slice("w", F.col("x.start") + 1, F.col("x.size")).alias("v")).where(F.size("v") >= SHINGLE)
+    cut = rows.select("doc_id", "row", "w", F.explode(F.concat(*(around(*c) for c in used))).alias("x"))
+    cut = cut.select("doc_id", "row", "x.class", "x.start", F.slice("w", F.col("x.start") + 1, F.col("x.size")).alias("v")).where(F.size("v") >= SHINGLE)
     hashes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("v") - SHINGLE + 1), lambda i: F.xxhash64(F.array_join(F.slice("v", i, SHINGLE), " "))))
-    windows = cut.select("doc_id", "class", "start", hashes.alias("h"))
-    banded = windows.select("doc_id", "class", "start", "h", F.posexplode(_bands(F.col("h"))).alias("band", "value"))
+    windows = cut.select("doc_id", "row", "class", "start", hashes.alias("h"))
+    windows = windows.select("doc_id", "row", "class", "start", "h", _bands(F.col("h")).alias("bands"))
     keys = known.select("license", "class", "t", F.posexplode(_bands(F.col("t"))).alias("band", "value"))
-    hit = banded.join(F.broadcast(keys), ["class", "band", "value"])
+    values = [r.value for r in keys.select("value").distinct().collect()]  # BANDS of each template
+    banded = windows.where(F.exists("bands", lambda v: v.isin(values))).select("doc_id", "row", "class", "start", "h", F.posexplode("bands").alias("band", "value"))
+    hit = banded.join(F.broadcast(keys), ["class", "band", "value"]).dropDuplicates(["row", "class", "start", "license"])  # each candidate once
     share = F.size(F.array_intersect("h", "t")) / F.size("t")
     return hit.select("doc_id", "license", "start", share.alias("share")).where(F.col("share") >= threshold - 1e-9).groupBy("doc_id", "license").agg(F.round(F.max("share"), 6).alias("containment"), F.min("start").cast("long").alias("first_word"))

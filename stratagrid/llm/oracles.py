@@ -69,23 +69,22 @@ SQL["op10_secret_scan"] = _secrets()
 
 
 def _licenses() -> str:
+    """Containment in every window of every text, without anchors or MinHash."""
     from . import license_scan as s
 
     text = lambda x: "'" + x.replace("'", "''") + "'"
-    some = " or ".join(f"contains(lower(text), {text(a)})" for a in s.anchors(s.TEMPLATES))
     rows = []
     for name, template in s.TEMPLATES.items():
         w = s.words(template)
-        known = ", ".join(text(x) for x in sorted(s.shingles(w)))
-        rows.append(f"({text(name)}, {next(i for i, c in enumerate(s.CLASSES) if len(w) <= c[0])}, [{known}])")
-    sizes = ", ".join(f"({i}, {c[1]}, {c[2]})" for i, c in enumerate(s.CLASSES))
+        _, stride, size = s.length_class(len(w))
+        rows.append(f"({text(name)}, {stride}, {size}, [{', '.join(text(x) for x in sorted(s.shingles(w)))}])")
     return (
-        f"with d as materialized (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') w from documents where {some}),\n"
-        f"t(license, class, t) as (values {', '.join(rows)}),\nc(class, stride, size) as (values {sizes}),\n"
-        "win as (select doc_id, class, s * stride as start, w[s * stride + 1 : s * stride + size] v from (select doc_id, w, class, stride, size, unnest(range(0, len(w) // stride + 1)) s from d, c where class in (select class from t))),\n"
-        f"h as (select doc_id, class, start, [array_to_string(v[i : i + {s.SHINGLE - 1}], ' ') for i in range(1, len(v) - {s.SHINGLE - 2})] h from win where len(v) >= {s.SHINGLE}),\n"
-        "m as (select doc_id, license, start, len(list_intersect(h, t))::double / len(t) share from h join t using (class))\n"
-        f"select doc_id, license, round(max(share), 6) containment, min(start)::bigint first_word from m where share >= {s.THRESHOLD} - 1e-9 group by 1, 2"
+        "with d as materialized (select row_number() over () r, doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') w from documents),\n"
+        f"t(license, stride, size, t) as (values {', '.join(rows)}),\nk as materialized (select license, stride, size, len(t) n, unnest(t) s from t),\n"
+        f"p as (select r, doc_id, p, array_to_string(w[p + 1 : p + {s.SHINGLE}], ' ') s from (select r, doc_id, w, unnest(range(0, len(w) - {s.SHINGLE - 1})) p from d)),\n"
+        "hit as (select r, doc_id, license, stride, size, n, p, s from p join k using (s)),\n"
+        f"win as (select r, doc_id, license, n, start, count(distinct s) c from (select *, unnest(range(greatest(0, ceil((p + {s.SHINGLE} - size) / stride))::bigint, p // stride + 1)) * stride as start from hit) group by all)\n"
+        f"select doc_id, license, round(max(c::double / n), 6) containment, min(start)::bigint first_word from win where c::double / n >= {s.THRESHOLD} - 1e-9 group by 1, 2"
     )
 
 

@@ -37,6 +37,12 @@ KINDS = ("assign", "access", "hex", "name", "token", "endpoint")
 SPAN = "array<struct<start: int, kind: int, end: int>>"
 
 
+def running(sizes: Column) -> Column:
+    """Sums of the first 1, 2, ... of an array of numbers, by doubling: n log n steps."""
+    shifts = F.filter(F.array(*(F.lit(1 << k) for k in range(31))), lambda d: d < F.size(sizes))
+    return F.aggregate(shifts, sizes, lambda acc, d: F.transform(acc, lambda x, i: x + F.coalesce(F.get(acc, i - d), F.lit(0))))
+
+
 def spans(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0) -> Column:
     """[(start, kind, end)] of the leftmost, not overlapping matches whose group has `least` characters or more."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -45,15 +51,16 @@ def spans(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0)
         parts.append(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("g"))
     zipped = F.filter(F.arrays_zip(*parts), lambda z: z["m"].isNotNull())
 
-    def step(acc: Column, z: Column) -> Column:
-        start = acc["at"] + F.length(z["gap"])
-        end = start + F.length(z["m"])
-        found = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        fits = F.length(z["g"] if group else z["m"]) >= least
-        return F.struct(end.alias("at"), F.when(fits, F.concat(acc["found"], found)).otherwise(acc["found"]).alias("found"))
+    def placed(found: Column) -> Column:
+        sizes = F.transform(found, lambda z: F.struct(F.length(z["m"]).alias("size"), F.length(z["g"] if group else z["m"]).alias("counts"), (F.length(z["gap"]) + F.length(z["m"])).alias("step")))
+        return F.get(F.transform(F.array(sizes), ends), F.lit(0))  # a lambda's variable, so that it is computed once
+
+    def ends(sizes: Column) -> Column:
+        steps = F.get(F.transform(F.array(F.transform(sizes, lambda z: z["step"])), running), F.lit(0))
+        whole = F.zip_with(sizes, steps, lambda z, e: F.struct((e - z["size"]).alias("start"), F.lit(kind).alias("kind"), e.alias("end"), z["counts"].alias("counts")))
+        return F.transform(F.filter(whole, lambda s: s["counts"] >= least), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-    return F.aggregate(zipped, none, step, lambda acc: acc["found"])
+    return F.get(F.transform(F.array(zipped), placed), F.lit(0))
 
 
 def _strong(text: Column, token: Column, endpoint: Column) -> Column:

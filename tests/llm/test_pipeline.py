@@ -5,7 +5,7 @@ from stratagrid.llm import queries
 def test_stages_keep_the_columns(spark, tmp_path):
     base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     odd = spark.createDataFrame([(10**6, None, None, None, None), (None, "the of and in", "en", "src1", 3), (10**6 + 1, "", "en", "s", 0), (10**6 + 2, "password=hunter22 the of and that", "en", "s", 5)], base.schema)
-    docs = base.union(base.limit(5)).union(odd).selectExpr("*", "1 as rep", "2 as __x")
+    docs = base.union(base.limit(5)).union(odd).selectExpr("*", "1 as rep", "2 as __source", "3 as __lang_pred", "4 as row_of_docs", "5 as key_of_gone", "6 as mix_topic", "7 as text_id", "8 as __row")
     sizes = []
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, "/root/testdata/sf0.001")

@@ -117,6 +117,32 @@ def test_licenses(spark):
     assert license_scan.license_matches(df.where("false")).count() == 0
 
 
+def test_whole_licenses_and_long_texts(spark):
+    """Texts and templates of any length, against containment in every window; repeated and null doc_ids are one document."""
+    rng = random.Random(7)
+    long = " ".join(rng.choices([f"z{i}" for i in range(3000)], k=2500)) + " license"
+    templates = {"MIT-whole": license_scan.TEMPLATES["MIT-whole"], "Zlib-text": license_scan.TEMPLATES["Zlib-text"], "long": long, "MIT": license_scan.TEMPLATES["MIT"]}
+    pad = lambda n: " ".join(rng.choices(["lorem", "ipsum", "dolor", "amet", "license", "software", "provided"], k=n))
+    worn = lambda t, share: " ".join("x" if rng.random() < share else w for w in t.split())
+    docs = [(k, f"{pad(rng.randint(0, 400))} {worn(t, share)} {pad(rng.randint(0, 400))}") for k, (t, share) in enumerate((t, share) for t in templates.values() for share in (0, 0.01, 0.02, 0.05, 0.2))]
+    docs += [(50, pad(30000) + templates["MIT-whole"]), (51, None), (51, templates["MIT"]), (51, pad(9) + " " + templates["MIT"]), (None, templates["Zlib-text"]), (None, templates["MIT"])]
+    want = {}
+    for d, t in docs:
+        w = license_scan.words(t or "")
+        for name, template in templates.items():
+            known = license_scan.shingles(license_scan.words(template))
+            _, stride, size = license_scan.length_class(len(license_scan.words(template)))
+            at = {s for p in range(len(w) - 4) if " ".join(w[p : p + 5]) in known for s in range(max(0, -(-(p + 5 - size) // stride)), p // stride + 1)}
+            for s in at:
+                share = len(known & license_scan.shingles(w[s * stride : s * stride + size])) / len(known)
+                if share >= 0.8:
+                    best, first = want.get((d, name), (0, 10**9))
+                    want[d, name] = max(best, round(share, 6)), min(first, s * stride)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.license): (r.containment, r.first_word) for r in license_scan.license_matches(df, templates).collect()}
+    assert got == want and {n for _, n in want} == set(templates)
+
+
 def base(text):
     text = text or ""
     assign = re.finditer(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A)
