@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,11 @@ def _bands(hashes: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(BANDS)), lambda b: F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once a row: as a lambda's variable it is not written out at each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, license, containment, first_word): the best match of each license in each document of `docs` (doc_id, text).
 
@@ -101,13 +107,16 @@ def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thre
         return F.transform(starts, lambda s: F.struct(F.lit(longest).alias("class"), (s * stride).alias("start"), F.lit(size).alias("size")))
 
     cut = rows.select("doc_id", "row", "w", F.explode(F.concat(*(around(*c) for c in used))).alias("x"))
-    cut = cut.select("doc_id", "row", "x.class", "x.start", F.slice("w", F.col("x.start") + 1, F.col("x.size")).alias("v")).where(F.size("v") >= SHINGLE)
-    hashes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("v") - SHINGLE + 1), lambda i: F.xxhash64(F.array_join(F.slice("v", i, SHINGLE), " "))))
-    windows = cut.select("doc_id", "row", "class", "start", hashes.alias("h"))
-    windows = windows.select("doc_id", "row", "class", "start", "h", _bands(F.col("h")).alias("bands"))
+    cut = cut.select("doc_id", "row", "x.*", "w").where(F.size("w") - F.col("start") >= SHINGLE)
+
+    def hashed(v: Column) -> Column:
+        h = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(v) - SHINGLE + 1), lambda i: F.xxhash64(F.array_join(F.slice(v, i, SHINGLE), " "))))
+        return _let(h, lambda h: F.struct(h.alias("h"), _bands(h).alias("bands")))
+
+    windows = cut.select("doc_id", "row", "class", "start", _let(F.slice("w", F.col("start") + 1, F.col("size")), hashed).alias("s"))
     keys = known.select("license", "class", "t", F.posexplode(_bands(F.col("t"))).alias("band", "value"))
     values = [r.value for r in keys.select("value").distinct().collect()]  # BANDS of each template
-    banded = windows.where(F.exists("bands", lambda v: v.isin(values))).select("doc_id", "row", "class", "start", "h", F.posexplode("bands").alias("band", "value"))
+    banded = windows.where(F.exists("s.bands", lambda v: v.isin(values))).select("doc_id", "row", "class", "start", F.col("s.h").alias("h"), F.posexplode("s.bands").alias("band", "value"))
     hit = banded.join(F.broadcast(keys), ["class", "band", "value"]).dropDuplicates(["row", "class", "start", "license"])  # each candidate once
     share = F.size(F.array_intersect("h", "t")) / F.size("t")
     return hit.select("doc_id", "license", "start", share.alias("share")).where(F.col("share") >= threshold - 1e-9).groupBy("doc_id", "license").agg(F.round(F.max("share"), 6).alias("containment"), F.min("start").cast("long").alias("first_word"))
