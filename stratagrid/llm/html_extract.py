@@ -254,17 +254,22 @@ def kept_blocks(page: Page) -> list[Block]:
             if root[b.path] == best:
                 for s in _chain(page, b.suspect):
                     spared[s] = spared[s] or not page.suspects[s].semantic
-    scope = sum(inside.values()) or sum(len(b.text) for b in blocks)
-    size, titled = [0] * len(page.suspects), [False] * len(page.suspects)
     title = next((b for b in blocks if page.tag[b.path] == "h1"), None)
+    fit = [s.weak for s in page.suspects]  # may be kept, if they hold most of what may be
+    fit[0] = True
+    for s in _chain(page, title.suspect) if title else ():
+        fit[s] = True
+    for s in range(1, len(fit)):
+        fit[s] = (fit[s] or spared[s]) and fit[page.suspects[s].parent]
+    size, scope = [0] * len(page.suspects), 0
     for b in blocks:
-        size[b.suspect] += len(b.text)
-        titled[b.suspect] |= b is title
+        if fit[b.suspect] and (root[b.path] or not inside):
+            size[b.suspect] += len(b.text)
+            scope += len(b.text)
     for s in range(len(size) - 1, 0, -1):
         size[page.suspects[s].parent] += size[s]
-        titled[page.suspects[s].parent] |= titled[s]
     for s in range(1, len(size)):
-        spared[s] = (spared[s] or 2 * size[s] > scope and (page.suspects[s].weak or titled[s])) and spared[page.suspects[s].parent]
+        spared[s] = (spared[s] or fit[s] and 2 * size[s] > scope) and spared[page.suspects[s].parent]
     return [b for b in blocks if spared[b.suspect]]
 
 
