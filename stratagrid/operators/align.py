@@ -47,10 +47,27 @@ def nearest_cell(value: Column, first: float, step: float, n: int) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(n - 1), F.ceil((value - first) / step - 0.5))).cast("long")
 
 
-def range_join(left: DataFrame, ranges: DataFrame, at: str, start: str, end: str, how: str = "left") -> DataFrame:
-    """`left` with the range that holds `at`: start inclusive, end exclusive, NULL ends open."""
+#: Ranges that a range join sends to all tasks; more of them need a bucket width.
+FEW_RANGES = 10_000
+
+
+def range_join(left: DataFrame, ranges: DataFrame, at: str, start: str, end: str, how: str = "left", width: int | None = None) -> DataFrame:
+    """`left` with the ranges that hold `at`: start inclusive, end exclusive, NULL ends open.
+
+    Up to `FEW_RANGES` ranges are counted and broadcast. With `width` (numbers only)
+    any number of ranges are cut in buckets of that width, and both sides meet by an
+    equality join of buckets; a range is repeated for each bucket that it reaches into.
+    """
     inside = (F.col(start).isNull() | (F.col(at) >= F.col(start))) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
-    return left.join(ranges, inside, how)
+    if width is None:
+        if ranges.limit(FEW_RANGES + 1).count() > FEW_RANGES:
+            raise ValueError(f"over {FEW_RANGES} ranges: give a width of buckets")
+        return left.join(F.broadcast(ranges), inside, how)
+    bucket = lambda c: F.floor(c / width)
+    span = left.agg(F.min(at).alias("__lo"), F.max(at).alias("__hi"))  # one row
+    cut = ranges.join(F.broadcast(span)).withColumns({"__from": bucket(F.greatest(F.coalesce(start, "__lo"), "__lo")), "__to": bucket(F.least(F.coalesce(end, "__hi"), "__hi"))})
+    cut = cut.where("__from <= __to").withColumn("__bucket", F.explode(F.sequence("__from", "__to"))).drop("__lo", "__hi", "__from", "__to")
+    return left.withColumn("__at", bucket(F.col(at))).join(cut, (F.col("__at") == F.col("__bucket")) & inside, how).drop("__at", "__bucket")
 
 
 def overlap(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> tuple[Column, Column]:

@@ -92,6 +92,18 @@ def test_overwrite_guard():
     assert spec.overwrite_guard(old, old, allow_growth=True, published_end=9, new_end=12) == spec.overwrite_guard(old, old, published_end=9, new_end=9) == []
 
 
+def test_range_join_by_buckets(spark):
+    rng = np.random.default_rng(3)
+    left = spark.createDataFrame([(i, int(t)) for i, t in enumerate(rng.integers(-200, 3000, 300))], "id long, t long")
+    starts = rng.integers(-100, 2500, 80)
+    rows = [(k, int(s), int(s + n)) for k, (s, n) in enumerate(zip(starts, rng.integers(0, 600, 80)))] + [(900, None, -50), (901, 2900, None), (902, 5000, 6000)]
+    ranges = spark.createDataFrame(rows, "name long, a long, b long")
+    got = [sorted((r.id, r.name or -1) for r in align.range_join(left, ranges, "t", "a", "b", width=w).collect()) for w in (None, 100, 7)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 300
+    with pytest.raises(ValueError, match="width"):
+        align.range_join(left, spark.range(10_001).selectExpr("id", "id as a", "id + 1 as b"), "t", "a", "b")
+
+
 def test_contiguous_across_stretches(spark):
     """Gaps in, at and over the ends of stretches, in each series."""
     for missing in ({4096}, {4000}, {4095, 4096}, set(range(3000, 9000)), {0}):
