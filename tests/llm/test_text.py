@@ -445,14 +445,14 @@ def test_mixing_of_a_skewed_table(spark):
     rows = [(i, "w " * rng.randint(5, 60), f"s{min(7, int(rng.expovariate(0.6)))}", "rare" if i % 400 == 0 else rng.choice(["en", "en", "en", "de"])) for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     ws = Workspace(spark, "t")
-    fitted, wanted = mixing.rake(cells_of(docs), ws, powers={"source": 0.5, "lang": 0.5, "topic": 1.0}, sweeps=60)
+    fitted, wanted = mixing.rake(cells_of(docs), ws, powers={"source": 0.8, "lang": 0.5, "topic": 1.0})
     total = fitted.agg(F.sum("mass")).first()[0]
     assert fitted.where(F.col("share") > F.col("mass") / (mixing.FRACTION * total) + 1e-12).count() == 0
     by = {(r.key, r.category): r for r in mixing.marginals(fitted, wanted).collect()}
     rare = by["lang", "rare"]
     mass = fitted.where("lang = 'rare'").agg(F.sum("mass")).first()[0]
     assert rare.share < rare.target and rare.share == pytest.approx(mass / (mixing.FRACTION * total))  # its target can't be met
-    assert all(abs(r.share - r.target) < 0.02 for (k, _), r in by.items() if k == "source")
+    assert all(r.share == pytest.approx(r.target, rel=0.1) for (k, _), r in by.items() if k == "source")
 
 
 def test_mixing_to_given_targets(spark):
