@@ -430,13 +430,13 @@ def test_mixing_hits_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("mass", F.lit(1)).withColumn("__source", F.lit(1)).withColumn("__sampled", F.lit("x"))
     ws = Workspace(spark, "t")
     assert largest_error(*mixing.rake(cells_of(docs), ws)) < 1e-9
-    mixed = mixing.mix(docs, ws)
+    mixed = mixing.mix(docs, ws, sweeps=1)
     assert mixed.columns.count("__source") == mixed.columns.count("__sampled") == 1 and mixed.schema["__sampled"].dataType.simpleString() == "boolean"
     odd = spark.createDataFrame([(1, None, None, None), (None, "a b", "s", "en"), (2, "a b c", None, "en"), (2, "a b c", None, "en"), (3, "", "s", None), (4, "w " * 300000, "t", "en")], "doc_id long, text string, source string, lang string")
-    got = mixing.mix(odd, ws).collect()
+    got = mixing.mix(odd, ws, sweeps=2).collect()
     assert len(got) == 6 and all(0 <= r["__probability"] <= 1 for r in got) and not any(r["__sampled"] for r in got if r.doc_id in (None, 1, 3))
     assert {r["__tokens"] for r in got if r.doc_id == 4} == {300000}
-    assert mixing.mix(odd.where("false"), ws).count() == 0
+    assert mixing.mix(odd.where("false"), ws, sweeps=2).count() == 0
 
 
 def test_mixing_of_a_skewed_table(spark):
