@@ -12,7 +12,7 @@ later than the latest register. Registers of two documents agree with probabilit
 
 Plan: one pass over the texts writes a slim table of signatures; equal word
 sequences are pre-aggregated to one representative; representatives that share a
-band are compared with the band's smallest one and verified on whole texts; bands
+band are compared with the one of the smallest doc_id and verified on whole texts; bands
 that still hold several components have these compared across, by their registers
 first and then by text; components are contracted by joins. Texts are shuffled once,
 for candidates.
@@ -217,10 +217,12 @@ def near_duplicates(docs: DataFrame, ws: Workspace, threshold: float = THRESHOLD
     real = sketched.where("n_words > 0 and doc_id is not null")
     groups = real.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "text_id")).alias("rep"), F.min("bands").alias("bands"), F.min("low").alias("low"))
     groups = ws.cut(groups.select("d1", "d2", "rep.*", "bands", "low", F.monotonically_increasing_id().alias("node")))
-    banded = groups.select("node", F.explode("bands").alias("band"))
-    shared = ws.cut(banded.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1").select("band", "least"))
-    member = ws.cut(banded.join(shared, "band").select("band", "node", "least"))
-    pairs = ws.cut(member.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    banded = groups.select("node", "doc_id", F.explode("bands").alias("band"))
+    centre = banded.groupBy("band").agg(F.min(F.struct("doc_id", "node")).alias("top"), F.count("*").alias("n")).where("n > 1")
+    centre = ws.cut(centre.select("band", F.col("top.node").alias("centre")))
+    member = ws.cut(banded.select("band", "node").join(centre, "band"))
+    apart = member.where("node <> centre")
+    pairs = ws.cut(apart.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct())
     wanted = groups.join(member.select("node").distinct(), "node").select("node", "doc_id", "text_id")
     some = ws.cut(texts.join(wanted, ["doc_id", "text_id"]).dropDuplicates(["node"]).select("node", "text"))
 
