@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, resample
 
 SQL: dict[str, str] = {
     "op4_source_mixing": mixing.oracle_sql(),
+    "op13_importance_resampling": resample.ORACLE_SQL,
     "op2_embedding_near_dedup": """
 with recursive v as (
   select vec_id, label, embedding::double[] e from embeddings
