@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, resample
+from . import mixing, prefix_trie, resample
 
 SQL: dict[str, str] = {
     "op4_source_mixing": mixing.oracle_sql(),
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
     "op13_importance_resampling": resample.ORACLE_SQL,
     "op2_embedding_near_dedup": """
 with recursive v as (
