@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, embedding_dedup, html_extract, langid, license_scan, minhash_dedup, mixing, prefix_trie, quality_crf, resample, secret_scan
+from . import chat_format, decontaminate, embedding_dedup, html_extract, langid, license_scan, maxent_lm, minhash_dedup, mixing, prefix_trie, quality_crf, resample, secret_scan
 from .common import Workspace, table
 
 
@@ -66,6 +66,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.regrafted(turns, space), space)
 
 
+def op12_maxent_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.language_model_scores(table(spark, sf_dir, "documents"), Workspace(spark, "op12"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Workspace(spark, "op13"))
 
@@ -77,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_minhash_near_dedup, op2_embedding_near_dedup, op3_license_scan, op4_source_mixing, op5_benchmark_decontamination, op6_line_quality, op7_chat_format, op8_html_extract, op9_language_id, op10_secret_scan, op11_prefix_trie, op13_importance_resampling, pipeline)
+    found = (op1_minhash_near_dedup, op2_embedding_near_dedup, op3_license_scan, op4_source_mixing, op5_benchmark_decontamination, op6_line_quality, op7_chat_format, op8_html_extract, op9_language_id, op10_secret_scan, op11_prefix_trie, op12_maxent_language_model, op13_importance_resampling, pipeline)
     return {f.__name__: f for f in found}
 
 
