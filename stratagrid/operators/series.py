@@ -1,9 +1,9 @@
-"""Operators along the time axis of series: rates from accumulations, gaps, halos, recency.
+"""Operators along the time axis of series: rates from accumulations, gaps, recency.
 
 A series is the rows of equal `keys`, in order of a long column of seconds (or steps).
 Missing values are NULL; `nulls` turns NaN into NULL on the way in. Series are the unit
-of parallel work; `with_halo` and `trim_halo` split long ones into regions, so that a
-series of any length spreads over many tasks.
+of parallel work; long ones are cut in regions, which carry over what the next one needs
+(`segments`), so that a series of any length spreads over many tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .segments import previous_live
+
 # Rates below 0 down to these are noise and become 0; below them they become missing.
 CLAMP_PRECIPITATION, CLAMP_FLUX, CLAMP_RADIATION = -7e-5, -50.0, -1000.0
 
@@ -23,22 +25,28 @@ def nulls(value: Column | str) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def deaccumulate(df: DataFrame, keys: list[str], seconds: str, value: str, reset: int | None = None, skip: str | None = None, mode: str = "accumulated", clamp: float | None = CLAMP_PRECIPITATION, out: str = "rate") -> DataFrame:
+def deaccumulate(df: DataFrame, keys: list[str], seconds: str, value: str, reset: int | None = None, skip: str | None = None, mode: str = "accumulated", clamp: float | None = CLAMP_PRECIPITATION, out: str = "rate", region: Column | None = None) -> DataFrame:
     """`df` with `out`, `clamped` and `invalid`.
 
     accumulated: (A - A_prev) / dt; running_mean: A + (A - A_prev) * t_prev / dt, with
     t_prev the seconds since the last reset; signed: plain difference over dt, without
     reset or clamp. After a row on a multiple of `reset` seconds the baseline is 0.
     Rows marked by `skip` keep their value and are nobody's predecessor, but the first
-    row always is. The first row has no rate. Ties in `seconds` have none either.
+    row always is. The first row has no rate. Ties in `seconds` have none either. With
+    `region`, which ascends with `seconds`, a series is cut there and each region works
+    with what was carried to it; the result is the same.
     """
-    series = Window.partitionBy(*keys).orderBy(seconds)
-    first = F.row_number().over(series) == 1
-    live = first | ~F.coalesce(F.col(skip), F.lit(False)) if skip else F.lit(True)
-    df = df.withColumn("__live", live)
-    before = (Window.partitionBy(*keys, "__live") if skip else Window.partitionBy(*keys)).orderBy(seconds)
     t, a = F.col(seconds), F.col(value).cast("double")
-    df = df.withColumn("__t", F.lag(seconds).over(before)).withColumn("__a", F.lag(a).over(before))
+    if region is not None:
+        df = previous_live(df, keys, seconds, {"value": a}, region, F.col(skip) if skip else None)
+        df = df.withColumns({"__t": F.col("__prev.at"), "__a": F.col("__prev.value")}).drop("__prev")
+    else:
+        series = Window.partitionBy(*keys).orderBy(seconds)
+        first = F.row_number().over(series) == 1
+        live = first | ~F.coalesce(F.col(skip), F.lit(False)) if skip else F.lit(True)
+        df = df.withColumn("__live", live)
+        before = (Window.partitionBy(*keys, "__live") if skip else Window.partitionBy(*keys)).orderBy(seconds)
+        df = df.withColumn("__t", F.lag(seconds).over(before)).withColumn("__a", F.lag(a).over(before))
     step = (t - F.col("__t")).cast("double")
     at_reset = F.col("__t") % reset == 0 if reset and mode != "signed" else F.lit(False)
     base = F.when(at_reset, 0.0).otherwise(F.col("__a"))
@@ -81,19 +89,6 @@ def interpolate_flagged(df: DataFrame, keys: list[str], order: str, value: str,
     return df.withColumn(out, F.when(F.coalesce(F.col(flag), F.lit(False)) & inner, middle).otherwise(F.col(value)))
 
 
-def with_halo(df: DataFrame, index: str, size: int, before: int = 1, after: int = 0, last: int | None = None) -> DataFrame:
-    """Rows with their `region` (index div size), and again in each region whose halo they are in; `own` marks the region's own."""
-    regions = F.sequence(F.floor((F.col(index) - after) / size), F.floor((F.col(index) + before) / size))
-    df = df.withColumn("region", F.explode(regions)).where("region >= 0")
-    if last is not None:
-        df = df.where(F.col("region") <= last)
-    return df.withColumn("own", F.floor(F.col(index) / size) == F.col("region"))
-
-
-def trim_halo(df: DataFrame) -> DataFrame:
-    return df.where("own").drop("own")
-
-
 def drop_last_step(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Without each series' last step, into which accumulations reach."""
     w = Window.partitionBy(*keys)

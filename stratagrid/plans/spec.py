@@ -91,7 +91,7 @@ def _by_variable(variables: list[Variable], attribute: str, otherwise: float | N
     return F.coalesce(F.create_map(*(F.lit(x) for kv in named.items() for x in kv))[F.col("var")], F.lit(otherwise).cast("double"))
 
 
-def _transform(cells: DataFrame, variables: list[Variable], keys: list[str], seconds: str, value: str, gap: str | None) -> DataFrame:
+def _transform(cells: DataFrame, variables: list[Variable], keys: list[str], seconds: str, value: str, gap: str | None, region: Column | None = None) -> DataFrame:
     """Cells of variables of one treatment."""
     rate, reset, clamp, fill, bits = _treatment(variables[0])
     x = F.col(value)
@@ -102,7 +102,7 @@ def _transform(cells: DataFrame, variables: list[Variable], keys: list[str], sec
         x = x * _by_variable(variables, "factor", 1.0) + _by_variable(variables, "offset", 0.0)
     df = cells.withColumn(value, x)
     if rate:
-        df = series.deaccumulate(df, keys, seconds, value, reset=reset, mode=rate, clamp=clamp, out="__rate").withColumn(value, F.col("__rate")).drop("__rate", "clamped", "invalid")
+        df = series.deaccumulate(df, keys, seconds, value, reset=reset, mode=rate, clamp=clamp, out="__rate", region=region).withColumn(value, F.col("__rate")).drop("__rate", "clamped", "invalid")
     if fill and gap:
         df = series.interpolate_flagged(df, keys, seconds, value, gap, out="__filled").withColumn(value, F.col("__filled")).drop("__filled")
     x = F.col(value)
@@ -116,14 +116,15 @@ def transform(cells: DataFrame, v: Variable, keys: list[str], seconds: str, valu
     return _transform(cells, [v], keys, seconds, value, gap)
 
 
-def transform_all(cells: DataFrame, dataset: Dataset, seconds: str, gap: str | None = None) -> DataFrame:
+def transform_all(cells: DataFrame, dataset: Dataset, seconds: str, gap: str | None = None, region: Column | None = None) -> DataFrame:
     """Long cells (keys, seconds, var, value) of all variables.
 
     Variables of equal treatment (rate, reset, clamp, filling, rounding) are one branch
-    of the plan and one scan, whatever their sentinels, factors and offsets are.
+    of the plan and one scan, whatever their sentinels, factors and offsets are. Series
+    are cut at `region`, if it is given, for rates.
     """
     groups: dict[tuple, list[Variable]] = {}
     for v in dataset.variables:
         groups.setdefault(_treatment(v), []).append(v)
-    parts = [_transform(cells.where(F.col("var").isin([v.name for v in g])), g, [*dataset.keys, "var"], seconds, "value", gap) for g in groups.values()]
+    parts = [_transform(cells.where(F.col("var").isin([v.name for v in g])), g, [*dataset.keys, "var"], seconds, "value", gap, region) for g in groups.values()]
     return reduce(DataFrame.unionByName, parts)

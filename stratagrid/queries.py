@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import raster, scalar
-from .operators import align, checks, series, stats
+from .operators import align, checks, segments, series, stats
 from .plans import grid, ingest, layout, spec, structure
 from .sources import index_files, store
 from .streaming import updates
@@ -125,8 +125,22 @@ def daily(spark: SparkSession, d: str) -> DataFrame:
 select event_type, day, (acc - lag(acc) over (partition by event_type order by day))::double / 86400 as rate from t""")
 def halo_region(spark: SparkSession, d: str) -> DataFrame:
     g = daily(spark, d).withColumn("acc", F.sum("cents").over(Window.partitionBy("event_type").orderBy("day"))).withColumn("sec", F.col("day") * 86400)
-    parts = series.with_halo(g, "day", 7, before=1)
-    return series.trim_halo(series.deaccumulate(parts, ["event_type", "region"], "sec", "acc")).select("event_type", "day", "rate")
+    parts = segments.with_halo(g, ["event_type"], "day", 7)
+    return segments.trim_halo(series.deaccumulate(parts, ["event_type", "region"], "sec", "acc")).select("event_type", "day", "rate")
+
+
+@query(f"""with t as (select floor(epoch(ts))::bigint // 3600 * 3600 as sec, sum(round(value * 100)::bigint)::bigint as cents from events where user_id % 3 = 1 group by 1),
+a as (select sec, (sum(cents) over (partition by (sec - 1) // 86400 order by sec))::bigint as acc from t where sec // 3600 % 11 not between 4 and 6),
+b as (select *, row_number() over (order by sec) = 1 or sec // 3600 % 24 not in (23, 0) as live from a),
+p as (select *, lag(sec) over w ps, lag(acc) over w pa from b window w as (partition by live order by sec)),
+r as (select sec, live, acc, (acc - case when ps % 21600 = 0 then 0 else pa end)::double / (sec - ps) raw from p) select sec, case when not live then acc::double else {CLAMPED} end as rate from r""")
+def segmented_rates(spark: SparkSession, d: str) -> DataFrame:
+    """One series without keys, with missing and skipped hours at the borders of its regions of a day, and resets there."""
+    e = read(spark, d, "events").where("user_id % 3 = 1")
+    t = e.groupBy(scalar.floor_to(seconds("ts"), 3600).alias("sec")).agg(F.sum(cents("value")).alias("cents")).where("sec div 3600 % 11 not between 4 and 6")
+    acc = F.sum("cents").over(Window.partitionBy(F.floor((F.col("sec") - 1) / 86400)).orderBy("sec"))
+    df = t.select("sec", acc.alias("acc")).withColumn("skip", F.expr("sec div 3600 % 24 in (23, 0)"))
+    return series.deaccumulate(df, [], "sec", "acc", reset=21600, skip="skip", region=F.floor(F.col("sec") / 86400)).select("sec", "rate")
 
 
 @query("""with x as (select l_orderkey, l_linenumber, l_partkey, l_extendedprice::float::double v from lineitem),
@@ -834,6 +848,21 @@ def backfill_and_update(spark: SparkSession, d: str) -> DataFrame:
     return store.read(spark, roots[0]).select("x", "time", "var", "value")
 
 
+@query(f"""with {HOURLY}, p as (select *, lag(sec) over w ps, lag(acc) over w pa from a window w as (partition by user_id order by sec)),
+r as (select user_id, sec, (acc - case when ps % 86400 = 0 then 0 else pa end)::double / (sec - ps) raw from p) select user_id as x, sec as time, ({CLAMPED})::float as value from r""")
+def update_of_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Rates of series with missing hours: a backfill of the first half, an update to three quarters and one to the end equal a single pass."""
+    cells = hourly(spark, d).select(F.col("user_id").alias("x"), F.col("sec").alias("time"), F.lit("rain").alias("var"), F.col("acc").cast("double").alias("value"))
+    ends = cells.agg(F.min("time").alias("lo"), F.max("time").alias("hi")).first()
+    step = (ends.hi - ends.lo) // (4 * 3600) * 3600
+    dataset = spec.Dataset("d", ("x",), "time", ends.lo // 86400 * 86400, 3600, 36, (spec.Variable("rain", rate="accumulated", reset=86400),))
+    roots = [scratch(spark, "rates")]
+    ingest.backfill(cells, dataset, roots, end=ends.lo + 2 * step)
+    ingest.update(cells.where(F.col("time") < ends.lo + 3 * step), dataset, roots)
+    ingest.update(cells, dataset, roots)
+    return store.read(spark, roots[0]).select("x", "time", "value")
+
+
 @query("""select distinct user_id, floor(epoch(ts))::bigint // 3600 as hour from events""")
 def stream_append(spark: SparkSession, d: str) -> DataFrame:
     """Each key once, appended by micro-batches of one file."""

@@ -33,6 +33,23 @@ def test_update_equals_backfill(spark, tmp_path):
     assert got[0, 18000, "t"] is None and abs(got[0, 3600, "t"] + 9.64) < 1e-6
 
 
+def test_update_after_a_gap_equals_backfill(spark, tmp_path):
+    dataset = spec.Dataset("d", ("x",), "time", 0, 3600, 10, (spec.Variable("rain", rate="accumulated", clamp=None), spec.Variable("t")))
+    missing = {0: {19}, 1: set(range(3, 29)), 2: {24}, 3: set(range(0, 27)), 4: set(range(22, 60))}
+    rows_of = [(x, h * 3600, v, float(h * 3600)) for x in range(5) for h in range(45) if h not in missing[x] for v in ("rain", "t")]
+    cells = spark.createDataFrame(rows_of, "x long, time long, var string, value double").repartition(6)
+    whole, parts, late = (str(tmp_path / n) for n in ("whole", "parts", "late"))
+    ingest.backfill(cells, dataset, [whole])
+    ingest.backfill(cells, dataset, [parts], end=25 * 3600)
+    ingest.update(cells.where("time < 40 * 3600"), dataset, [parts])
+    ingest.update(cells, dataset, [parts])
+    assert rows(spark, parts) == rows(spark, whole)
+    ingest.backfill(cells, dataset, [late], start=23 * 3600)
+    assert rows(spark, late) == [r for r in rows(spark, whole) if r[1] >= 20 * 3600]
+    got = {(x, t // 3600): y for x, t, v, y in rows(spark, whole) if v == "rain"}
+    assert got[0, 20] == 1.0 and got[1, 29] == 1.0 and got[3, 27] is None
+
+
 def test_range_is_whole_regions(spark, tmp_path):
     root = str(tmp_path / "r")
     ingest.backfill(cells(spark, 50), DATASET, [root], start=20 * 3600, end=30 * 3600)

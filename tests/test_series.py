@@ -1,8 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stratagrid.functions import scalar
-from stratagrid.operators import align, checks, series
+from stratagrid.operators import align, checks, segments, series
 from stratagrid.plans import spec
 
 
@@ -38,11 +39,41 @@ def test_interpolation_ends_and_missing_neighbours(spark):
     assert [r.filled for r in series.interpolate_flagged(df, ["k"], "t", "v", "f").orderBy("t").collect()] == [1.0, 3.0, 5.0, None, None, 2.0]
 
 
-def test_halo_equals_whole(spark):
-    df = spark.createDataFrame([("s", i, i * 10, float(i * i)) for i in range(50)], "k string, i long, t long, v double")
-    whole = {r.i: r.rate for r in series.deaccumulate(df, ["k"], "t", "v").collect()}
-    parts = series.trim_halo(series.deaccumulate(series.with_halo(df, "i", 7), ["k", "region"], "t", "v")).collect()
-    assert {r.i: r.rate for r in parts} == whole and len(parts) == 50
+def _gappy(spark, n, missing, skipped):
+    rows = [(k, i, i * 10, float(i * i % 97), i in skipped) for k in ("s", None) for i in range(n) if i not in missing]
+    return spark.createDataFrame(rows, "k string, i long, t long, v double, skip boolean").repartition(5)
+
+
+@pytest.mark.parametrize("missing, skipped, mode", [((9,), (), "signed"), ((19, 20, 21, 30), (), "running_mean"), ((), (9, 19, 20), "accumulated"), (tuple(range(10, 31)), (9, 31, 40), "accumulated"), ((5,), tuple(range(0, 30)), "accumulated")])
+def test_cut_series_equal_whole_ones(spark, missing, skipped, mode):
+    df = _gappy(spark, 50, missing, skipped)
+    kw = {"reset": 100, "skip": "skip", "mode": mode, "clamp": -3.0}
+    cols = ["k", "i", "rate", "clamped", "invalid"]
+    whole = sorted(map(str, series.deaccumulate(df, ["k"], "t", "v", **kw).select(*cols).collect()))
+    cut = series.deaccumulate(df, ["k"], "t", "v", region=F.floor(F.col("i") / 10), **kw)
+    halo = segments.trim_halo(series.deaccumulate(segments.with_halo(df, ["k"], "i", 10, skip="skip"), ["k", "region"], "t", "v", **kw))
+    assert sorted(map(str, cut.select(*cols).collect())) == whole
+    assert sorted(map(str, halo.select(*cols).collect())) == whole
+
+
+def test_halos_of_several_rows_on_both_sides(spark):
+    df = _gappy(spark, 60, (18, 19, *range(30, 40), 41), (8, 9, 40))
+    order = [r.i for r in df.where("k = 's'").orderBy("i").collect()]
+    got = segments.with_halo(df, ["k"], "i", 10, before=3, after=2)
+    for region in {i // 10 for i in order}:
+        own = [i for i in order if i // 10 == region]
+        want = [i for i in order if i < own[0]][-3:] + own + [i for i in order if i > own[-1]][:2]
+        assert [r.i for r in got.where(f"k = 's' and region = {region}").orderBy("i").collect()] == want
+    live = segments.with_halo(df, ["k"], "i", 10, before=2, skip="skip")
+    assert [r.i for r in live.where("k = 's' and region = 5 and not own").orderBy("i").collect()] == [48, 49]
+    assert [r.i for r in live.where("k = 's' and region = 1 and not own").orderBy("i").collect()] == [6, 7]
+
+
+def test_interpolation_with_halos_equals_whole(spark):
+    df = _gappy(spark, 40, (9, 20), ()).withColumn("flag", F.col("i") % 5 == 0)
+    whole = {(r.k, r.i): r.filled for r in series.interpolate_flagged(df, ["k"], "i", "v", "flag").collect()}
+    parts = segments.trim_halo(series.interpolate_flagged(segments.with_halo(df, ["k"], "i", 10, before=1, after=1), ["k", "region"], "i", "v", "flag"))
+    assert {(r.k, r.i): r.filled for r in parts.collect()} == whole
 
 
 def test_round_mantissa_against_bits(spark):
