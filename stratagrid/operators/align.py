@@ -9,31 +9,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import default_ranges, range_of, splitters
+from .segments import meet
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, take: list[str], tolerance: int | None = None) -> DataFrame:
+
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, take: list[str], tolerance: int | None = None, ranges: int | None = None) -> DataFrame:
     """`left` with the columns `take` of the row of `right` of equal keys whose `right_at` is nearest to `at`.
 
     Ties go to the later one; of equal positions the smallest `take` values. Without a
     candidate, or one within `tolerance`, they are NULL. Both sides are sorted together,
-    so each left row sees just the last row before it and the first after it. With a
-    tolerance, keys are also cut into stretches of 64 tolerances, right rows near an edge
-    going to both sides, so that a key with very many rows spreads over tasks.
+    so each left row sees just the last row before it and the first after it.
+
+    Keys are cut, so that one with very many rows spreads over tasks: with a tolerance
+    into stretches of 64 tolerances, right rows near an edge going to both sides; else
+    into `ranges` of positions that share the rows evenly, and each range is handed the
+    last right row before it and the first behind it, over ranges that have none.
     """
-    stretch = 64 * max(1, tolerance) if tolerance is not None else None
-    part = lambda c: F.floor(c / stretch) if stretch else F.lit(0).cast("long")
+    if tolerance is None:
+        cuts = splitters(left.select(F.col(at).alias("at")).unionByName(right.select(F.col(right_at).alias("at"))), "at", ranges or default_ranges(left))
+        part = lambda c: range_of(c, cuts)
+    else:
+        part = lambda c: F.floor(c / (64 * max(1, tolerance)))
+    names = [f"__k{i}" for i in range(len(keys))]
     payload = F.struct(F.col(right_at).alias("p"), *(F.col(c) for c in take))
-    l = left.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(at).alias("__at"), part(F.col(at)).alias("__part"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).alias("__pick"))
+    l = left.select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col(at).alias("__at"), part(F.col(at)).alias("__part"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"), F.lit(None).alias("__pick"))
     r = right.groupBy(*keys, right_at).agg(F.min(payload).alias("__pick"))
-    r = r.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(right_at).alias("__at"), F.explode(F.sequence(part(F.col(right_at) - (tolerance or 0)), part(F.col(right_at) + (tolerance or 0)))).alias("__part"), F.lit(0).alias("__side"), F.lit(None).alias("__row"), "__pick")
+    reach = part(F.col(right_at)) if tolerance is None else F.explode(F.sequence(part(F.col(right_at) - tolerance), part(F.col(right_at) + tolerance)))
+    r = r.select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.col(right_at).alias("__at"), reach.alias("__part"), F.lit(0).alias("__side"), F.lit(None).alias("__row"), "__pick")
     both = l.unionByName(r)
-    series = Window.partitionBy(*(f"__k{i}" for i in range(len(keys))), "__part").orderBy("__at", "__side")
-    both = both.withColumn("__before", F.last("__pick", ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    both = both.withColumn("__after", F.first("__pick", ignorenulls=True).over(series.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("__side = 1")
+    series = Window.partitionBy(*names, "__part").orderBy("__at", "__side")
+    seen = both.withColumn("__before", F.last("__pick", ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    seen = seen.withColumn("__after", F.first("__pick", ignorenulls=True).over(series.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("__side = 1")
+    if tolerance is None:
+        ends = both.groupBy(*names, "__part").agg(F.min("__pick").alias("__least"), F.max("__pick").alias("__most"))
+        along = Window.partitionBy(*(names or [F.lit(0)])).orderBy("__part")  # a row for each range of a key
+        ends = ends.withColumn("__from", F.last("__most", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)))
+        ends = ends.withColumn("__to", F.first("__least", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing))).drop("__least", "__most")
+        seen = meet(seen, ends, names, "__part").withColumns({"__before": F.coalesce("__before", "__from"), "__after": F.coalesce("__after", "__to")})
     to = lambda c: F.abs(F.col(f"{c}.p") - F.col("__at"))
     best = F.when(F.col("__after").isNull() | (to("__before") < to("__after")), F.col("__before")).otherwise(F.col("__after"))
-    both = both.withColumn("__best", best)
+    seen = seen.withColumn("__best", best)
     near = F.abs(F.col("__best.p") - F.col("__at")) <= tolerance if tolerance is not None else F.lit(True)
-    return both.select("__row.*", *(F.when(near, F.col(f"__best.{c}")).alias(c if c not in left.columns else f"right_{c}") for c in take))
+    return seen.select("__row.*", *(F.when(near, F.col(f"__best.{c}")).alias(c if c not in left.columns else f"right_{c}") for c in take))
 
 
 def nearest_level(value: Column, levels: list[float]) -> Column:

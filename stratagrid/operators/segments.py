@@ -21,9 +21,9 @@ def _whole(keys: list[str]) -> list:
 
 def meet(rows: DataFrame, ends: DataFrame, keys: list[str], region: str) -> DataFrame:
     """`rows` with the other columns of `ends`, by region and keys; null keys are equal."""
-    renamed = ends.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(region).alias("__of"), *(c for c in ends.columns if c not in (*keys, region)))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)], F.col(region).eqNullSafe(F.col("__of")))
-    return rows.join(renamed, same).drop("__of", *(f"__k{i}" for i in range(len(keys))))
+    renamed = ends.select(*(F.col(k).alias(f"__meet{i}") for i, k in enumerate(keys)), F.col(region).alias("__of"), *(c for c in ends.columns if c not in (*keys, region)))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__meet{i}")) for i, k in enumerate(keys)], F.col(region).eqNullSafe(F.col("__of")))
+    return rows.join(renamed, same).drop("__of", *(f"__meet{i}" for i in range(len(keys))))
 
 
 def previous_live(df: DataFrame, keys: list[str], order: str, take: dict[str, Column], region: Column, skip: Column | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantile import quantiles as quantiles
+
 
 def null_fraction(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per key the share of missing cells, with counts."""
@@ -60,11 +62,6 @@ def histogram(df: DataFrame, value: str, bins: int = 40) -> DataFrame:
     return g.select("bin", "n", F.try_divide(F.col("n").cast("double"), F.col("total") * F.col("width")).alias("density"))
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, as named columns."""
-    return df.groupBy(*keys).agg(*(F.percentile(value, s).alias(n) for n, s in shares.items()))
-
-
 def block_mean(df: DataFrame, index: str, value: str, n: int, blocks: int, keys: list[str] | None = None) -> DataFrame:
     """Means of at most `blocks` runs of an axis of `n` steps, missing cells skipped."""
     size = min(blocks, n)

@@ -9,6 +9,7 @@ a table format's work: to have them, use a catalog table of such a format as the
 from __future__ import annotations
 
 import tempfile
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,8 +90,15 @@ def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir, the folder that driver and executors share; a local session without it gets a folder of its own."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="stratagrid-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df`, written once to a new table in the shared folder and read back, which cuts its lineage."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
