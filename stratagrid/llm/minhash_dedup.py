@@ -39,6 +39,8 @@ BANDS, ROWS = 28, 6
 #: Of these the first BANDS * ROWS make bands; all serve to exclude pairs before their texts are read.
 REGISTERS = 336
 BLOCK, COPIES, RUN = 512, 32, 1 << 19
+#: Rounds of each member's likeliest pair at most, before all pairs that are left.
+NEAREST_ROUNDS = 4
 
 
 def signatures(row: np.ndarray, code: np.ndarray, weight: np.ndarray, n_rows: int, registers: int) -> np.ndarray:
@@ -146,7 +148,7 @@ def likely_matches(threshold: float, registers: int) -> int:
     return int(threshold * registers - 3.3 * np.sqrt(threshold * (1 - threshold) * registers))
 
 
-def _across(least: int, below: int):
+def _across(least: int, below: int, nearest: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = [np.zeros((0, 2), np.int64)]
         pdf = pdf.sort_values(["run", "lo", "hi"])
@@ -165,6 +167,8 @@ def _across(least: int, below: int):
                 equal = (low[other] == low[i]).sum(axis=1)
                 fit = (equal >= least) & (equal < below)
                 other, equal = other[fit], equal[fit]
+                if nearest and len(other):
+                    other = other[[equal.argmax()]]
                 out.append(np.column_stack([np.minimum(rep[other], rep[i]), np.maximum(rep[other], rep[i])]))
         return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
 
@@ -180,11 +184,12 @@ def _narrower(large: DataFrame, groups: DataFrame, threshold: float, run: int, r
     return rows.select("band", F.xxhash64("band", "way", picked).alias("run"), "node", "component")
 
 
-def across_components(placed: DataFrame, groups: DataFrame, ws: Workspace, least: int, below: int, threshold: float, registers: int, block: int = BLOCK, run: int = RUN) -> DataFrame:
+def across_components(placed: DataFrame, groups: DataFrame, ws: Workspace, least: int, below: int, threshold: float, registers: int, nearest: bool = False, block: int = BLOCK, run: int = RUN) -> DataFrame:
     """Pairs (a, b) of one band, of different components, with `least` to `below` - 1 equal registers.
 
     Members of a band are compared block by block on the low bytes of their registers
-    inside tasks of bounded size; only pairs that the registers can't exclude leave them.
+    inside tasks of bounded size; only pairs that the registers can't exclude leave them,
+    with `nearest` only the likeliest of each member and pair of blocks.
     """
     several = lambda df, by: df.groupBy(by).agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x < y").select(by, "n")
     mixed = ws.cut(several(placed, "band"))
@@ -199,7 +204,7 @@ def across_components(placed: DataFrame, groups: DataFrame, ws: Workspace, least
     rows = rows.withColumn("partner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = ws.cut(rows.select("band", "run", "node", "component", "low", "bands", "block", F.least("block", "partner").alias("lo"), F.greatest("block", "partner").alias("hi")))
     tasks = max(1, rows.count() // 4000)
-    pairs = rows.groupBy(F.pmod(F.xxhash64("run", "lo", "hi"), F.lit(tasks)).alias("task")).applyInPandas(_across(least, below), "a long, b long")
+    pairs = rows.groupBy(F.pmod(F.xxhash64("run", "lo", "hi"), F.lit(tasks)).alias("task")).applyInPandas(_across(least, below, nearest), "a long, b long")
     return pairs.distinct()
 
 
@@ -232,12 +237,17 @@ def near_duplicates(docs: DataFrame, ws: Workspace, threshold: float = THRESHOLD
 
     links = verified(pairs)
     found = ws.cut(components(links, ws).withColumnRenamed("node", "name"))
-    # bands that still hold several components: compare across these, the likeliest pairs first
+    # bands that still hold several components: compare across these. Each member's likeliest
+    # pair comes first, while that still joins components, so that few are left for all pairs
     least = likely_matches(threshold, registers)
-    steps = [registers + 1, max(least, int((threshold - 0.03) * registers)), least]
-    for below, from_ in zip(steps, steps[1:]):
+    middle = max(least, int((threshold - 0.03) * registers))
+    steps = [(registers + 1, int(threshold * registers), True)] * NEAREST_ROUNDS + [(registers + 1, middle, False), (middle, least, False)]
+    more = None
+    for below, from_, nearest in steps:
+        if nearest and more is not None and more.isEmpty():
+            continue
         placed = member.join(found, member["node"] == found["name"], "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-        across = across_components(ws.cut(placed), groups, ws, from_, below, threshold, registers)
+        across = across_components(ws.cut(placed), groups, ws, from_, below, threshold, registers, nearest)
         more = verified(ws.cut(across.join(pairs, ["a", "b"], "left_anti")))
         if not more.isEmpty():
             links = links.union(more)
