@@ -176,3 +176,49 @@ def tagged(kind: str, value: Column) -> Column:
 
 def coordinate_text(value: Column | str, places: int = 4) -> Column:
     return F.format_string(f"%.{places}f", _c(value).cast("double"))
+
+
+def _iso_span(seconds: Column) -> Column:
+    return F.concat(F.when(seconds < 0, F.lit("-")).otherwise(F.lit("")), F.lit("PT"), F.abs(seconds).cast("string"), F.lit("S"))
+
+
+def tagged_place(place: dict[str, tuple[str, Column]]) -> Column:
+    """A place (name to kind and value) as JSON text in which times and spans are tagged, so that they come back as what they were.
+
+    Kinds: "ts" (a timestamp without zone), "td" (seconds), or "plain" (numbers, strings,
+    truths). A time is {"__t": "ts", "v": ISO text}. NULLs are left out, as in JSON they
+    are nothing.
+    """
+    out = []
+    for name, (kind, value) in place.items():
+        if kind == "ts":
+            text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        elif kind == "td":
+            text = _iso_span(value)
+        elif kind == "plain":
+            out.append(value.alias(name))
+            continue
+        else:
+            raise ValueError(f"unknown kind {kind}")
+        out.append(F.when(value.isNotNull(), F.struct(F.lit(kind).alias("__t"), text.alias("v"))).alias(name))
+    return F.to_json(F.struct(*out))
+
+
+def untagged(json: Column | str, kinds: dict[str, str]) -> list[Column]:
+    """The values of a place by name: "ts" a timestamp without zone, "td" seconds as long, else the SQL type named.
+
+    Values of another tag than asked for, unknown tags, absent names and text that is no
+    JSON are NULL; an untagged value of a name that should have a tag too.
+    """
+    v = F.try_parse_json(_c(json))
+    out = []
+    for name, kind in kinds.items():
+        at = f"$['{name}']"
+        if kind in ("ts", "td"):
+            tag, text = (F.try_variant_get(v, f"{at}.{part}", "string") for part in ("__t", "v"))
+            seconds = F.regexp_extract(text, "^-?PT([0-9]+)S$", 1).try_cast("long")
+            value = text.try_cast("timestamp_ntz") if kind == "ts" else F.when(text.startswith("-"), -seconds).otherwise(seconds)
+            out.append(F.when(tag == kind, value).alias(name))
+        else:
+            out.append(F.try_variant_get(v, at, kind).alias(name))
+    return out

@@ -6,9 +6,12 @@ one sorted union; neither emits all pairs of a key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import written
 from .ranges import default_ranges, range_of, splitters
 from .segments import meet
 
@@ -117,6 +120,62 @@ def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     return one.withColumn("side", F.lit("primary")).union(two.withColumn("side", F.lit("replica")))
 
 
+def row_sums(df: DataFrame, by: list[Column]) -> DataFrame:
+    """Per group the number of rows and two sums of their hashes, which no order changes; a null is told from its absence."""
+    columns = [x for c in df.columns for x in (F.col(c), F.isnull(c))]
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20, 0)"))
+    return df.groupBy(*by).agg(F.count("*").alias("n"), total(1).alias("s1"), total(2).alias("s2"))
+
+
+def differences_by_digest(a: DataFrame, b: DataFrame, keys: list[str], region: Column, buckets: int = 64) -> DataFrame:
+    """The rows of `differences`, found by a tree of digests: of regions, then of buckets of keys in those that differ, then rows.
+
+    `region` is a function of `keys`. Equal regions are never shuffled, only summed up:
+    what is compared row by row are the buckets of keys that differ.
+    """
+    b = b.select(*a.columns)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+
+    def unequal(x: DataFrame, y: DataFrame, by: dict[str, Column]) -> DataFrame:
+        one, two = (row_sums(s, [c.alias(n) for n, c in by.items()]) for s in (x, y))
+        one, two = one.withColumnRenamed("n", "m").toDF(*by, "m", "t1", "t2"), two
+        same = reduce(lambda p, q: p & q, [one[n].eqNullSafe(two[n]) for n in by])
+        j = one.join(two, same, "full")
+        differ = ~(F.col("m").eqNullSafe(F.col("n")) & F.col("t1").eqNullSafe(F.col("s1")) & F.col("t2").eqNullSafe(F.col("s2")))
+        return j.where(differ).select(*(F.coalesce(one[n], two[n]).alias(n) for n in by))
+
+    def within(x: DataFrame, marked: DataFrame, by: dict[str, Column]) -> DataFrame:
+        x = x.withColumns({f"__{n}": c for n, c in by.items()})
+        marked = marked.select(*(F.col(n).alias(f"__{n}_") for n in by))
+        return x.join(marked, reduce(lambda p, q: p & q, [F.col(f"__{n}").eqNullSafe(F.col(f"__{n}_")) for n in by]), "left_semi").select(*a.columns)
+
+    levels = {"region": region}
+    for more in ({}, {"bucket": bucket}):
+        levels = levels | more
+        marked = written(unequal(a, b, levels), "digests")
+        a, b = within(a, marked, levels), within(b, marked, levels)
+    return differences(a, b)
+
+
+def longest_prefix(df: DataFrame, location: str, prefixes: DataFrame, prefix: str, take: list[str] | None = None) -> DataFrame:
+    """`df` with the longest of `prefixes` that its `location` starts with, and that one's `take`; NULL if none does.
+
+    Only prefixes of lengths that are registered can match, so a location is cut at
+    those lengths (no more of them than a location has characters) and meets the
+    prefixes by equality. Of equal prefixes the smallest `take` counts.
+    """
+    take = take or []
+    known = prefixes.groupBy(F.col(prefix).alias("__prefix")).agg(F.min(F.struct(*(F.col(c) for c in take), F.lit(0).alias("__"))).alias("__take")).where("__prefix is not null")
+    lengths = F.array_sort(F.collect_set(F.length("__prefix")))
+    sizes = known.agg(lengths.alias("__sizes"))  # one row
+    cut = df.join(F.broadcast(sizes)).withColumn("__fit", F.filter("__sizes", lambda n: n <= F.length(location)))
+    places = cut.select(F.col(location).alias("__location"), "__fit").distinct()
+    tried = places.select("__location", F.explode("__fit").alias("__n")).select("__location", F.expr("left(__location, __n)").alias("__prefix"))
+    best = tried.join(known, "__prefix").groupBy("__location").agg(F.max_by(F.struct("__prefix", "__take"), F.length("__prefix")).alias("__best"))
+    found = df.join(best, F.col(location) == F.col("__location"), "left")
+    return found.select(*df.columns, F.col("__best.__prefix").alias(prefix), *(F.col(f"__best.__take.{c}").alias(c) for c in take))
+
+
 def outer_pivot(df: DataFrame, row: list[str], column: str, values: list, value: Column) -> DataFrame:
     """One column per value, NULL where a row lacks it."""
     return df.groupBy(*row).agg(*(F.max(F.when(F.col(column) == v, value)).alias(str(v)) for v in values))

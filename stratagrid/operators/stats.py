@@ -28,6 +28,23 @@ def completeness(expected: DataFrame, present: DataFrame, position: list[str], i
     return g.withColumn("ratio", (F.col("n_expected") - F.col("n_missing")) / F.col("n_expected"))
 
 
+def completeness_of_product(items: DataFrame, positions: DataFrame, present: DataFrame, position: str, item: str) -> DataFrame:
+    """`completeness` where every item is expected at every position, without making the pairs.
+
+    item: a column of numbers. Present items are bits: a bitmap for each position and
+    32,768 numbers, made before the shuffle and united behind it; their bits are counted
+    and taken from the number of expected items.
+    """
+    expected = items.select(item).where(F.col(item).isNotNull()).distinct()
+    held = present.select(position, item).join(expected, item, "left_semi")
+    maps = held.groupBy(position, F.bitmap_bucket_number(item).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(item)).alias("__bits"))
+    have = maps.groupBy(F.col(position).alias("__position")).agg(F.sum(F.bitmap_count("__bits")).alias("__n"))
+    total = expected.agg(F.count("*").alias("n_expected"))
+    j = positions.select(position).distinct().join(have, F.col(position).eqNullSafe(F.col("__position")), "left").join(F.broadcast(total))  # one row
+    j = j.select(position, "n_expected", (F.col("n_expected") - F.coalesce("__n", F.lit(0))).alias("n_missing")).where("n_expected > 0")
+    return j.withColumn("ratio", (F.col("n_expected") - F.col("n_missing")) / F.col("n_expected"))
+
+
 def completeness_summary(by_position: DataFrame, position: str) -> DataFrame:
     whole = F.col("n_missing") == 0
     return by_position.agg(F.count("*").alias("n_positions"), F.count_if(whole).alias("n_complete"), F.min(F.when(~whole, F.col(position))).alias("first_incomplete"), F.max(F.when(~whole, F.col(position))).alias("last_incomplete"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import raster, scalar
-from .operators import align, checks, segments, series, stats
+from .operators import align, checks, segments, series, spatial, stats
 from .plans import grid, ingest, layout, spec, structure
 from .sources import index_files, store
 from .streaming import updates
@@ -192,8 +192,7 @@ c as (select x.day, count(*) n_expected, count(*) filter (e.user_id is null) n_m
 
 def _completeness(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").select("user_id", F.floor(seconds("ts") / 86400).alias("day"))
-    expected = grid.product(e.select("user_id").distinct(), e.select("day").distinct())
-    return stats.completeness(expected, e, ["day"], ["user_id"])
+    return stats.completeness_of_product(e, e, e, "day", "user_id")
 
 
 @query(f"with {COMPLETE} select day, n_expected, n_missing, (n_expected - n_missing)::double / n_expected as ratio from c")
@@ -228,7 +227,7 @@ select *, 'replica' from (select * from c except all select o_orderkey, o_orders
 def replica_diff(spark: SparkSession, d: str) -> DataFrame:
     a = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
     b = a.where("o_orderkey % 101 <> 7").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 97 == 5, "X").otherwise(F.col("o_orderstatus")))
-    return align.differences(a, b)
+    return align.differences_by_digest(a, b, ["o_orderkey"], F.floor(F.col("o_orderkey") / 1000))
 
 
 @query("""with x as (select o_orderkey l_orderkey, unnest([1, 2, 3, 4]) l_linenumber from orders), n as (select l_orderkey, l_linenumber, count(*) n from lineitem group by 1, 2)
@@ -506,21 +505,19 @@ def bits_and_digests(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select user_id, event_id from (select user_id, min(event_id) as event_id from events group by user_id, floor(epoch(ts))::bigint // 3600)""")
 def stream_refs(spark: SparkSession, d: str) -> DataFrame:
-    """One reference per user and hour, appended once by micro-batches; the first file order decides nothing."""
+    """One reference per user and hour by micro-batches: each batch logs the minima it changed, and the log's minima don't depend on the order of files."""
     root = scratch(spark, "stream")
     source = read(spark, d, "events")
-    source.repartition(4, "user_id").write.parquet(f"{root}/landing")
+    source.repartition(4).write.parquet(f"{root}/landing")
     stream = updates.read_files(spark, f"{root}/landing", source.schema, files_per_batch=2)
     rows = stream.select("user_id", F.floor(seconds("ts") / 3600).alias("hour"), "event_id")
     least = rows.groupBy("user_id", "hour").agg(F.min("event_id").alias("event_id"))
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        fresh = updates.new_rows(batch, f"{root}/refs", ["user_id", "hour"])
-        if not fresh.isEmpty():
-            fresh.write.mode("append").parquet(f"{root}/refs")
+        batch.write.mode("overwrite").parquet(f"{root}/refs/batch={batch_id}")  # a batch that runs again replaces itself
 
     least.writeStream.outputMode("update").foreachBatch(commit).option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/refs").select("user_id", "event_id")
+    return spark.read.parquet(f"{root}/refs").groupBy("user_id", "hour").agg(F.min("event_id").alias("event_id")).select("user_id", "event_id")
 
 
 @query()
@@ -865,13 +862,92 @@ def update_of_rates(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""select distinct user_id, floor(epoch(ts))::bigint // 3600 as hour from events""")
 def stream_append(spark: SparkSession, d: str) -> DataFrame:
-    """Each key once, appended by micro-batches of one file."""
+    """Each key once, appended by micro-batches; the keys are the stream's state."""
     folder = scratch(spark, "append")
-    rows = read(spark, d, "events").select("user_id", F.floor(seconds("ts") / 3600).alias("hour"))
+    rows = read(spark, d, "events").select("user_id", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at"))
     rows.repartition(4).write.parquet(f"{folder}/in")
     stream = updates.read_files(spark, f"{folder}/in", rows.schema, files_per_batch=2)
-    updates.append_once(stream, f"{folder}/out", f"{folder}/state", ["user_id", "hour"]).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").select("user_id", "hour")
+    updates.append_within(stream, f"{folder}/out", f"{folder}/state", ["user_id", "at"], "at", "3650 days").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("user_id", F.floor(F.unix_timestamp("at") / 3600).alias("hour"))
+
+
+@query("""with f as (select user_id, floor(epoch(ts))::bigint // 3600 * 3600 as sec, event_id from events),
+w as (select max(sec) filter (event_id % 2 = 0) - 432000 as w1 from f)
+select distinct user_id, sec from f, w where event_id % 2 = 0 or event_id % 3 = 0 or sec > w1""")
+def late_files(spark: SparkSession, d: str) -> DataFrame:
+    """Three deliveries that repeat each other: the third's late keys are accepted up to five days behind the first, older ones refused."""
+    folder = scratch(spark, "late")
+    e = read(spark, d, "events").select("user_id", F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at"), "event_id")
+    for delivery in ("event_id % 2 = 0", "event_id % 3 = 0", "true"):
+        e.where(delivery).drop("event_id").repartition(2).write.mode("append").parquet(f"{folder}/in")
+    stream = updates.read_files(spark, f"{folder}/in", e.drop("event_id").schema, files_per_batch=2)
+    updates.append_within(stream, f"{folder}/out", f"{folder}/state", ["user_id", "at"], "at", "5 days").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("user_id", F.unix_timestamp("at").alias("sec"))
+
+
+@query("select 2::bigint as n_batches, count(*) as n_input, max(event_id) as newest from events")
+def stream_progress(spark: SparkSession, d: str) -> DataFrame:
+    """What the batches of a stream report: rows taken and a metric observed in the write."""
+    folder, log = scratch(spark, "progress"), updates.Progress()
+    rows = read(spark, d, "events").select("user_id", "event_id")
+    rows.repartition(4).write.parquet(f"{folder}/in")
+    spark.streams.addListener(log)
+    try:
+        stream = updates.read_files(spark, f"{folder}/in", rows.schema, files_per_batch=2).observe("batch", F.max("event_id").alias("newest"))
+        q = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        done = log.rows(q).where("input_rows > 0")
+    finally:
+        spark.streams.removeListener(log)
+    newest = F.get_json_object(F.col("observed")["batch"], "$.newest").cast("long")
+    return done.agg(F.countDistinct("batch").alias("n_batches"), F.sum("input_rows").alias("n_input"), F.max(newest).alias("newest"))
+
+
+@query("""with g as (select p_partkey // 20 as y, p_partkey % 20 as x, 20.0::double + p_partkey // 20 * 0.25::double + p_partkey % 20 * 0.03125::double as a, -120.0::double + p_partkey % 20 * 0.5::double - p_partkey // 20 * 0.0625::double as o from part),
+p as (select c_custkey, 20.0::double + c_custkey % 97 * 0.3125::double as lat, -121.0::double + c_custkey % 89 * 0.140625::double as lon from customer),
+r as (select c_custkey, y, x, row_number() over (partition by c_custkey order by (a - lat) * (a - lat) + ((o - lon) * cos(radians(lat))) * ((o - lon) * cos(radians(lat))), y, x) i from p, g)
+select c_custkey, y, x from r where i = 1""")
+def nearest_cell_2d(spark: SparkSession, d: str) -> DataFrame:
+    """The nearest cell of a slanted grid."""
+    key = F.col("p_partkey")
+    y, x = F.floor(key / 20), key % 20
+    cells = read(spark, d, "part").select(y.alias("y"), x.alias("x"), (20.0 + y * 0.25 + x * 0.03125).alias("lat"), (-120.0 + x * 0.5 - y * 0.0625).alias("lon"))
+    points = read(spark, d, "customer").select("c_custkey", (20.0 + F.col("c_custkey") % 97 * 0.3125).alias("lat"), (-121.0 + F.col("c_custkey") % 89 * 0.140625).alias("lon"))
+    return spatial.nearest_cell_2d(points, cells, ["y", "x"]).select("c_custkey", "y", "x")
+
+
+@query("""with l as (select doc_id, 's3://' || source || '/' || lang || '/' || doc_id || '.grib2' as location from documents),
+r as (select distinct 's3://' || source || '/' as prefix, 'source' as kind from documents where ascii(right(source, 1)) % 2 = 0 union all select distinct 's3://' || source || '/' || lang || '/', 'language' from documents where lang in ('en', 'de')
+union all select 's3://' || source || '/' || lang || '/1', 'shard' from (select distinct source, lang from documents))
+select doc_id, r.prefix, r.kind from l left join r on starts_with(location, r.prefix) qualify row_number() over (partition by doc_id order by length(r.prefix) desc nulls last) = 1""")
+def registered_locations(spark: SparkSession, d: str) -> DataFrame:
+    """The longest registered prefix of each location; locations without one are to be refused."""
+    docs = read(spark, d, "documents").select("doc_id", "source", "lang")
+    base = F.concat(F.lit("s3://"), "source", F.lit("/"))
+    deeper = F.concat(base, "lang", F.lit("/"))
+    registered = docs.where(F.ascii(F.right("source", F.lit(1))) % 2 == 0).select(base.alias("prefix"), F.lit("source").alias("kind"))
+    registered = registered.union(docs.where("lang in ('en', 'de')").select(deeper, F.lit("language"))).union(docs.select(F.concat(deeper, F.lit("1")), F.lit("shard"))).distinct()
+    locations = docs.select("doc_id", F.concat(deeper, F.col("doc_id").cast("string"), F.lit(".grib2")).alias("location"))
+    return align.longest_prefix(locations, "location", registered, "prefix", ["kind"]).select("doc_id", "prefix", "kind")
+
+
+@query("""with p as (select l_orderkey, l_linenumber, l_partkey, (l_quantity * 100)::bigint as length from lineitem), n as (select l_orderkey, l_linenumber, max(l_partkey) as l_partkey, max(length) as length from p group by 1, 2)
+select 'order-' || l_orderkey as file, l_linenumber::bigint as message, (sum(length) over (partition by l_orderkey order by l_linenumber) - length)::bigint as "offset", length from n""")
+def message_references(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as files, their lines as messages: a table function makes each file's references."""
+    parts = read(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max((F.col("l_quantity") * 100).cast("long")).alias("length"))
+    return index_files.references(parts.select(F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("file"), F.col("l_linenumber").cast("long").alias("message"), "length"))
+
+
+@query("""select o_orderkey, '{"init":{"__t":"ts","v":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || '"},"lead":{"__t":"td","v":"' || case when o_orderkey % 5 < 2 then '-' else '' end || 'PT' || abs((o_orderkey % 5 - 2) * 3600) || 'S"},"member":' || (o_orderkey % 7) || '}' as place,
+o_orderdate::timestamp as init, (o_orderkey % 5 - 2) * 3600 as lead, o_orderkey % 7 as member, null::bigint as init_as_lead from orders""")
+def tagged_places(spark: SparkSession, d: str) -> DataFrame:
+    """Places as JSON with tagged times and spans, and read back typed."""
+    o = read(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("at"))
+    place = scalar.tagged_place({"init": ("ts", F.col("at")), "lead": ("td", (F.col("o_orderkey") % 5 - 2) * 3600), "member": ("plain", F.col("o_orderkey") % 7)})
+    init, lead, member = scalar.untagged("place", {"init": "ts", "lead": "td", "member": "bigint"})
+    (wrong,) = scalar.untagged("place", {"init": "td"})
+    return o.select("o_orderkey", place.alias("place")).select("o_orderkey", "place", init.alias("init"), lead.alias("lead"), member.alias("member"), wrong.alias("init_as_lead"))
 
 
 @query("""select event_type, floor(epoch(ts))::bigint // 3600 * 3600 as start, count(*) as n, sum(round(value * 100)::bigint)::bigint as total from events group by 1, 2""")
