@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.store import written
 from .ranges import default_ranges, range_of, splitters
@@ -74,15 +75,19 @@ FEW_RANGES = 10_000
 def range_join(left: DataFrame, ranges: DataFrame, at: str, start: str, end: str, how: str = "left", width: int | None = None) -> DataFrame:
     """`left` with the ranges that hold `at`: start inclusive, end exclusive, NULL ends open.
 
-    Up to `FEW_RANGES` ranges are counted and broadcast. With `width` (numbers only)
-    any number of ranges are cut in buckets of that width, and both sides meet by an
-    equality join of buckets; a range is repeated for each bucket that it reaches into.
+    Up to `FEW_RANGES` ranges are counted and broadcast. More of them, or with `width`
+    any number (numbers only), are cut in buckets of that width (else a part of what `at`
+    spans), and both sides meet by an equality join of buckets; a range is repeated for
+    each bucket that it reaches into.
     """
     inside = (F.col(start).isNull() | (F.col(at) >= F.col(start))) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
     if width is None:
-        if ranges.limit(FEW_RANGES + 1).count() > FEW_RANGES:
-            raise ValueError(f"over {FEW_RANGES} ranges: give a width of buckets")
-        return left.join(F.broadcast(ranges), inside, how)
+        if ranges.limit(FEW_RANGES + 1).count() <= FEW_RANGES:
+            return left.join(F.broadcast(ranges), inside, how)
+        if not isinstance(left.schema[at].dataType, T.NumericType):
+            raise ValueError(f"over {FEW_RANGES} ranges of {left.schema[at].dataType.simpleString()}: compare numbers")
+        lo, hi = left.agg(F.min(at).cast("double"), F.max(at).cast("double")).first()
+        width = max(((hi or 0.0) - (lo or 0.0)) / FEW_RANGES, 1e-9)
     bucket = lambda c: F.floor(c / width)
     span = left.agg(F.min(at).alias("__lo"), F.max(at).alias("__hi"))  # one row
     cut = ranges.join(F.broadcast(span)).withColumns({"__from": bucket(F.greatest(F.coalesce(start, "__lo"), "__lo")), "__to": bucket(F.least(F.coalesce(end, "__hi"), "__hi"))})

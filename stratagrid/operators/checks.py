@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import stats
@@ -22,13 +22,31 @@ def current_data(df: DataFrame, position: str, first: int, every: int, delay: in
     return _result(g, "current_data", F.col("hit") == 1, F.concat_ws(" ", F.lit("newest"), F.col("last").cast("string"), F.lit("due"), due.cast("string")), F.col("n"))
 
 
-def recent_missing(df: DataFrame, position: str, value: str, tiers: list[float]) -> DataFrame:
-    """Of the newest positions, as many as tiers, none misses more than its tier allows; fewer positions fail."""
-    by = stats.null_fraction(df, [position], value).orderBy(F.desc(position)).limit(len(tiers))
-    t = recency_tier(by, position, tiers)
-    bad = F.count_if((F.col("limit") < 1) & (F.col("fraction") > F.col("limit")))
-    g = t.agg(bad.alias("bad"), F.count("*").alias("n"))
-    return _result(g, "recent_missing", (F.col("bad") == 0) & (F.col("n") == len(tiers)), F.concat(F.col("bad").cast("string"), F.lit(" positions over their limit")), F.col("n"))
+def recent_missing(df: DataFrame, position: str, value: str, tiers: list[float], window: int | None = None, sampled: int | None = None, seed: int = 0, no_hour_0: Column | None = None) -> DataFrame:
+    """Of the newest `window` positions (as many as tiers, if not given) none misses more than its tier allows; the last tier extends.
+
+    Fewer positions than tiers fail. A tier of 1 allows everything, and its positions
+    aren't checked. With `sampled` only so many of the window, drawn by a hash of seed
+    and position, are. Cells where `no_hour_0` holds (the first lead of variables that
+    have no value there) don't count.
+    """
+    n = max(window or 0, len(tiers))
+    cells = df if no_hour_0 is None else df.withColumn(value, F.when(~F.coalesce(no_hour_0, F.lit(False)), F.struct(F.col(value).alias("v"))).alias(value))
+    if no_hour_0 is not None:  # positions stay, cells go
+        by = cells.groupBy(position).agg(F.count(value).alias("n"), F.count_if(F.col(value).isNotNull() & (F.col(f"{value}.v").isNull() | F.isnan(F.col(f"{value}.v").cast("double")))).alias("n_missing"))
+        by = by.withColumn("fraction", F.coalesce(F.try_divide("n_missing", "n"), F.lit(0.0)))
+    else:
+        by = stats.null_fraction(cells, [position], value)
+    t = recency_tier(by.orderBy(F.desc(position)).limit(n), position, tiers)
+    if sampled is not None:
+        drawn = F.row_number().over(Window.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(position))), F.desc(position)))  # of a window of positions
+        t = t.withColumn("__drawn", drawn <= sampled)
+    else:
+        t = t.withColumn("__drawn", F.lit(True))
+    checked = F.col("__drawn") & (F.col("limit") < 1) if sampled is not None or window is not None else F.lit(True)
+    bad = F.count_if(F.col("__drawn") & (F.col("limit") < 1) & (F.col("fraction") > F.col("limit")))
+    g = t.agg(bad.alias("bad"), F.count("*").alias("have"), F.count_if(checked).alias("n"))
+    return _result(g, "recent_missing", (F.col("bad") == 0) & (F.col("have") >= len(tiers)), F.concat(F.col("bad").cast("string"), F.lit(" positions over their limit")), F.col("n"))
 
 
 def complete(by_position: DataFrame, position: str, tiers: list[float]) -> DataFrame:

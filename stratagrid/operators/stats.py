@@ -61,8 +61,9 @@ def mean_std(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.count(value).alias("n"))
 
 
-def series_summary(series: DataFrame) -> DataFrame:
-    return series.agg(F.avg("mean").alias("mean"), F.min("mean").alias("least"), F.max("mean").alias("most"), F.avg("std").alias("std"))
+def series_summary(series: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The mean, least and largest of a series' means, and its mean deviation (of each of `keys`)."""
+    return series.groupBy(*(keys or [])).agg(F.avg("mean").alias("mean"), F.min("mean").alias("least"), F.max("mean").alias("most"), F.avg("std").alias("std"))
 
 
 def spatial_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:

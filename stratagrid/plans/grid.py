@@ -107,6 +107,28 @@ def batches(df: DataFrame, group: list[str], order: str, most: int) -> DataFrame
     return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / most).cast("long"))
 
 
+def batches_by_bytes(df: DataFrame, group: list[str], order: str, n_bytes: str, most: int) -> DataFrame:
+    """`df` (plans, a row for each variable; repeated rows count once) with `batch`: runs of a group's variables of at most `most` bytes.
+
+    A group's batches have as many variables as fit if all were as large as its largest,
+    but one at least; so only a batch of a single variable may be larger than `most`.
+    Missing sizes are 0.
+    """
+    once = df.distinct()
+    w = Window.partitionBy(*group)
+    largest = F.greatest(F.max(F.coalesce(F.col(n_bytes), F.lit(0))).over(w), F.lit(1))
+    per = F.greatest(F.floor(F.lit(most) / largest), F.lit(1))
+    return once.withColumn("batch", F.floor((F.row_number().over(w.orderBy(order)) - 1) / per).cast("long"))
+
+
+def region_faults(plan: DataFrame, start: str = "start", stop: str = "stop") -> DataFrame:
+    """Rows of a plan that are no half-open range of whole positions, with `fault`."""
+    a, b = F.col(start), F.col(stop)
+    whole = lambda c: c == F.floor(c)
+    fault = F.when(a.isNull() | b.isNull(), "open").when(~(whole(a) & whole(b)), "not whole").when(a < 0, "negative").when(b <= a, "empty")
+    return plan.withColumn("fault", fault).where("fault is not null")
+
+
 # Fixed value: mean bytes of a message.
 MESSAGE_BYTES = 55_691
 

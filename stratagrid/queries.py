@@ -424,15 +424,18 @@ def fallback_pick(spark: SparkSession, d: str) -> DataFrame:
     return align.first_available(o, ["o_custkey"], "p").select("o_custkey", "o_orderkey")
 
 
-@query("""select i.init, l.lead from (select unnest(range(0, 40)) * 21600 as init) i, (select unnest(range(0, 49)) * 3600 as lead) l where l.lead <= case when i.init % 43200 = 0 then 172800 else 64800 end""")
+@query("""with i as (select distinct floor(epoch(ts))::bigint // 21600 * 21600 as init from events), l as (select distinct l_quantity::bigint * 3600 as lead from lineitem)
+select init, lead from i, l where lead <= case when init % 43200 = 0 then 172800 else 64800 end""")
 def expected_leads(spark: SparkSession, d: str) -> DataFrame:
-    inits, leads = grid.append_grid(spark, 0, 40 * 21600, 21600, "init"), grid.append_grid(spark, 0, 49 * 3600, 3600, "lead")
+    inits = read(spark, d, "events").select(scalar.floor_to(seconds("ts"), 21600).alias("init")).distinct()
+    leads = read(spark, d, "lineitem").select((F.col("l_quantity").cast("long") * 3600).alias("lead")).distinct()
     return grid.expected_leads(inits, leads, "init", "lead", F.when(F.col("init") % 43200 == 0, 172800).otherwise(64800))
 
 
-@query("select distinct lead from (select unnest(range(0, 121)) as lead union all select unnest(range(0, 385, 3)) as lead)")
+@query("""select distinct lead from (select unnest(range(0, (select count(*) from customer) + 1)) as lead union all select unnest(range(0, 3 * (select count(*) from part) + 1, 3)))""")
 def lead_axis(spark: SparkSession, d: str) -> DataFrame:
-    return grid.lead_axis(spark, (0, 120, 1), (0, 384, 3))
+    n_customers, n_parts = (read(spark, d, t).count() for t in ("customer", "part"))
+    return grid.lead_axis(spark, (0, n_customers, 1), (0, 3 * n_parts, 3))
 
 
 @query("""with a as (select day, row_number() over (order by day) - 1 as i from (select distinct epoch(o_orderdate)::bigint // 86400 as day from orders)), r as (select i // 30 as region, min(day) least, max(day) most from a group by 1)
@@ -637,9 +640,55 @@ def projection_inverse(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "customer").select("c_custkey", F.round(lat, 6).alias("lat"), F.round(lon, 6).alias("lon"))
 
 
-@query("""select t.t * 1 as t, y.y, x.x from (select unnest(range(0, 4)) t) t, (select unnest(range(0, 3)) y) y, (select unnest(range(0, 5)) x) x""")
+@query("""with n as (select (select count(distinct epoch(o_orderdate)::bigint // 86400) from orders) t, (select count(*) from supplier) y, (select count(*) from customer) x)
+select t.t, y.y, x.x from (select unnest(range(0, (select ceil(t / 30.0)::bigint from n))) t) t, (select unnest(range(0, (select ceil(y / 25.0)::bigint from n))) y) y, (select unnest(range(0, (select ceil(x / 25.0)::bigint from n))) x) x""")
 def shard_product(spark: SparkSession, d: str) -> DataFrame:
-    return grid.shards_of_shape(spark, {"t": 100, "y": 75, "x": 125}, {"t": 30, "y": 25, "x": 25})
+    days = read(spark, d, "orders").select(F.floor(seconds("o_orderdate") / 86400).alias("day")).distinct().count()
+    shape = {"t": days, "y": read(spark, d, "supplier").count(), "x": read(spark, d, "customer").count()}
+    return grid.shards_of_shape(spark, shape, {"t": 30, "y": 25, "x": 25})
+
+
+@query("""with v as (select distinct p_type, p_partkey, p_size * 10000 as n_bytes from part), m as (select *, greatest(200000 // max(n_bytes) over (partition by p_type), 1) as per from v)
+select p_type, p_partkey, n_bytes, ((row_number() over (partition by p_type order by p_partkey) - 1) // per)::bigint as batch from m""")
+def request_shards(spark: SparkSession, d: str) -> DataFrame:
+    """Variables of a request group cut so that no request is over its bytes, unless of one variable."""
+    v = read(spark, d, "part").select("p_type", "p_partkey", (F.col("p_size") * 10000).alias("n_bytes"))
+    return grid.batches_by_bytes(v, ["p_type"], "p_partkey", "n_bytes", 200_000)
+
+
+@query("""with i as (select p_brand as file, p_partkey % 2 as kind, p_type as element, 'level ' || p_size as level, p_partkey as message from part),
+w(var, kind, element, level) as (values ('t', 0, 'ECONOMY|PROMO', null), ('u', 0, 'STANDARD', 'level 1[0-9]'), ('v', 1, 'S.*', 'level 2|level 3'), ('none', 1, 'nothing', null)),
+f as (select file, var, count(*) n from i join w on i.kind = w.kind and (w.element is null or regexp_full_match(i.element, w.element)) and (w.level is null or regexp_full_match(i.level, w.level)) group by 1, 2)
+select file, var, coalesce(n, 0)::bigint as n from (select distinct file from i) cross join w left join f using (file, var) where coalesce(n, 0) <> 1""")
+def lookup_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Variables that a file's index doesn't have exactly once, looked up by alternatives, patterns and any level."""
+    index = read(spark, d, "part").select(F.col("p_brand").alias("file"), (F.col("p_partkey") % 2).alias("kind"), F.col("p_type").alias("element"), F.concat(F.lit("level "), F.col("p_size").cast("string")).alias("level"), F.col("p_partkey").alias("message"))
+    wanted = spark.createDataFrame([("t", 0, "ECONOMY|PROMO", None), ("u", 0, "STANDARD", "level 1[0-9]"), ("v", 1, "S.*", "level 2|level 3"), ("none", 1, "nothing", None)], "var string, kind long, element string, level string")
+    found = index_files.lookup(index, F.broadcast(wanted), ["kind", "element", "level"], ["element", "level"])  # four rows
+    return index_files.lookup_faults(found, wanted, "file", "var", index)
+
+
+@query("""with f as (select doc_id, '/' || lang || '/' || source || '/pressure-level-' || doc_id % 3 || '/' || doc_id || case when doc_id % 5 = 0 then '.txt' when doc_id % 2 = 0 then '.grib2.bz2' else '.grib2' end as path from documents where doc_id % 4 <> 1
+union all select doc_id, '/' || lang || '/' || doc_id || '.grib2.bz2' from documents where doc_id % 4 = 1)
+select doc_id, path from f where case when path like '%/pressure-level-1/%' then false when path like '%.grib2.bz2' then true when lang_en(path) then true else false end""".replace("lang_en(path)", "regexp_matches(path, '^/en/[^/]*/[^/]*/[^/]*\\.txt$')"))
+def filtered_listing(spark: SparkSession, d: str) -> DataFrame:
+    """A listing by ordered rules, the first that fits deciding."""
+    docs, key = read(spark, d, "documents"), F.col("doc_id")
+    name = F.concat(key.cast("string"), F.when(key % 5 == 0, ".txt").when(key % 2 == 0, ".grib2.bz2").otherwise(".grib2"))
+    deep = F.concat(F.lit("/"), "lang", F.lit("/"), "source", F.lit("/pressure-level-"), (key % 3).cast("string"), F.lit("/"), name)
+    path = F.when(key % 4 != 1, deep).otherwise(F.concat(F.lit("/"), "lang", F.lit("/"), key.cast("string"), F.lit(".grib2.bz2")))
+    return index_files.filtered(docs.select("doc_id", path.alias("path")), "path", ["- pressure-level-1/*", "+ *.grib2.bz2", "+ /en/*/*/*.txt", "- **"])
+
+
+@query("""with c as (select floor(epoch(ts))::bigint // 86400 as day, case when event_type <> 'error' then value end as v from events where not (floor(epoch(ts))::bigint // 3600 % 24 = 0 and event_type in ('click', 'error'))),
+days as (select day, row_number() over (order by day desc) r from (select distinct floor(epoch(ts))::bigint // 86400 as day from events)),
+f as (select days.day, r, coalesce(count(*) filter (c.day is not null and v is null)::double / nullif(count(c.day), 0), 0) fraction from days left join c using (day) where r <= 12 group by 1, 2),
+t as (select *, [1.0, 0.3, 0.2][least(r, 3)] lim, row_number() over (order by md5('4:' || day), day desc) <= 8 as drawn from f)
+select 'recent_missing' as "check", count(*) filter (drawn and lim < 1 and fraction > lim) = 0 as passed, count(*) filter (drawn and lim < 1 and fraction > lim) || ' positions over their limit' as message, count(*) filter (drawn and lim < 1) as checked from t""")
+def recent_missing_sampled(spark: SparkSession, d: str) -> DataFrame:
+    """Eight of the twelve newest days, without the first hour of the variables that have no value there."""
+    e = read(spark, d, "events").select(F.floor(seconds("ts") / 86400).alias("day"), F.when(F.col("event_type") != "error", F.col("value")).alias("v"), (F.floor(seconds("ts") / 3600) % 24 == 0).alias("first"), "event_type")
+    return checks.recent_missing(e, "day", "v", [1.0, 0.3, 0.2], window=12, sampled=8, seed=4, no_hour_0=F.col("first") & F.col("event_type").isin("click", "error"))
 
 
 @query("""select p_type, count(distinct p_size) * count(distinct p_brand) * count(*) as n_messages, count(distinct p_size) * count(distinct p_brand) * count(*) * 55691 as bytes from part group by 1""")
@@ -685,13 +734,13 @@ select event_type, round(avg(mean), 6) mean, round(min(mean), 6) least, round(ma
 def value_series(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").withColumn("day", F.floor(seconds("ts") / 86400))
     by = stats.mean_std(e, ["event_type", "day"], "value")
-    return by.groupBy("event_type").agg(F.round(F.avg("mean"), 6).alias("mean"), F.round(F.min("mean"), 6).alias("least"), F.round(F.max("mean"), 6).alias("most"), F.round(F.avg("std"), 6).alias("std"))
+    return stats.series_summary(by, ["event_type"]).select("event_type", *(F.round(c, 6).alias(c) for c in ("mean", "least", "most", "std")))
 
 
-@query("""select 'decoded' as "check", count(*) filter (event_type = 'error') = 0 and count(value) > 0 as passed, count(*) filter (event_type = 'error') || ' errors' as message, count(*) as checked from events where event_id % 37 = 5""")
+@query("""select 'decoded' as "check", count(*) filter (event_type = 'error') = 0 and count(value) > 0 as passed, count(*) filter (event_type = 'error') || ' errors' as message, count(*) as checked from events""")
 def decode_health(spark: SparkSession, d: str) -> DataFrame:
-    sample = read(spark, d, "events").where("event_id % 37 = 5").withColumn("error", F.when(F.col("event_type") == "error", "bad message"))
-    return checks.decoded(sample, "value", "error")
+    messages = read(spark, d, "events").withColumn("error", F.when(F.col("event_type") == "error", "bad message"))
+    return checks.decoded(messages, "value", "error")
 
 
 @query("""with c as (select epoch(o_orderdate)::bigint // 86400 // 90 as quarter, count(*) filter (o_orderstatus <> 'P')::double / count(*) ratio from orders group by 1),
@@ -798,15 +847,15 @@ def decoded_metadata(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""with x as (select o_custkey, o_orderkey as start, o_orderstatus as element, o_orderpriority as level, o_custkey % 3 as hours, o_orderdate from orders)
-select start, coalesce(min(start) over (partition by o_custkey order by start range between 1 following and unbounded following), start + 10737418240) as stop, strftime(o_orderdate, '%Y%m%d%H') as init, element, level, hours || ' hour fcst' as period from x""")
+select start, coalesce(min(start) over (partition by o_custkey % 16 order by start range between 1 following and unbounded following), start + 10737418240) as stop, strftime(o_orderdate, '%Y%m%d%H') as init, element, level, hours || ' hour fcst' as period from x""")
 def text_index_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """Text index files, one for each customer of orders, written and read with their byte ranges."""
+    """Text index files, one for each of 16 groups of customers, written and read with their byte ranges."""
     o = read(spark, d, "orders")
     line = F.concat_ws(":", "o_orderkey", "o_orderkey", F.concat(F.lit("d="), F.date_format("o_orderdate", "yyyyMMddHH")), "o_orderstatus", "o_orderpriority", F.concat((F.col("o_custkey") % 3).cast("string"), F.lit(" hour fcst")), F.lit(""))
     folder = scratch(spark, "text-index")
-    o.select("o_custkey", line.alias("value")).repartition("o_custkey").write.partitionBy("o_custkey").text(folder)
+    o.select((F.col("o_custkey") % 16).alias("part"), line.alias("value")).repartition("part").write.partitionBy("part").text(folder)
     index = index_files.text_index(spark, folder)
-    file = F.regexp_extract("file", "o_custkey=([^/]+)", 1).alias("file")
+    file = F.regexp_extract("file", "part=([^/]+)", 1).alias("file")
     return index_files.byte_ranges(index.withColumn("file", file), "file", "start").select("start", "stop", "init", "element", "level", "period")
 
 
@@ -955,8 +1004,8 @@ def stream_windows(spark: SparkSession, d: str) -> DataFrame:
     """Windowed statistics of a stream, complete after its last batch."""
     folder = scratch(spark, "windows")
     rows = read(spark, d, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", cents("value").alias("v"))
-    rows.coalesce(1).write.parquet(f"{folder}/in")
-    found = updates.windowed_stats(updates.read_files(spark, f"{folder}/in", rows.schema), "ts", ["event_type"], "v")
+    rows.repartition(8).write.parquet(f"{folder}/in")
+    found = updates.windowed_stats(updates.read_files(spark, f"{folder}/in", rows.schema, files_per_batch=8), "ts", ["event_type"], "v")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/out")

@@ -6,6 +6,7 @@ file's name, so that a listing of a million files is one scan.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -97,6 +98,24 @@ def listing(spark: SparkSession, path: str, pattern: str = "*", min_age_seconds:
     return files.select("path", "length", F.col("modificationTime").alias("modified")).where(F.unix_timestamp("modified") <= F.unix_timestamp(F.current_timestamp()) - min_age_seconds)
 
 
+def _glob(pattern: str) -> str:
+    """A regular expression for a glob: `**` crosses folders, `*` and `?` don't; a pattern without a slash at its start fits at any folder."""
+    parts = re.split(r"(\*\*|\*|\?)", pattern.lstrip("/"))
+    body = "".join({"**": ".*", "*": "[^/]*", "?": "[^/]"}.get(x, re.escape(x)) for x in parts)
+    return ("^/?" if pattern.startswith("/") else "(^|/)") + body + "$"
+
+
+def filtered(files: DataFrame, path: str, rules: list[str]) -> DataFrame:
+    """`files` by ordered rules `+ glob` and `- glob`: the first that fits a path decides; paths that none fits stay. NULL paths go."""
+    keep = F.lit(True)
+    for rule in reversed(rules):
+        sign, _, glob = rule.partition(" ")
+        if sign not in "+-" or not glob:
+            raise ValueError(f"no rule: {rule}")
+        keep = F.when(F.col(path).rlike(_glob(glob)), F.lit(sign == "+")).otherwise(keep)
+    return files.where(F.col(path).isNotNull() & keep)
+
+
 def _frames(magic: bytes, trailer: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
