@@ -4,16 +4,18 @@ Every block of text belongs to the path of block elements from the root to it. P
 path, a page's text length and punctuation are summed and divided by the number of
 blocks; the two ratios are smoothed along the order in which the paths first occur,
 fused by their product, and paths above the threshold (the spread of the fused ratios)
-are content. The content nodes are the article elements, or the main element, if they
-hold 0.3 of what the content paths weigh, else the innermost element with no text but
-links beside it. Under them all text is kept, short blocks too, but for boilerplate.
+whose own ratios aren't small beside the best are content. The content nodes are the
+article elements, or the main element, if they hold 0.3 of what the content paths weigh,
+else the element that the content paths have in common, with the headings, paragraphs
+and lists beside it. Under them all text is kept, short blocks and links too, but for
+boilerplate.
 
 Boilerplate is certain by tag, role or being hidden. By class or id it is a suspicion
 only, which yields to the text: a suspect element is kept if it holds the only article
 elements of the page, or most of the text together with the page's first heading or a
 name that speaks for an article. Names that say what an element has, lacks or does
-(`has-sidebar`, `no-comments`, `overflow-hidden`) raise none. Blocks of links only are
-navigation, but for paragraphs, headings, table cells and short lists.
+(`has-sidebar`, `no-comments`, `overflow-hidden`) raise none, and none is raised by the
+name of an article's paragraph. Outside the content nodes, blocks of links weigh nothing.
 """
 
 from __future__ import annotations
@@ -56,8 +58,9 @@ WHOLE = frozenset("ul ol menu dl table blockquote pre".split())
 #: A block with a larger share of link text is navigation, if it is no heading or paragraph.
 LINKS = 0.9
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6".split())
-PLAIN = frozenset("div section center".split())
 SMOOTHING = (0.25, 0.5, 0.25)
+#: A path whose own ratios come to less than this part of the largest is no content, whatever its neighbours are.
+OWN = 0.2
 #: Names that say what an element has, lacks or does.
 MODIFIERS = frozenset("has no with without not overflow".split())
 CERTAIN, STRONG, WEAK = 1, 2, 3
@@ -108,6 +111,8 @@ def _boilerplate(tag: str, attributes: dict[str, str], semantic: bool) -> int:
         return CERTAIN
     if tag in ("html", "body", *ROOTS):
         return STRONG if tag == "article" and "comment" in attributes.get("class", "").lower() else 0
+    if tag == "p" and semantic:
+        return 0
     names = set()
     for token in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         words = _WORDS.findall(_CAMEL.sub(r"\1 \2", token).lower())
@@ -298,7 +303,8 @@ def fused_ratios(page: Page, kept: list[Block]) -> dict[int, float]:
         return [sum(w * v[min(len(v) - 1, max(0, i + k - side))] for k, w in enumerate(SMOOTHING)) for i in range(len(v))]
 
     fused = [t * p for t, p in zip(smooth([r[0] for r in ratios]), smooth([r[1] for r in ratios]))]
-    return {path: f if r[2] else 0.0 for path, f, r in zip(sums, fused, ratios)}
+    least = OWN * max(r[0] * r[1] for r in ratios)
+    return {path: f if r[2] and r[0] * r[1] >= least else 0.0 for path, f, r in zip(sums, fused, ratios)}
 
 
 def main_text(source: str | None) -> str:
@@ -312,10 +318,7 @@ def main_text(source: str | None) -> str:
     mean = sum(values) / len(values)
     threshold = min(max(values), math.sqrt(sum((v - mean) ** 2 for v in values) / len(values)))
     weight: dict[int, float] = {}
-    links: dict[int, list[float]] = {}
     shown: dict[int, float] = {}  # text by path, 0 for navigation
-    for b in page.blocks:
-        links.setdefault(b.path, []).append(b.link)
     for b in kept:
         if ratios[b.path] >= threshold and ratios[b.path] > 0:
             weight[b.path] = weight.get(b.path, 0.0) + len(b.text) * (1 - b.link)
@@ -323,41 +326,52 @@ def main_text(source: str | None) -> str:
     weight = weight or dict.fromkeys(shown, 1.0)
     roots = _roots(page, weight, shown)
     under = [0 in roots] * len(page.parent)
-    listed = [False] * len(page.parent)
     for i in range(1, len(under)):
-        above = page.parent[i]
-        under[i] = under[above] or i in roots
-        listed[i] = under[above] and (listed[above] or page.tag[i] == "li")
-
-    def menu(b: Block) -> bool:
-        if min(links[b.path]) <= LINKS:
-            return False
-        return len(links[b.path]) > 2 if listed[b.path] else page.tag[b.path] in PLAIN and b.path not in roots
-
-    return " ".join(b.text for b in kept if under[b.path] and not menu(b))
+        under[i] = under[page.parent[i]] or i in roots
+    return " ".join(b.text for b in kept if under[b.path])
 
 
 def _roots(page: Page, weight: dict[int, float], shown: dict[int, float]) -> set[int]:
-    """The article or main elements if they hold much of the weight, else the innermost element that has no other text beside it."""
+    """The article or main elements if they hold much of what the content paths weigh, else the element that those paths have in common.
+
+    That element is the innermost one above all content paths that isn't a block of text
+    or a part of a list or table. It goes up as long as the element above it holds
+    paragraphs, headings or lists of its own (of the body: if they have 0.3 of the
+    text). A first heading beside it or above is kept too.
+    """
     total = sum(weight.values())
     for tag in ROOTS:
         outer = _outermost(page, (tag,))
         held = {outer[p] for p in shown if outer[p]}
         if held and sum(weight.get(p, 0.0) for p in shown if outer[p]) >= 0.3 * total:
             return held
-    inner: dict[int, set[int]] = {}
-    for path, n in shown.items():
-        while n > 0 and path and path not in inner.setdefault(page.parent[path], set()):
-            inner[page.parent[path]].add(path)
+
+    def above(path: int) -> list[int]:
+        found = [path]
+        while path:
             path = page.parent[path]
-    root = 0
-    while True:
-        if shown.get(root) or len(inner.get(root, ())) != 1:
-            return {root}
-        (best,) = inner[root]
-        if best in shown or page.tag[best] in WHOLE:  # it is a block of text itself, or a part of one
-            return {root}
-        root = best
+            found.append(path)
+        return found
+
+    common: list[int] | None = None
+    for path in weight:
+        line = above(path)
+        common = line if common is None else [x for x in common if x in set(line)]
+    inside = {x for path in shown for x in above(path)[1:]}
+    root = next((x for x in common or [0] if x in inside and page.tag[x] not in PROSE and not WHOLE.intersection(page.tag[y] for y in above(x))), 0)
+    own: dict[int, float] = {}
+    for path, n in shown.items():
+        if page.tag[path] in PROSE or WHOLE.intersection(page.tag[y] for y in above(path)):
+            holder = next(x for x in above(path)[1:] if page.tag[x] not in PROSE and not WHOLE.intersection(page.tag[y] for y in above(x)))
+            own[holder] = own.get(holder, 0.0) + n
+    under = sum(n for path, n in shown.items() if root in above(path))
+    while root:
+        up = page.parent[root]
+        if own.get(up, 0.0) <= (0.3 * under if page.tag[up] in ("body", "html", "") else 0.0):
+            break
+        root = up
+    title = next((path for path in shown if page.tag[path] == "h1"), None)
+    return {root, title} if title is not None and page.parent[title] in above(root) else {root}
 
 
 def _extract(place: int):

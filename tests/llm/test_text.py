@@ -479,3 +479,24 @@ def test_queries_match_sql(spark):
         assert cols == sorted(b.columns)
         a, b = (x[cols].sort_values(cols).reset_index(drop=True) for x in (a, b))
         assert len(a) == len(b) and all((a[c].astype(str) == b[c].astype(str)).all() for c in cols), name
+
+
+def test_ratios_pick_the_content_without_article_elements():
+    from stratagrid.llm import html_extract
+
+    text = "<p>A long text, with commas, and so on. More of it, here.</p><p>Another one, too, with more.</p>"
+    side = "<div class=left>x y z</div><div class=box>{}</div><div class=r2>Buy now!</div>"
+    assert html_extract.main_text(side.format(text)) == "A long text, with commas, and so on. More of it, here. Another one, too, with more."
+    assert html_extract.main_text(f"<body><h1>T</h1><div class=box>{text}<ul><li>short</li></ul></div><div class=r2>Buy now!</div></body>").endswith("with more. short")
+    sections = "".join(f"<div class=s{i}><h2>H{i}</h2>{text}</div>" for i in range(3))
+    assert html_extract.main_text(f"<div class=all>{sections}</div><div class=r2>x y</div>").count("Another") == 3
+    # links and odd names of an article's own
+    links = "<ul>" + "".join(f"<li><a>link {i}</a></li>" for i in range(4)) + "</ul>"
+    assert html_extract.main_text(f"<article><p>See, these:</p>{links}<p class=related>End of it, really.</p></article>") == "See, these: link 0 link 1 link 2 link 3 End of it, really."
+    # what a path's neighbours lend it doesn't make it content; with equal ratios the side columns come too
+    flat = html_extract.fused_ratios
+    html_extract.fused_ratios = lambda page, kept: {b.path: 1.0 for b in page.blocks}
+    try:
+        assert html_extract.main_text(side.format(text)).startswith("x y z")
+    finally:
+        html_extract.fused_ratios = flat
