@@ -40,7 +40,7 @@ BANDS, ROWS = 28, 6
 REGISTERS = 336
 BLOCK, COPIES, RUN = 512, 32, 1 << 19
 #: Rounds of each member's likeliest pair at most, before all pairs that are left.
-NEAREST_ROUNDS = 4
+NEAREST_ROUNDS = 1
 
 
 def signatures(row: np.ndarray, code: np.ndarray, weight: np.ndarray, n_rows: int, registers: int) -> np.ndarray:
