@@ -222,15 +222,23 @@ def _count(threshold: float):
     return run
 
 
+def _label(vectors: DataFrame) -> Column:
+    label = vectors["label"]
+    if vectors.schema["label"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        return label.cast("long")
+    return F.when(label.isNotNull(), F.xxhash64(label))
+
+
 def near_duplicates(vectors: DataFrame, ws: Workspace, threshold: float = THRESHOLD, passes: int = PASSES, bits: int = BITS, window: int = WINDOW, block: int = BLOCK, seed: int = 7) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row for each row of `vectors` (vec_id, embedding, label).
 
     Vectors of equal label (not null) link if their cosine is `threshold` or more.
     Vectors that are null, empty, zero or hold null or non-finite values, and null
-    vec_ids, link with nothing. Rows of one vec_id and vector count as copies.
+    vec_ids, link with nothing. Rows of one vec_id and vector count as copies. Labels are
+    compared in their own type; those that aren't whole numbers go by a 64-bit hash.
     """
     kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast(f"array<{kind}>").alias("v"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), _label(vectors).alias("label"), F.col("embedding").cast(f"array<{kind}>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(finite, F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     keyed = rows.select("vec_id", "label", F.when(usable, F.xxhash64("v")).alias("k1"), F.when(usable, F.hash("v")).alias("k2"), "v")

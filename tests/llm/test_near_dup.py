@@ -247,3 +247,14 @@ def test_embeddings_of_a_dense_label(spark):
     assert 200 < (close.sum(axis=1) > 0).sum() < n - 200
     assert sum(got[i].component_id != c for i, c in want.items()) == 0
     assert [got[i].n_links for i in range(n)] == close.sum(axis=1).tolist()
+
+
+def test_labels_are_compared_in_their_own_type(spark):
+    from stratagrid.llm import embedding_dedup
+    from stratagrid.llm.common import Workspace
+
+    for kind, one, two in (("double", 1.2, 1.7), ("string", "cat", "dog"), ("boolean", True, False)):
+        rows = [(1, [1.0, 2.0], one), (2, [1.0, 2.0], two), (3, [1.0, 2.01], one), (4, [1.0, 2.0], None), (5, [1.0, 2.0], two)]
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {kind}")
+        got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df, Workspace(spark, "t")).collect()}
+        assert got == {1: (1, 1), 3: (1, 1), 2: (1, 2), 5: (1, 2), 4: (0, 4)}, kind
