@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .functions import raster, scalar
 from .operators import align, checks, segments, series, spatial, stats
 from .plans import grid, ingest, layout, spec, structure
-from .sources import index_files, store
+from .sources import index_files, ranged, store
 from .streaming import updates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -965,6 +965,20 @@ def nearest_cell_2d(spark: SparkSession, d: str) -> DataFrame:
     return spatial.nearest_cell_2d(points, cells, ["y", "x"]).select("c_custkey", "y", "x")
 
 
+@query("""with m as (select o_orderkey % 4 as part, o_orderkey, 32 + o_orderkey % 90 as length, o_orderkey % 10 as discipline from orders)
+select part, row_number() over (partition by part order by o_orderkey) - 1 as message, (sum(length) over (partition by part order by o_orderkey) - length)::bigint as start, length, discipline from m""")
+def framed_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Files of framed messages, an order each, read by ranges of 64 KB."""
+    folder, key = scratch(spark, "framed"), F.col("o_orderkey")
+    length = 32 + key % 90
+    zeros = lambda n: F.lit("\0" * n)
+    value = F.concat(F.lit("GRIB"), zeros(2), F.char(key % 10), F.char(F.lit(2)), zeros(7), F.char(length), F.expr("repeat('x', cast(12 + o_orderkey % 90 as int))"))
+    rows = read(spark, d, "orders").select((key % 4).alias("part"), "o_orderkey", value.alias("value"))
+    rows.repartition("part").sortWithinPartitions("part", "o_orderkey").drop("o_orderkey").write.partitionBy("part").option("lineSep", "7777").text(folder)
+    found = ranged.numbered(ranged.message_ranges(spark, folder, 1 << 16))
+    return found.select(F.regexp_extract("file", "part=([0-9]+)", 1).cast("long").alias("part"), "message", "start", "length", "discipline")
+
+
 @query("""with l as (select doc_id, 's3://' || source || '/' || lang || '/' || doc_id || '.grib2' as location from documents),
 r as (select distinct 's3://' || source || '/' as prefix, 'source' as kind from documents where ascii(right(source, 1)) % 2 = 0 union all select distinct 's3://' || source || '/' || lang || '/', 'language' from documents where lang in ('en', 'de')
 union all select 's3://' || source || '/' || lang || '/1', 'shard' from (select distinct source, lang from documents))
