@@ -47,6 +47,31 @@ def previous_live(df: DataFrame, keys: list[str], order: str, take: dict[str, Co
     return rows.withColumn("__prev", F.coalesce(before, "__carried")).drop("__region", "__skipped", "__self", "__opens", "__carried")
 
 
+def running_sum(df: DataFrame, keys: list[str], order: str, value: str, region: Column, out: str) -> DataFrame:
+    """`df` with the sum of `value` over its series up to and with each row, by two levels: inside regions, and of the regions before.
+
+    Regions ascend with `order`. Rows of one place are summed together; missing values are 0.
+    """
+    rows = df.withColumns({"__region": region, "__v": F.coalesce(F.col(value), F.lit(0))})
+    sums = rows.groupBy(*keys, "__region").agg(F.sum("__v").alias("__sum"))
+    along = Window.partitionBy(*_whole(keys)).orderBy("__region").rowsBetween(Window.unboundedPreceding, -1)  # a row for each region of a series
+    sums = sums.select(*keys, "__region", F.coalesce(F.sum("__sum").over(along), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy(*keys, "__region").orderBy(order)
+    rows = rows.withColumn("__inside", F.sum("__v").over(inside))
+    return meet(rows, sums, keys, "__region").withColumn(out, F.col("__before") + F.col("__inside")).drop("__region", "__v", "__inside", "__before")
+
+
+def following(df: DataFrame, keys: list[str], order: str, region: Column, out: str) -> DataFrame:
+    """`df` with the next larger `order` of its series; NULL at the last. Regions, which ascend with `order`, are handed the first place behind them."""
+    rows = df.withColumn("__region", region)
+    ends = rows.groupBy(*keys, "__region").agg(F.min(order).alias("__first"))
+    along = Window.partitionBy(*_whole(keys)).orderBy("__region").rowsBetween(1, Window.unboundedFollowing)  # a row for each region of a series
+    ends = ends.select(*keys, "__region", F.first("__first", ignorenulls=True).over(along).alias("__behind"))
+    inside = Window.partitionBy(*keys, "__region").orderBy(order).rangeBetween(1, Window.unboundedFollowing)
+    rows = rows.withColumn("__next", F.min(order).over(inside))
+    return meet(rows, ends, keys, "__region").withColumn(out, F.coalesce("__next", "__behind")).drop("__region", "__next", "__behind")
+
+
 def _halo(rows: DataFrame, keys: list[str], order: str, live: Column, n: int, later: bool) -> DataFrame:
     """(keys, region, __halo): the n live rows next before each region, or with `later` behind it, however far they are."""
     toward = (F.asc if later else F.desc)

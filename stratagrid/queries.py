@@ -298,8 +298,8 @@ OFFSETS = "o as (select doc_id, source, n_chars, (sum(n_chars) over (partition b
 
 
 def offsets(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return read(spark, d, "documents").select("doc_id", "source", "n_chars", (F.sum("n_chars").over(w) - F.col("n_chars")).alias("start"))
+    docs = read(spark, d, "documents").select("doc_id", "source", "n_chars")
+    return segments.running_sum(docs, ["source"], "doc_id", "n_chars", F.floor(F.col("doc_id") / 4096), "end").select("doc_id", "source", "n_chars", (F.col("end") - F.col("n_chars")).alias("start"))
 
 
 @query(f"with {OFFSETS} select source, doc_id, start, coalesce(lead(start) over (partition by source order by start), start + 10737418240) as stop from o where n_chars > 0")

@@ -13,9 +13,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.segments import following
+
 # Fixed value: bytes after the last message's start, where the file's size isn't known.
 PAD = 10 << 30
 
@@ -27,14 +29,18 @@ def text_index(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.col("_metadata.file_path").alias("file"), p[0].cast("long").alias("message"), p[1].cast("long").alias("start"), F.regexp_replace(p[2], "^d=", "").alias("init"), p[3].alias("element"), p[4].alias("level"), p[5].alias("period"))
 
 
+#: Bytes of a stretch of a file; stretches of one file are worked on by different tasks.
+STRETCH = 1 << 30
+
+
 def byte_ranges(index: DataFrame, file: str, start: str, size: Column | None = None) -> DataFrame:
     """`index` with `stop`: where the next message of the file starts; of the last, the file's size or start + PAD.
 
     Messages that share a start (parts of one message) share the range.
     """
-    w = Window.partitionBy(file).orderBy(start).rangeBetween(1, Window.unboundedFollowing)
-    after = F.min(start).over(w)
-    return index.withColumn("stop", F.coalesce(after, size, F.col(start) + PAD) if size is not None else F.coalesce(after, F.col(start) + PAD))
+    after = following(index, [file], start, F.floor(F.col(start) / STRETCH), "__after")
+    stop = F.coalesce("__after", size, F.col(start) + PAD) if size is not None else F.coalesce("__after", F.col(start) + PAD)
+    return after.withColumn("stop", stop).drop("__after")
 
 
 def lookup(index: DataFrame, wanted: DataFrame, on: list[str], patterns: list[str] | None = None) -> DataFrame:

@@ -69,6 +69,17 @@ def test_halos_of_several_rows_on_both_sides(spark):
     assert [r.i for r in live.where("k = 's' and region = 1 and not own").orderBy("i").collect()] == [6, 7]
 
 
+def test_sums_and_followers_across_regions(spark):
+    rows = [(k, t, v) for k in ("s", None) for t, v in [(1, 5), (3, None), (9, 2), (9, 4), (31, 1), (77, 7), (78, 1)]]
+    df = spark.createDataFrame(rows, "k string, t long, v long").repartition(4)
+    region = F.floor(F.col("t") / 10)
+    sums = [(r.t, r.s) for r in segments.running_sum(df, ["k"], "t", "v", region, "s").where("k is null").orderBy("t").collect()]
+    assert sums == [(1, 5), (3, 5), (9, 11), (9, 11), (31, 12), (77, 19), (78, 20)]
+    after = [(r.t, r.a) for r in segments.following(df, ["k"], "t", region, "a").where("k = 's'").orderBy("t").collect()]
+    assert after == [(1, 3), (3, 9), (9, 31), (9, 31), (31, 77), (77, 78), (78, None)]
+    assert segments.running_sum(df.where("k = 's'").drop("k"), [], "t", "v", region, "s").agg(F.max("s")).first()[0] == 20
+
+
 def test_interpolation_with_halos_equals_whole(spark):
     df = _gappy(spark, 40, (9, 20), ()).withColumn("flag", F.col("i") % 5 == 0)
     whole = {(r.k, r.i): r.filled for r in series.interpolate_flagged(df, ["k"], "i", "v", "flag").collect()}
