@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.store import written
-from .ranges import MOST, range_of, splitters
+from .ranges import range_of, splitters
 from .segments import meet
 
 #: Rows of a key and range that are sorted together; larger ones are cut again.
 SORTED = 1 << 20
+#: Ranges that all values are cut in.
+RANGES = 32
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], most: int = SORTED, ranges: int = MOST) -> DataFrame:
+def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float], most: int = SORTED, ranges: int = RANGES) -> DataFrame:
     """Per key exact quantiles with linear interpolation, as named columns; missing values don't count, and keys without values have NULLs.
 
     Values are cut in ranges by a sketch of all of them, and counted per key and range.
