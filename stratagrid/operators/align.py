@@ -43,12 +43,13 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, right_a
     both = l.unionByName(r)
     series = Window.partitionBy(*names, "__part").orderBy("__at", "__side")
     seen = both.withColumn("__before", F.last("__pick", ignorenulls=True).over(series.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    seen = seen.withColumn("__after", F.first("__pick", ignorenulls=True).over(series.rowsBetween(Window.currentRow, Window.unboundedFollowing))).where("__side = 1")
+    back = Window.partitionBy(*names, "__part").orderBy(F.desc("__at"), F.desc("__side"))  # a frame up to the series' end would go over the rest again for each row
+    seen = seen.withColumn("__after", F.last("__pick", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("__side = 1")
     if tolerance is None:
         ends = both.groupBy(*names, "__part").agg(F.min("__pick").alias("__least"), F.max("__pick").alias("__most"))
         along = Window.partitionBy(*(names or [F.lit(0)])).orderBy("__part")  # a row for each range of a key
         ends = ends.withColumn("__from", F.last("__most", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)))
-        ends = ends.withColumn("__to", F.first("__least", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing))).drop("__least", "__most")
+        ends = ends.withColumn("__to", F.last("__least", ignorenulls=True).over(along.orderBy(F.desc("__part")).rowsBetween(Window.unboundedPreceding, -1))).drop("__least", "__most")
         seen = meet(seen, ends, names, "__part").withColumns({"__before": F.coalesce("__before", "__from"), "__after": F.coalesce("__after", "__to")})
     to = lambda c: F.abs(F.col(f"{c}.p") - F.col("__at"))
     best = F.when(F.col("__after").isNull() | (to("__before") < to("__after")), F.col("__before")).otherwise(F.col("__after"))

@@ -65,9 +65,10 @@ def following(df: DataFrame, keys: list[str], order: str, region: Column, out: s
     """`df` with the next larger `order` of its series; NULL at the last. Regions, which ascend with `order`, are handed the first place behind them."""
     rows = df.withColumn("__region", region)
     ends = rows.groupBy(*keys, "__region").agg(F.min(order).alias("__first"))
-    along = Window.partitionBy(*_whole(keys)).orderBy("__region").rowsBetween(1, Window.unboundedFollowing)  # a row for each region of a series
-    ends = ends.select(*keys, "__region", F.first("__first", ignorenulls=True).over(along).alias("__behind"))
-    inside = Window.partitionBy(*keys, "__region").orderBy(order).rangeBetween(1, Window.unboundedFollowing)
+    # downwards, as Spark goes over the rest of a frame again for each row if it reaches to the series' end
+    along = Window.partitionBy(*_whole(keys)).orderBy(F.desc("__region")).rowsBetween(Window.unboundedPreceding, -1)  # a row for each region of a series
+    ends = ends.select(*keys, "__region", F.last("__first", ignorenulls=True).over(along).alias("__behind"))
+    inside = Window.partitionBy(*keys, "__region").orderBy(F.desc(order)).rangeBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("__next", F.min(order).over(inside))
     return meet(rows, ends, keys, "__region").withColumn(out, F.coalesce("__next", "__behind")).drop("__region", "__next", "__behind")
 

@@ -168,3 +168,10 @@ def test_nearest_with_tolerance_equals_without(spark):
     r = spark.createDataFrame([("k", int(t), int(t)) for t in rng.integers(-500, 3000, 200)], "k string, rt long, found long")
     whole = {x.id: x.found if x.found is not None and abs(x.found - x.t) <= 3 else None for x in align.nearest(l, r, ["k"], "t", "rt", ["found"]).collect()}
     assert {x.id: x.found for x in align.nearest(l, r, ["k"], "t", "rt", ["found"], tolerance=3).collect()} == whole
+
+
+def test_followers_of_a_long_series_in_one_pass(spark):
+    df = spark.range(0, 2_000_000, 7).select(F.lit("s").alias("k"), F.col("id").alias("t")).repartition(3)
+    got = segments.following(df, ["k"], "t", F.lit(0), "a")  # frames that reach to the end took a time that grows with the square
+    assert "UNBOUNDEDFOLLOWING" not in got._jdf.queryExecution().executedPlan().toString().upper().replace(" ", "")
+    assert got.where("coalesce(a, 2000005) <> t + 7").count() == 0 and got.where("a is null").count() == 1
