@@ -997,7 +997,7 @@ def registered_locations(spark: SparkSession, d: str) -> DataFrame:
 @query("""with p as (select l_orderkey, l_linenumber, l_partkey, (l_quantity * 100)::bigint as length from lineitem), n as (select l_orderkey, l_linenumber, max(l_partkey) as l_partkey, max(length) as length from p group by 1, 2)
 select 'order-' || l_orderkey as file, l_linenumber::bigint as message, (sum(length) over (partition by l_orderkey order by l_linenumber) - length)::bigint as "offset", length from n""")
 def message_references(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as files, their lines as messages: a table function makes each file's references."""
+    """Orders as files, their lines as messages: each file's references."""
     parts = read(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max((F.col("l_quantity") * 100).cast("long")).alias("length"))
     return index_files.references(parts.select(F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")).alias("file"), F.col("l_linenumber").cast("long").alias("message"), "length"))
 

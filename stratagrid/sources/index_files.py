@@ -8,12 +8,11 @@ from __future__ import annotations
 
 import re
 import struct
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.segments import following
@@ -161,32 +160,14 @@ def write_json_index(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(df.columns)))).alias("value")).write.text(path)
 
 
-@F.udtf(returnType="file string, message long, offset long, length long")
-class References:
-    """A reference for each message of a file, from its parts in order: a row (file, message, length) a part, files by PARTITION BY.
+def references(parts: DataFrame) -> DataFrame:
+    """(file, message, offset, length) of `parts` (file, message, length: long): a reference for each message of a file, from its parts in order of messages.
 
     Offsets run on from part to part. A part of null or negative length ends its file: what
     lies behind it can't be found, so nothing more is referred to.
     """
-
-    def __init__(self) -> None:
-        self.offset: int | None = 0
-
-    def eval(self, row):
-        if self.offset is None or row["length"] is None or row["length"] < 0:
-            self.offset = None
-            return
-        yield row["file"], row["message"], self.offset, row["length"]
-        self.offset += row["length"]
-
-
-def references(parts: DataFrame) -> DataFrame:
-    """(file, message, offset, length) of `parts` (file, message, length: long): a table function over each file, in order of messages."""
-    spark = parts.sparkSession
-    spark.udtf.register("message_references", References)
-    name = f"parts_{uuid.uuid4().hex}"
-    parts.select("file", "message", "length").createOrReplaceTempView(name)
-    try:
-        return spark.sql(f"select * from message_references(table(select file, message, length from {name}) partition by file order by message)")
-    finally:
-        spark.catalog.dropTempView(name)
+    along = Window.partitionBy("file").orderBy("message").rowsBetween(Window.unboundedPreceding, 0)
+    found = F.coalesce(F.col("length") >= 0, F.lit(False))
+    rows = parts.select("file", "message", "length").withColumn("__open", F.min(found).over(along))
+    rows = rows.withColumn("offset", F.sum(F.when(F.col("__open"), F.col("length"))).over(along) - F.col("length"))
+    return rows.where("__open").select("file", "message", "offset", "length")

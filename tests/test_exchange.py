@@ -57,6 +57,19 @@ def test_references_run_on_through_a_file(spark):
     assert sorted(map(tuple, got.collect())) == [("f", 1, 0, 10), ("f", 2, 10, 0), ("f", 3, 10, 7), ("g", 1, 0, 4)]
 
 
+def test_references_need_no_python_for_each_part(spark):
+    parts = spark.range(60_000).select((F.col("id") % 5).cast("string").alias("file"), F.col("id").alias("message"), F.when(F.col("id") != 40_000, F.col("id") % 3).alias("length"))
+    odd = spark.createDataFrame([("end", 1, 2), ("end", 2, -1), ("end", 3, 2**63 - 1), ("end", 4, 2**63 - 1), (None, 1, 3), (None, 2, 4)], "file string, message long, length long")
+    got = index_files.references(parts.unionByName(odd))
+    assert "Python" not in got._jdf.queryExecution().executedPlan().toString()
+    at, want = [0] * 5, [("end", 1, 0, 2), (None, 1, 0, 3), (None, 2, 3, 4)]
+    for i in range(60_000):
+        if i % 5 or i < 40_000:
+            want.append((str(i % 5), i, at[i % 5], i % 3))
+            at[i % 5] += i % 3
+    assert set(map(tuple, got.collect())) == set(want) and got.count() == len(want)
+
+
 def test_tagged_places_round_trip(spark):
     rows = [(dt.datetime(2024, 2, 29, 23, 59, 59, 123456), 90, "a\"b", 1.5), (None, -3600, None, None), (dt.datetime(1, 1, 1), 0, "", -2.5)]
     df = spark.createDataFrame(rows, "at timestamp_ntz, lead long, name string, x double")
