@@ -124,3 +124,10 @@ def test_markdown(spark):
     results = spark.createDataFrame([("b", True, "fine", 3), ("a", False, "x|y", 4)], "check string, passed boolean, message string, checked long")
     lines = [r.line for r in checks.markdown(results).orderBy("order").collect()]
     assert lines == ["| check | result | message | checked |", "| --- | --- | --- | --- |", "| a | FAILED | x/y | 4 |", "| b | passed | fine | 3 |"]
+
+
+def test_ranges_of_a_file_of_many_small_messages(spark):
+    index = spark.range(300_000).select(F.lit("a").alias("file"), (F.floor(F.col("id") / 2) * 3).alias("start"))  # one stretch, two parts a start
+    got = index_files.byte_ranges(index, "file", "start", F.lit(450_001))
+    assert "UNBOUNDEDFOLLOWING" not in got._jdf.queryExecution().executedPlan().toString().upper().replace(" ", "")
+    assert got.count() == 300_000 and got.where("stop <> if(start = 449997, 450001, start + 3)").count() == 0
