@@ -91,3 +91,13 @@ def test_histogram_edges(spark):
     assert [(r.bin, r.n, r.density) for r in one] == [(0, 2, None)]
     many = {r.bin: r.n for r in stats.histogram(spark.range(11).select(F.col("id").cast("double").alias("v")), "v", 10).collect()}
     assert many == {**{b: 1 for b in range(9)}, 9: 2}
+
+
+def test_shards_are_shared_evenly_without_joins(spark):
+    got = grid.shards_of_shape(spark, {"t": 7, "y": 100, "x": 31}, {"t": 3, "y": 9, "x": 10})
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString() and "Cartesian" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == ["t", "y", "x"] and dict(got.dtypes) == {"t": "bigint", "y": "bigint", "x": "bigint"}
+    assert sorted(map(tuple, got.collect())) == [(t, y, x) for t in range(3) for y in range(12) for x in range(4)]
+    sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert max(sizes) - min(sizes) <= 1
+    assert grid.shards_of_shape(spark, {"t": 5, "y": 0, "x": 2}, {"t": 2, "y": 1, "x": 1}).count() == 0
