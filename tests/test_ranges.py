@@ -70,3 +70,24 @@ def test_nearest_grid_cell(spark):
     assert {r.id: (r.y, r.x) if r.y is not None else None for r in got.collect()} == {i: plain(a, o) for i, a, o in points}
     assert got.count() == len(points)
     assert spatial.nearest_cell_2d(p, grid.where("false"), ["y", "x"]).where("y is null").count() == len(points)
+
+
+def test_nearest_cell_of_a_thin_grid_with_a_dense_spot(spark):
+    import math
+
+    rng = random.Random(11)
+    nan, inf = float("nan"), float("inf")
+    cells = [(y, x, 20 + 0.25 * y, -120 + 0.5 * x - 0.0625 * y) for y in range(1500) for x in range(3)]
+    cells += [(2000 + i, 0, 40 + rng.random() * 1e-3, -119 + rng.random() * 1e-3) for i in range(2000)] + [(5000 - i, 7, 25.0, -100.0) for i in range(300)]
+    points = [(i, rng.uniform(20, 60), rng.uniform(-125, -110)) for i in range(60)] + [(100, 40.0005, -118.9995), (101, 25.1, -100.2), (102, 90.0, 0.0), (103, -89.0, 400.0)]
+    odd = [(200, nan, 1.0), (201, 1.0, inf), (202, None, 1.0)]
+
+    def plain(lat, lon):
+        return min((((a - lat) ** 2 + ((o - lon) * math.cos(math.radians(lat))) ** 2, (y, x)) for y, x, a, o in cells))[1]
+
+    grid = spark.createDataFrame(cells + [(0, 0, nan, nan), (0, 1, 30.0, inf)], "y int, x int, lat double, lon double").repartition(3)
+    got = spatial.nearest_cell_2d(spark.createDataFrame(points + odd, "id int, lat double, lon double").repartition(3), grid, ["y", "x"])
+    assert {r.id: (r.y, r.x) for r in got.collect()} == {i: plain(a, o) for i, a, o in points} | {i: (None, None) for i, *_ in odd}
+    squares = spark.createDataFrame([(int((a - 20) / 4000 * (1 << 20)), int((o + 300) / 4000 * (1 << 20)), a, o, 0) for _, _, a, o in cells[:4500]], "__y long, __x long, __a double, __o double, __i int")
+    start, last = spatial._levels(squares)
+    assert spatial._boxes(squares, start).count() <= spatial.FEW and squares.groupBy(F.shiftright("__y", last), F.shiftright("__x", last)).count().agg(F.max("count")).first()[0] <= spatial.MOST
