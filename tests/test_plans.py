@@ -1,11 +1,14 @@
+import itertools
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from stratagrid.functions import scalar
 from stratagrid.operators import align, series, stats
 from stratagrid.plans import grid, layout, spec
+from stratagrid.queries import QUERIES, SQL
 from stratagrid.sources import index_files
 from stratagrid.streaming import updates
 
@@ -101,3 +104,24 @@ def test_shards_are_shared_evenly_without_joins(spark):
     sizes = got.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert max(sizes) - min(sizes) <= 1
     assert grid.shards_of_shape(spark, {"t": 5, "y": 0, "x": 2}, {"t": 2, "y": 1, "x": 1}).count() == 0
+
+
+def test_shards_take_little_room_however_long_the_axes(spark, tmp_path):
+    got = grid.shards_of_shape(spark, {"t": 7, "y": 50, "x": 6000}, {"t": 1, "y": 1, "x": 1})
+    got.write.parquet(str(tmp_path / "shards"))
+    assert sum(f.stat().st_size for f in (tmp_path / "shards").glob("*.parquet")) < 0.25 * 7 * 50 * 6000
+    for shape in ({"t": 3, "y": 37, "x": 41}, {"a": 33, "b": 17}, {"id": 50}, {"a": 16, "b": 1, "c": 16}, {"a": 2, "b": 20, "c": 5, "d": 18}):
+        got = grid.shards_of_shape(spark, shape, dict.fromkeys(shape, 1))
+        assert got.columns == list(shape) and {t for _, t in got.dtypes} == {"bigint"}
+        assert sorted(map(tuple, got.collect())) == list(itertools.product(*map(range, shape.values()))), shape
+
+
+def test_orders_without_a_date_are_no_day(spark, tmp_path):
+    duck = duckdb.connect()
+    duck.execute("create table orders as select d::timestamp as o_orderdate from (select date '1995-01-01' + i::int d from range(30) g(i) union all select null)")
+    duck.execute("create table supplier as select 1 as s_suppkey")
+    duck.execute("create table customer as select i as c_custkey from range(26) g(i)")
+    for name in ("orders", "supplier", "customer"):
+        duck.execute(f"copy {name} to '{tmp_path}/{name}.parquet' (format parquet)")
+    want = sorted(duck.execute(f"select t, y, x from ({SQL['shard_product']})").fetchall())
+    assert sorted((r.t, r.y, r.x) for r in QUERIES["shard_product"](spark, str(tmp_path)).collect()) == want == [(0, 0, 0), (0, 0, 1)]
